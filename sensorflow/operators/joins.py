@@ -13,9 +13,10 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (None when unavailable)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate is advisory only
         return None
+    return None if n >= (1 << 63) - 1 else n
 
 
 def broadcast_limit(df: DataFrame) -> int:

@@ -67,9 +67,27 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
     return r.load(path)
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def rows_frame(spark: SparkSession, rows: Sequence[tuple], schema) -> DataFrame:
+    """Small fixed rows as a local relation (exact size statistics for the planner)."""
+    names = schema.fieldNames()
+    if not rows:
+        return spark.createDataFrame([], schema)
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def seed_metadata(spark: SparkSession) -> DataFrame:
     """The seed sensor dimension as a DataFrame (6 rows)."""
-    return spark.createDataFrame(rules.SEED_SENSORS, schemas.METADATA)
+    return rows_frame(spark, rules.SEED_SENSORS, schemas.METADATA)
 
 
 def clean_by_ids(clean: DataFrame, ids: DataFrame, id_col: str = "raw_event_id") -> DataFrame:
