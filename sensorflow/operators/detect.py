@@ -69,7 +69,7 @@ def motion_anomalies(enriched: DataFrame, metadata: DataFrame | None = None,
     base = F.col("baseline_events_per_min")
     limit = base * F.lit(multiplier)
     score = F.when(base == 0, F.lit(float("inf"))).otherwise(
-        F.round(F.col("event_count") / base, 4))
+        F.round(F.try_divide(F.col("event_count"), base), 4))
     reason = F.concat(F.lit("Events per minute ("), F.col("event_count").cast("string"),
                       F.lit(") exceeds "), F.round(limit, 1).cast("string"), F.lit("x baseline"))
     extra = ["event_count"] if with_count else []

@@ -73,8 +73,13 @@ def _hash(c: Column, seed: int) -> Column:
     return F.xxhash64(z).bitwiseAND(F.lit(_HASH_MASK)).cast("long")
 
 
-def _sweep(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
-    copies = _with_copies(prep, window_us, block_us).repartition("sensor_id", "_blk")
+def _partitioned_copies(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
+    """Owner + context copies, hash-partitioned by (sensor, block): the one shuffle."""
+    return _with_copies(prep, window_us, block_us).repartition("sensor_id", "_blk")
+
+
+def _sweep(copies: DataFrame, window_us: int, block_us: int) -> DataFrame:
+    """Enter/leave events + running sums; one sort, each window spec one pass."""
     end = (F.col("_blk") + 1) * block_us
     events = F.array(
         F.struct(F.lit(0).alias("k"), F.col("_micros").alias("o")),
@@ -87,96 +92,83 @@ def _sweep(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
         Window.unboundedPreceding, Window.unboundedFollowing)
     run = Window.partitionBy("sensor_id", "_blk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    enter_good = (F.col("_kind") == 0) & ~F.col("_bad")
-    ev = (ev.withColumn("_centre", F.coalesce(F.avg(F.when(enter_good, F.col("_v"))).over(part), F.lit(0.0)))
-            .withColumn("_pn", F.count(F.lit(1)).over(part))
-            .withColumn("_pm2", F.coalesce(
-                F.var_pop(F.when(enter_good, F.col("_v"))).over(part)
-                * F.count(F.when(enter_good, F.lit(1))).over(part), F.lit(0.0))))
+    good_v = F.when((F.col("_kind") == 0) & ~F.col("_bad"), F.col("_v"))
+    ev = ev.select("*",
+                   F.coalesce(F.avg(good_v).over(part), F.lit(0.0)).alias("_centre"),
+                   F.count(F.lit(1)).over(part).alias("_pn"),
+                   F.coalesce(F.var_pop(good_v).over(part) * F.count(good_v).over(part),
+                              F.lit(0.0)).alias("_pm2"))
     s = F.when(F.col("_kind") == 0, F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    sd = s.cast("double")
     c = F.when(F.col("_bad"), F.lit(0.0)).otherwise(F.col("_v") - F.col("_centre"))
     good_s = F.when(F.col("_bad"), F.lit(0)).otherwise(s)
-    ev = (ev.withColumn("_c", c)
-            .withColumn("_n", F.sum(s).over(run))
-            .withColumn("_nbad", F.sum(F.when(F.col("_bad"), s).otherwise(F.lit(0))).over(run))
-            .withColumn("_s1", F.sum(s.cast("double") * F.col("_c")).over(run))
-            .withColumn("_s2", F.sum(s.cast("double") * F.col("_c") * F.col("_c")).over(run))
-            .withColumn("_h1", F.sum(good_s * _hash(F.col("_v"), 1)).over(run))
-            .withColumn("_h2", F.sum(good_s * _hash(F.col("_v"), 2)).over(run)))
-    return ev.filter(F.col("_owner") & (F.col("_kind") == 0))
+    ev = ev.withColumn("_c", c)
+    return ev.select("*",
+                     F.sum(s).over(run).alias("_n"),
+                     F.sum(F.when(F.col("_bad"), s).otherwise(F.lit(0))).over(run).alias("_nbad"),
+                     F.sum(sd * F.col("_c")).over(run).alias("_s1"),
+                     F.sum(sd * F.col("_c") * F.col("_c")).over(run).alias("_s2"),
+                     F.sum(good_s * _hash(F.col("_v"), 1)).over(run).alias("_h1"),
+                     F.sum(good_s * _hash(F.col("_v"), 2)).over(run).alias("_h2"))
 
 
 def _classify_sweep(ev: DataFrame, threshold: float) -> DataFrame:
+    # try_divide: a zero divisor gives NULL instead of an ANSI error
     n = F.col("_n").cast("double")
-    mean_c = F.col("_s1") / n
-    var = F.greatest(F.col("_s2") / n - mean_c * mean_c, F.lit(0.0))
+    mean_c = F.try_divide(F.col("_s1"), n)
+    var = F.greatest(F.try_divide(F.col("_s2"), n) - mean_c * mean_c, F.lit(0.0))
     std = F.sqrt(var)
-    z = (F.col("_c") - mean_c) / std
+    z = F.try_divide(F.col("_c") - mean_c, std)
     m2_tol = F.lit(4 * _EPS) * F.col("_pn") * F.col("_pm2")
     s1_tol = F.lit(4 * _EPS) * F.col("_pn") * F.sqrt(F.col("_pn") * F.col("_pm2"))
     eligible = (F.col("_n") >= 2) & (F.col("_nbad") == 0)
     all_equal = ((F.col("_h1") == F.col("_n") * _hash(F.col("_v"), 1))
                  & (F.col("_h2") == F.col("_n") * _hash(F.col("_v"), 2)))
     var_unreliable = n * var <= F.lit(1e6) * m2_tol
-    zdelta = F.lit(1e-9) + m2_tol / (n * var) + s1_tol / (n * std)
-    near = F.abs(F.abs(z) - F.lit(threshold)) <= F.lit(threshold) * zdelta
-    state = (F.when(~eligible, F.lit("none"))
+    zdelta = F.lit(1e-9) + F.try_divide(m2_tol, n * var) + F.try_divide(s1_tol, n * std)
+    near = F.coalesce(F.abs(F.abs(z) - F.lit(threshold)) <= F.lit(threshold) * zdelta, F.lit(True))
+    entry_owner = F.col("_owner") & (F.col("_kind") == 0)
+    state = (F.when(~entry_owner | ~eligible, F.lit("none"))
               .when(all_equal & var_unreliable, F.lit("none"))
               .when(var_unreliable, F.lit("recheck"))
               .when(near, F.lit("recheck"))
-              .when(F.abs(z) > F.lit(threshold), F.lit("flag"))
+              .when(F.coalesce(F.abs(z) > F.lit(threshold), F.lit(False)), F.lit("flag"))
               .otherwise(F.lit("none")))
-    return (ev.withColumn("_state", state)
-              .withColumn("_z", z)
-              .withColumn("_mean", F.col("_centre") + mean_c)
-              .withColumn("_std", std)
-              .withColumn("_wn", F.col("_n")))
+    return ev.select("*", state.alias("_state"), z.alias("_z"), (F.col("_centre") + mean_c).alias("_mean"),
+                     std.alias("_std"), F.col("_n").alias("_wn"))
 
 
-def _exact_stats(cands: DataFrame, prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
-    """Exact window stats for a (small) candidate set by a band join to its rows.
+def _frame_stats(df: DataFrame, window_us: int) -> DataFrame:
+    """Exact per-row window stats by a RANGE frame on ``micros * 2048 + tie rank``.
 
-    Each candidate meets only the rows of its own window (its block and the one
-    before), so the work is the sum of those windows' sizes.
+    ``df`` must hold every row of each (sensor, block) partition it covers
+    (owner rows and context copies).
     """
-    rows = prep.select(F.col("sensor_id").alias("_r_sensor"), F.col("_blk_own").alias("_r_blk"),
-                       F.col("_micros").alias("_r_micros"), F.col("_tie").alias("_r_tie"),
-                       F.col("_v").alias("_r_v"), F.col("_bad").alias("_r_bad"))
-    lo_blk = F.expr(f"(_micros - {window_us}) div {block_us}")
-    c = cands.withColumn("_j_blk", F.explode(F.sequence(lo_blk, F.col("_blk_own"))))
-    cond = ((c["sensor_id"] == rows["_r_sensor"]) & (c["_j_blk"] == rows["_r_blk"])
-            & (rows["_r_micros"] >= c["_micros"] - window_us)
-            & ((rows["_r_micros"] < c["_micros"])
-               | ((rows["_r_micros"] == c["_micros"]) & (rows["_r_tie"] <= c["_tie"]))))
-    keys = ["sensor_id", "_micros", "_tie"]
-    return (c.join(rows, cond, "inner")
-             .groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_xn"),
-                  F.count_if(F.col("_r_bad")).alias("_xbad"),
-                  F.avg("_r_v").alias("_xmean"),
-                  F.stddev_pop("_r_v").alias("_xstd")))
-
-
-def _frame(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
-    copies = _with_copies(prep, window_us, block_us)
     p = Window.partitionBy("sensor_id", "_blk")
     rn = F.row_number().over(p.orderBy("_micros", "_tie"))
     rk = F.rank().over(p.orderBy("_micros"))
-    df = copies.withColumn("_rank", rn - rk)
+    df = df.withColumn("_rank", rn - rk)
     df = df.withColumn("_rank", F.when(F.col("_rank") > _MAX_TIES, F.raise_error(
         F.lit(f"more than {_MAX_TIES + 1} readings of one sensor at one microsecond"))).otherwise(F.col("_rank")))
     df = df.withColumn("_o", F.col("_micros") * _TIE_BITS + F.col("_rank"))
     frame = p.orderBy("_o").rangeBetween(-(window_us * _TIE_BITS + _MAX_TIES), 0)
-    df = (df.withColumn("_wn", F.count(F.lit(1)).over(frame))
-            .withColumn("_wbad", F.count_if(F.col("_bad")).over(frame))
-            .withColumn("_mean", F.avg("_v").over(frame))
-            .withColumn("_std", F.stddev_pop("_v").over(frame)))
-    return df.filter(F.col("_owner"))
+    return df.select("*",
+                     F.count(F.lit(1)).over(frame).alias("_xn"),
+                     F.count_if(F.col("_bad")).over(frame).alias("_xbad"),
+                     F.avg("_v").over(frame).alias("_xmean"),
+                     F.stddev_pop("_v").over(frame).alias("_xstd"))
+
+
+def _frame(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
+    out = _frame_stats(_partitioned_copies(prep, window_us, block_us), window_us)
+    return out.filter(F.col("_owner")).select(
+        "*", F.col("_xn").alias("_wn"), F.col("_xbad").alias("_wbad"),
+        F.col("_xmean").alias("_mean"), F.col("_xstd").alias("_std"))
 
 
 def _flag(n: Column, nbad: Column, std: Column, z: Column, threshold: float) -> Column:
-    return ((n >= 2) & (nbad == 0) & std.isNotNull() & (std != 0) & ~F.isnan(z)
-            & (F.abs(z) > F.lit(threshold)))
+    return F.coalesce((n >= 2) & (nbad == 0) & std.isNotNull() & (std != 0) & ~F.isnan(z)
+                      & (F.abs(z) > F.lit(threshold)), F.lit(False))
 
 
 def rolling_zscore(df: DataFrame, *, window_seconds: int = rules.ZSCORE_WINDOW_SECONDS,
@@ -196,20 +188,28 @@ def rolling_zscore(df: DataFrame, *, window_seconds: int = rules.ZSCORE_WINDOW_S
     prep = _prepare(df, tie, window_us, block_us)
     if method == "frame":
         fr = _frame(prep, window_us, block_us)
-        z = (F.col("_v") - F.col("_mean")) / F.col("_std")
+        z = F.try_divide(F.col("_v") - F.col("_mean"), F.col("_std"))
         out = fr.withColumn("_z", z).filter(_flag(F.col("_wn"), F.col("_wbad"), F.col("_std"), F.col("_z"), threshold))
         return out.select(*cols, "_z", "_mean", "_std", "_wn")
     if method != "sweep":
         raise ValueError(f"unknown method {method!r}")
-    ev = _classify_sweep(_sweep(prep, window_us, block_us), threshold)
-    keep = ev.filter(F.col("_state") != "none")
-    flagged = keep.filter(F.col("_state") == "flag").select(*cols, "_z", "_mean", "_std", "_wn")
-    cands = keep.filter(F.col("_state") == "recheck").select(*cols, "_micros", "_tie", "_v", "_blk_own")
-    stats = _exact_stats(cands, prep, window_us, block_us)
-    rz = (F.col("_v") - F.col("_xmean")) / F.col("_xstd")
-    rechecked = (cands.join(stats, ["sensor_id", "_micros", "_tie"], "inner")
-                      .withColumn("_z", rz)
-                      .filter(_flag(F.col("_xn"), F.col("_xbad"), F.col("_xstd"), F.col("_z"), threshold))
-                      .select(*cols, "_z", F.col("_xmean").alias("_mean"), F.col("_xstd").alias("_std"),
-                              F.col("_xn").alias("_wn")))
-    return flagged.unionByName(rechecked)
+    copies = _partitioned_copies(prep, window_us, block_us)
+    ev = _classify_sweep(_sweep(copies, window_us, block_us), threshold)
+    # Partitions holding a row the sweep cannot decide are re-scored exactly
+    # (frame form over that partition's rows); elsewhere only the flagged rows
+    # go on.  The whole-partition frame shares the sweep's ordering: no sort.
+    whole = Window.partitionBy("sensor_id", "_blk").orderBy("_ord", "_kind", "_tie").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    ev = ev.withColumn("_recheck_part", F.max((F.col("_state") == "recheck").cast("int")).over(whole) == 1)
+    kept = ev.filter((F.col("_state") == "flag") | (F.col("_recheck_part") & (F.col("_kind") == 0)))
+    exact = _frame_stats(kept, window_us)
+    xz = F.try_divide(F.col("_v") - F.col("_xmean"), F.col("_xstd"))
+    is_recheck = F.col("_state") == "recheck"
+    keep = (F.col("_state") == "flag") | (is_recheck & _flag(F.col("_xn"), F.col("_xbad"), F.col("_xstd"), xz,
+                                                              threshold))
+    return exact.filter(keep).select(
+        *cols,
+        F.when(is_recheck, xz).otherwise(F.col("_z")).alias("_z"),
+        F.when(is_recheck, F.col("_xmean")).otherwise(F.col("_mean")).alias("_mean"),
+        F.when(is_recheck, F.col("_xstd")).otherwise(F.col("_std")).alias("_std"),
+        F.when(is_recheck, F.col("_xn")).otherwise(F.col("_wn")).alias("_wn"))

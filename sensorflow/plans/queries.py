@@ -29,8 +29,8 @@ def _ntz(c: str) -> F.Column:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     session.ensure_utc(spark)
-    return spark.read.parquet(os.path.join(sf_dir, "events.parquet")).select(
-        "event_id", "user_id", "value")
+    return L.read_table(spark, os.path.join(sf_dir, "events.parquet"),
+                        columns=("event_id", "user_id", "value"))
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:

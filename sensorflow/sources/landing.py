@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sensorflow import rules, schemas
 
-_PAYLOAD_FIELDS = "sensor_id string, sensor_type string, value string, unit string, timestamp string"
+_PAYLOAD_FIELDS = ("sensor_id string, sensor_type string, value string, unit string, timestamp string, "
+                   "_corrupt_record string")
 
 
 def unprocessed_batch(landing: DataFrame, limit: int | None = rules.BATCH_LIMIT,
@@ -39,32 +40,57 @@ def flatten_payload(landing: DataFrame) -> DataFrame:
     is re-serialised as ``{}``.  ``sensor_id`` / ``sensor_type`` fall back to the
     payload when the column is NULL or empty.
     """
-    p = F.from_json(F.col("payload"), _PAYLOAD_FIELDS)
-    is_object = F.coalesce(
-        F.schema_of_variant(F.try_parse_json(F.col("payload"))).startswith("OBJECT"), F.lit(False))
+    # One parse per row: the struct is materialised as a column (an expensive
+    # producer referenced several times is not inlined by the optimizer).
+    # Malformed text and non-object JSON land in ``_corrupt_record``.
+    parsed = landing.withColumn("_p", F.from_json(F.col("payload"), _PAYLOAD_FIELDS,
+                                                  {"mode": "PERMISSIVE",
+                                                   "columnNameOfCorruptRecord": "_corrupt_record"}))
+    is_object = F.col("payload").isNotNull() & F.col("_p._corrupt_record").isNull()
     body = F.when(is_object, F.col("payload")).otherwise(F.lit("{}"))
 
+    def field(name: str):
+        return F.when(is_object, F.col(f"_p.{name}"))
+
     def ident(name: str):
-        return F.coalesce(F.nullif(F.col(name), F.lit("")), F.when(is_object, p[name]))
+        return F.coalesce(F.nullif(F.col(name), F.lit("")), field(name))
 
-    return landing.select(
+    return parsed.select(
         F.col("id").cast("long").alias("id"),
         ident("sensor_id").alias("sensor_id"),
         ident("sensor_type").alias("sensor_type"),
-        F.when(is_object, p["value"]).alias("value"),
-        F.when(is_object, p["unit"]).alias("unit"),
-        F.when(is_object, p["timestamp"]).alias("timestamp"),
+        field("value").alias("value"),
+        field("unit").alias("unit"),
+        field("timestamp").alias("timestamp"),
         F.col("received_at"),
         body.alias("payload"),
     )
 
 
-def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """Scan a table with a declared schema (no inference)."""
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when it has fewer splits than cores.
+
+    A large table already has one split per file block and is returned as is;
+    a table stored as one big row group (one split) is redistributed
+    round-robin so the per-row parsing that follows runs on every core.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet",
+               columns: Sequence[str] | None = None) -> DataFrame:
+    """Scan a table with a declared schema (no inference), pruned to ``columns``."""
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
-    return r.load(path)
+    df = r.load(path)
+    if columns:
+        df = df.select(*columns)
+    return ensure_parallelism(df)
 
 
 def _sql_literal(v) -> str:
