@@ -15,6 +15,17 @@ from pyspark.sql import types as T
 from sensorflow import rules
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def parse_event_time_sql(text_sql: str, formats: Sequence[str] = rules.EXTRA_TIMESTAMP_FORMATS) -> str:
+    """SQL text of :func:`parse_event_time` over the SQL expression ``text_sql``."""
+    t = f"trim({text_sql})"
+    tries = [f"try_to_timestamp({t})"] + [f"try_to_timestamp({t}, '{f}')" for f in formats]
+    return tries[0] if len(tries) == 1 else "coalesce(" + ", ".join(tries) + ")"
+
+
 def parse_event_time(text: Column | str,
                      formats: Sequence[str] = rules.EXTRA_TIMESTAMP_FORMATS) -> Column:
     """Lenient text -> TIMESTAMP (UTC instant); NULL when nothing matches.
@@ -22,30 +33,33 @@ def parse_event_time(text: Column | str,
     The ISO-8601 family (date only, ``T`` or space separator, fractional seconds,
     ``Z`` or ``+hh:mm`` offsets) comes from the cast rules; zone-less text is read
     in the session time zone, which the pipeline pins to UTC.  The extra layouts
-    are tried in order afterwards.
+    are tried in order afterwards.  ``text`` may be a column name or a Column.
     """
-    c = F.col(text) if isinstance(text, str) else text
-    c = F.trim(c)
+    if isinstance(text, str):
+        return F.expr(parse_event_time_sql(_q(text), formats))
+    c = F.trim(text)
     tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(c, F.lit(f)) for f in formats]
     return F.coalesce(*tries)
 
 
+def numeric_value_sql(df: DataFrame, name: str = "value") -> str:
+    """SQL text of :func:`numeric_value`."""
+    dtype = df.schema[name].dataType
+    c = _q(name)
+    if isinstance(dtype, (T.BooleanType, T.NumericType)):
+        return f"CAST({c} AS DOUBLE)"
+    s = f"lower(trim(CAST({c} AS STRING)))"
+    return (f"CASE WHEN {s} = 'true' THEN 1.0D WHEN {s} = 'false' THEN 0.0D "
+            f"ELSE try_cast(trim(CAST({c} AS STRING)) AS DOUBLE) END")
+
+
 def numeric_value(df: DataFrame, name: str = "value") -> Column:
     """Reading value -> DOUBLE, NULL when not numeric.
 
     Strings are cast with ``try_cast`` (numeric text, ``NaN``, ``Infinity``);
     ``true``/``false`` map to 1.0/0.0; numeric and boolean columns are cast.
     """
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    s = F.lower(F.trim(c.cast("string")))
-    return (F.when(s == "true", F.lit(1.0))
-             .when(s == "false", F.lit(0.0))
-             .otherwise(F.expr(f"try_cast(trim(`{name}`) as double)")))
+    return F.expr(numeric_value_sql(df, name))
 
 
 def order_key(df: DataFrame, preferred: Sequence[str] = ("received_at", "raw_event_id", "id")) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow import rules, schemas
-from sensorflow.functions.columns import numeric_value, order_key, parse_event_time
+from sensorflow.functions.columns import numeric_value_sql, order_key, parse_event_time_sql
 
 
 def dedup_keep_first(flat: DataFrame, keys: Sequence[str] = ("sensor_id", "timestamp")) -> DataFrame:
@@ -39,6 +39,16 @@ def dedup_keep_first(flat: DataFrame, keys: Sequence[str] = ("sensor_id", "times
     return flat.groupBy(*keys).agg(winner).select("_w.*")
 
 
+def range_violation_sql(type_sql: str, value_sql: str,
+                        ranges: Mapping[str, tuple[float, float]] = rules.VALID_RANGES) -> str:
+    """SQL text: TRUE when a rule exists for ``lower(type)`` and the value is outside it."""
+    if not ranges:
+        return "false"
+    arms = " ".join(f"WHEN lower({type_sql}) = '{name}' THEN NOT ({value_sql} BETWEEN {lo!r}D AND {hi!r}D)"
+                    for name, (lo, hi) in ranges.items())
+    return f"coalesce(CASE {arms} ELSE false END, false)"
+
+
 def range_violation(sensor_type: Column, value: Column,
                     ranges: Mapping[str, tuple[float, float]] = rules.VALID_RANGES) -> Column:
     """TRUE when a rule exists for ``lower(sensor_type)`` and value is outside it.
@@ -60,23 +70,23 @@ def classify(flat: DataFrame, ranges: Mapping[str, tuple[float, float]] = rules.
              dedup: bool = True) -> DataFrame:
     """Dedup + one ``reason`` column (NULL = clean) + typed ``_value`` / ``_event_ts``."""
     df = dedup_keep_first(flat) if dedup else flat
+    extra = []
     if "payload" not in df.columns:
-        df = df.withColumn("payload", F.lit(None).cast("string"))
+        extra.append("CAST(NULL AS STRING) AS payload")
     if "unit" not in df.columns:
-        df = df.withColumn("unit", F.lit(None).cast("string"))
+        extra.append("CAST(NULL AS STRING) AS unit")
     if dict(df.dtypes).get("timestamp") == "string":
-        ts = parse_event_time(F.col("timestamp"), timestamp_formats)
+        ts = parse_event_time_sql("`timestamp`", timestamp_formats)
     else:
-        ts = F.col("timestamp").cast("timestamp")
-    val = numeric_value(df, "value")
-    df = df.withColumn("_event_ts", ts).withColumn("_value", val)
-    reason = (F.when(F.col("value").isNull(), F.lit(rules.REASON_NULL_VALUE))
-               .when(F.col("timestamp").isNull(), F.lit(rules.REASON_NULL_TIMESTAMP))
-               .when(F.col("_event_ts").isNull(), F.lit(rules.REASON_BAD_TIMESTAMP))
-               .when(F.col("_value").isNull(), F.lit(rules.REASON_NON_NUMERIC))
-               .when(range_violation(F.col("sensor_type"), F.col("_value"), ranges),
-                     F.lit(rules.REASON_OUT_OF_RANGE)))
-    return df.withColumn("reason", reason)
+        ts = "CAST(`timestamp` AS TIMESTAMP)"
+    df = df.selectExpr("*", *extra, f"{ts} AS _event_ts", f"{numeric_value_sql(df, 'value')} AS _value")
+    reason = f"""CASE WHEN value IS NULL THEN '{rules.REASON_NULL_VALUE}'
+                      WHEN `timestamp` IS NULL THEN '{rules.REASON_NULL_TIMESTAMP}'
+                      WHEN _event_ts IS NULL THEN '{rules.REASON_BAD_TIMESTAMP}'
+                      WHEN _value IS NULL THEN '{rules.REASON_NON_NUMERIC}'
+                      WHEN {range_violation_sql('sensor_type', '_value', ranges)}
+                        THEN '{rules.REASON_OUT_OF_RANGE}' END AS reason"""
+    return df.selectExpr("*", reason)
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:

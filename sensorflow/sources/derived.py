@@ -27,55 +27,61 @@ REPEAT_ID_OFFSET = 1_000_000
 REPEAT_DELAY_SECONDS = 30
 
 
-def _pick(values: list[str], idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(x) for x in values]), (idx + 1).cast("int"))
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{x}'" for x in values) + ")"
+
+
+def _json_str_sql(c: str) -> str:
+    return f"""CASE WHEN {c} IS NULL THEN 'null' ELSE concat('"', {c}, '"') END"""
 
 
 def _json_str(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
 
 
+_FMT = "yyyy-MM-dd'T'HH:mm:ss"
+
+
 def derive_feed(events: DataFrame) -> DataFrame:
-    """events -> feed rows with the raw (text) fields and the landing columns."""
-    e, u, v = F.col("event_id"), F.col("user_id"), F.col("value")
-    k = u % 6
-    t = F.lit(EPOCH_START) + e * SECONDS_PER_EVENT
-    sensor_id = F.when(u == UNKNOWN_USER, F.lit(UNKNOWN_SENSOR)).otherwise(_pick(SENSOR_IDS, k))
-    sensor_type = _pick(SENSOR_TYPES, k)
-    is_temp = sensor_type == "temperature"
-    temp = F.round(F.lit(18.0) + v - F.lit(8.0) * F.floor(v / 8.0), 2)
-    value = (F.when(e % 20 == 0, F.lit(None).cast("string"))
-              .when(e % 101 == 6, F.lit("n/a"))
-              .when(is_temp & (e % 211 == 9), F.lit("150.0"))
-              .when(is_temp & (e % 83 == 7), F.lit("60.0"))
-              .when(is_temp, temp.cast("string"))
-              .when(e % 97 == 5, F.lit("2"))
-              .otherwise((e % 2).cast("string")))
-    fmt = "yyyy-MM-dd'T'HH:mm:ss"
-    base = F.date_format(F.timestamp_seconds(t), fmt)
-    shifted = F.date_format(F.timestamp_seconds(t + 7200), fmt)
-    ts = (F.when(e % 50 == 1, F.lit(None).cast("string"))
-           .when(e % 100 == 2, F.lit("not-a-timestamp"))
-           .when(e % 7 == 3, F.concat(shifted, F.lit("+02:00")))
-           .when(e % 7 == 4, base)
-           .otherwise(F.concat(base, F.lit("+00:00"))))
-    unit = F.when(e % 100 == 3, F.lit(None).cast("string")).otherwise(
-        F.when(is_temp, F.lit("celsius")).otherwise(F.lit("boolean")))
-    payload = F.concat(
-        F.lit('{"sensor_id":'), _json_str(sensor_id),
-        F.lit(',"sensor_type":'), _json_str(sensor_type),
-        F.lit(',"value":'), _json_str(value),
-        F.lit(',"timestamp":'), _json_str(ts),
-        F.when(unit.isNotNull(), F.concat(F.lit(',"unit":'), _json_str(unit))).otherwise(F.lit("")),
-        F.lit("}"))
-    base_rows = events.select(
-        e.alias("id"), sensor_id.alias("sensor_id"), sensor_type.alias("sensor_type"),
-        value.alias("value"), unit.alias("unit"), ts.alias("timestamp"),
-        F.timestamp_seconds(t + 1).alias("received_at"), payload.alias("payload"),
-        (e % 10 == 9).alias("processed"))
-    repeats = (base_rows.filter(F.col("id") % 25 == 4)
-               .withColumn("id", F.col("id") + REPEAT_ID_OFFSET)
-               .withColumn("received_at", F.col("received_at") + F.expr(f"INTERVAL {REPEAT_DELAY_SECONDS} SECONDS")))
+    """events -> feed rows with the raw (text) fields and the landing columns.
+
+    Written as SQL expressions (one planner call per column instead of one per
+    operator); the formulas are the module docstring's.
+    """
+    step1 = events.selectExpr(
+        "event_id AS e", "value AS v", f"{EPOCH_START} + {SECONDS_PER_EVENT} * event_id AS t",
+        f"CASE WHEN user_id = {UNKNOWN_USER} THEN '{UNKNOWN_SENSOR}' "
+        f"ELSE element_at({_sql_list(SENSOR_IDS)}, CAST(user_id % 6 + 1 AS INT)) END AS sensor_id",
+        f"element_at({_sql_list(SENSOR_TYPES)}, CAST(user_id % 6 + 1 AS INT)) AS sensor_type")
+    step2 = step1.selectExpr(
+        "e AS id", "sensor_id", "sensor_type",
+        """CASE WHEN e % 20 = 0 THEN CAST(NULL AS STRING)
+                WHEN e % 101 = 6 THEN 'n/a'
+                WHEN sensor_type = 'temperature' AND e % 211 = 9 THEN '150.0'
+                WHEN sensor_type = 'temperature' AND e % 83 = 7 THEN '60.0'
+                WHEN sensor_type = 'temperature' THEN CAST(round(18.0 + v - 8.0 * floor(v / 8.0), 2) AS STRING)
+                WHEN e % 97 = 5 THEN '2'
+                ELSE CAST(e % 2 AS STRING) END AS value""",
+        """CASE WHEN e % 100 = 3 THEN CAST(NULL AS STRING)
+                WHEN sensor_type = 'temperature' THEN 'celsius' ELSE 'boolean' END AS unit""",
+        f"""CASE WHEN e % 50 = 1 THEN CAST(NULL AS STRING)
+                 WHEN e % 100 = 2 THEN 'not-a-timestamp'
+                 WHEN e % 7 = 3 THEN concat(date_format(timestamp_seconds(t + 7200), "{_FMT}"), '+02:00')
+                 WHEN e % 7 = 4 THEN date_format(timestamp_seconds(t), "{_FMT}")
+                 ELSE concat(date_format(timestamp_seconds(t), "{_FMT}"), '+00:00') END AS timestamp""",
+        "timestamp_seconds(t + 1) AS received_at",
+        "e % 10 = 9 AS processed")
+    payload = ("concat('{\"sensor_id\":', " + _json_str_sql("sensor_id")
+               + ", ',\"sensor_type\":', " + _json_str_sql("sensor_type")
+               + ", ',\"value\":', " + _json_str_sql("value")
+               + ", ',\"timestamp\":', " + _json_str_sql("timestamp")
+               + ", CASE WHEN unit IS NULL THEN '' ELSE concat(',\"unit\":', " + _json_str_sql("unit") + ") END"
+               + ", '}') AS payload")
+    base_rows = step2.selectExpr("id", "sensor_id", "sensor_type", "value", "unit", "timestamp", "received_at",
+                                 payload, "processed")
+    repeats = base_rows.filter(f"id % 25 = 4").selectExpr(
+        f"id + {REPEAT_ID_OFFSET} AS id", "sensor_id", "sensor_type", "value", "unit", "timestamp",
+        f"received_at + INTERVAL {REPEAT_DELAY_SECONDS} SECONDS AS received_at", "payload", "processed")
     return base_rows.unionByName(repeats)
 
 
