@@ -15,9 +15,9 @@ def time_features(clean: DataFrame) -> DataFrame:
     df = clean
     if dict(df.dtypes).get("event_ts") == "string":
         df = df.withColumn("event_ts", parse_event_time(F.col("event_ts"), ()))
-    for name, c in wall_clock_features("event_ts").items():
-        df = df.withColumn(name, c)
-    return df
+    feats = wall_clock_features("event_ts")
+    keep = [c for c in df.columns if c not in feats]
+    return df.select(*keep, *[c.alias(n) for n, c in feats.items()])
 
 
 def _dimension_columns(metadata: DataFrame) -> DataFrame:

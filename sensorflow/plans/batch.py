@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sensorflow import rules, session
 from sensorflow.operators.clean import classify, clean_rows, dead_letter_rows
 from sensorflow.operators.detect import detect_anomalies
-from sensorflow.operators.enrich import enrich_events
+from sensorflow.operators.enrich import enrich_events, enrich_quality
 from sensorflow.sinks.tables import (
     anomaly_rows,
     dead_letter_sink_rows,
@@ -39,11 +39,22 @@ class BatchResult:
 
 
 def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
-            materialize: bool = False) -> BatchResult:
-    """Pure plan of one batch (no writes).  ``materialize`` checkpoints the
-    classified frame so the fan-out does not recompute the dedup shuffle."""
+            materialize: bool = False, observe: str | None = None) -> BatchResult:
+    """Pure plan of one batch (no writes).
+
+    ``materialize`` checkpoints the classified frame (into the shared
+    checkpoint folder) so the fan-out to clean rows, dead letters and the
+    detectors does not recompute the dedup shuffle.  ``observe`` names the
+    run counters (``Observation`` metrics, no extra job).
+    """
     session.ensure_utc(landing.sparkSession)
     classified = classify(flatten_payload(landing))
+    if observe:
+        # T4 run counters, collected with the job that computes the frame
+        classified = classified.observe(
+            f"{observe}_clean", F.count(F.lit(1)).alias("deduped_rows"),
+            F.count_if(F.col("reason").isNull()).alias("clean_rows"),
+            F.count_if(F.col("reason").isNotNull()).alias("dead_letter_rows"))
     if materialize:
         session.checkpoint_dir(landing.sparkSession)
         classified = classified.checkpoint(eager=True)
@@ -51,6 +62,8 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
     dead = dead_letter_rows(classified)
     enriched = enrich_events(clean, metadata)
     anomalies = detect_anomalies(enriched, method=method)
+    if observe:
+        enriched = enrich_quality(enriched, f"{observe}_enrich")
     return BatchResult(clean=clean, dead_letters=dead, enriched=enriched, anomalies=anomalies,
                        readings=reading_rows(enriched), landing_ids=landing.select("id"))
 
