@@ -28,6 +28,10 @@ Two interchangeable implementations:
   exactly with two hash sums (integer arithmetic, no round-off).
 * ``method="frame"``: a RANGE frame on a composite key, Spark's exact
   aggregate per frame; O(n * window) -- the reference for tests.
+
+``block_seconds`` below the window (it must divide it) switches the sweep to
+the offset layout (:func:`_offset_sweep`): no context copies, a task holds one
+short block of one sensor however dense the sensor is.
 """
 
 from __future__ import annotations
@@ -166,6 +170,124 @@ def _frame(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
         F.col("_xmean").alias("_mean"), F.col("_xstd").alias("_std"))
 
 
+def _offset_sweep(prep: DataFrame, cols: list[str], window_us: int, k: int, threshold: float) -> DataFrame:
+    """Sweep with blocks shorter than the window (``window = k * block``), no copies.
+
+    Each row emits an *enter* event into the block of its time and a *leave*
+    event into the block of ``time + window``; the events are shuffled once by
+    (sensor, block).  A row's window = what was inside at the start of its
+    block (*offset*) + the running sums inside the block.  Because the window
+    is exactly ``k`` blocks long, the offset of block ``b`` is the sum of the
+    *enter* totals of blocks ``b-k .. b-1`` -- a per-block aggregate (one row
+    per sensor-block) combined with the parallel-variance identity around the
+    block's own mean, so every term is non-negative and round-off stays at the
+    scale of the window, not of the sensor's history.  A task holds one block
+    of one sensor whatever the sensor's density.
+    """
+    block_us = window_us // k
+    payload = [c for c in cols if c != "sensor_id"]
+    enter = F.col("_e.k") == 0
+    ev = prep.select("sensor_id", *payload, "_tie", "_v", "_bad", F.explode(F.array(
+        F.struct(F.lit(0).alias("k"), F.col("_micros").alias("o")),
+        F.struct(F.lit(1).alias("k"), (F.col("_micros") + window_us).alias("o")))).alias("_e"))
+    ev = ev.select("sensor_id", *[F.when(enter, F.col(c)).alias(c) for c in payload], "_tie", "_v", "_bad",
+                   F.col("_e.k").alias("_kind"), F.col("_e.o").alias("_ord"),
+                   F.expr(f"_e.o div {block_us}").alias("_eblk"))
+    sh = ev.repartition("sensor_id", "_eblk")
+
+    # per-block enter totals: count, bad count, mean and M2 of good values, hash sums
+    good_v = F.when(~F.col("_bad"), F.col("_v"))
+    blocks = (sh.filter(F.col("_kind") == 0).groupBy("sensor_id", "_eblk").agg(
+        F.count(F.lit(1)).alias("bn"), F.count_if(F.col("_bad")).alias("bbad"),
+        F.count(good_v).alias("bg"), F.avg(good_v).alias("bmean"),
+        F.coalesce(F.var_pop(good_v) * F.count(good_v), F.lit(0.0)).alias("bm2"),
+        F.coalesce(F.sum(F.when(~F.col("_bad"), _hash(F.col("_v"), 1))), F.lit(0)).alias("bh1"),
+        F.coalesce(F.sum(F.when(~F.col("_bad"), _hash(F.col("_v"), 2))), F.lit(0)).alias("bh2")))
+    centre = blocks.select("sensor_id", "_eblk", F.coalesce(F.col("bmean"), F.lit(0.0)).alias("_a"))
+    prev = blocks.select("sensor_id", F.explode(F.sequence(F.col("_eblk") + 1, F.col("_eblk") + k)).alias("_eblk"),
+                         "bn", "bbad", "bg", "bmean", "bm2", "bh1", "bh2")
+    d = F.coalesce(F.col("bmean") - F.col("_a"), F.lit(0.0))
+    offsets = (prev.join(centre, ["sensor_id", "_eblk"], "inner").groupBy("sensor_id", "_eblk", "_a").agg(
+        F.sum("bn").alias("_on"), F.sum("bbad").alias("_obad"),
+        F.sum(F.col("bg") * d).alias("_os1"),
+        F.sum(F.col("bm2") + F.col("bg") * d * d).alias("_os2"),
+        F.sum("bh1").alias("_oh1"), F.sum("bh2").alias("_oh2")))
+    zero = {"_on": 0, "_obad": 0, "_os1": 0.0, "_os2": 0.0, "_oh1": 0, "_oh2": 0}
+    withc = (sh.join(centre, ["sensor_id", "_eblk"], "left")
+               .join(offsets.drop("_a"), ["sensor_id", "_eblk"], "left")
+               .fillna(zero).fillna({"_a": 0.0}))
+
+    order = [F.col("_ord"), F.col("_kind"), F.col("_tie")]
+    run = Window.partitionBy("sensor_id", "_eblk").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    part = Window.partitionBy("sensor_id", "_eblk").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    s = F.when(F.col("_kind") == 0, F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    sd = s.cast("double")
+    c = F.when(F.col("_bad"), F.lit(0.0)).otherwise(F.col("_v") - F.col("_a"))
+    good_s = F.when(F.col("_bad"), F.lit(0)).otherwise(s)
+    w = withc.withColumn("_c", c).select(
+        "*",
+        F.count(F.lit(1)).over(part).alias("_pn"),
+        (F.col("_on") + F.sum(s).over(run)).alias("_n"),
+        (F.col("_obad") + F.sum(F.when(F.col("_bad"), s).otherwise(F.lit(0))).over(run)).alias("_nbad"),
+        (F.col("_os1") + F.sum(sd * F.col("_c")).over(run)).alias("_s1"),
+        (F.col("_os2") + F.sum(sd * F.col("_c") * F.col("_c")).over(run)).alias("_s2"),
+        (F.col("_os2") + F.sum(F.col("_c") * F.col("_c")).over(run)).alias("_abs2"),
+        (F.col("_oh1") + F.sum(good_s * _hash(F.col("_v"), 1)).over(run)).alias("_h1"),
+        (F.col("_oh2") + F.sum(good_s * _hash(F.col("_v"), 2)).over(run)).alias("_h2"))
+    w = w.filter(F.col("_kind") == 0)
+
+    n = F.col("_n").cast("double")
+    mean_c = F.try_divide(F.col("_s1"), n)
+    var = F.greatest(F.try_divide(F.col("_s2"), n) - mean_c * mean_c, F.lit(0.0))
+    std = F.sqrt(var)
+    z = F.try_divide(F.col("_c") - mean_c, std)
+    terms = F.col("_pn") + F.lit(k + 2)
+    m2_tol = F.lit(4 * _EPS) * terms * F.col("_abs2")
+    s1_tol = F.lit(4 * _EPS) * terms * F.sqrt(n * F.col("_abs2"))
+    eligible = (F.col("_n") >= 2) & (F.col("_nbad") == 0)
+    all_equal = ((F.col("_h1") == F.col("_n") * _hash(F.col("_v"), 1))
+                 & (F.col("_h2") == F.col("_n") * _hash(F.col("_v"), 2)))
+    var_unreliable = n * var <= F.lit(1e6) * m2_tol
+    zdelta = F.lit(1e-9) + F.try_divide(m2_tol, n * var) + F.try_divide(s1_tol, n * std)
+    near = F.coalesce(F.abs(F.abs(z) - F.lit(threshold)) <= F.lit(threshold) * zdelta, F.lit(True))
+    state = (F.when(~eligible, F.lit("none"))
+              .when(all_equal & var_unreliable, F.lit("none"))
+              .when(var_unreliable | near, F.lit("recheck"))
+              .when(F.coalesce(F.abs(z) > F.lit(threshold), F.lit(False)), F.lit("flag"))
+              .otherwise(F.lit("none")))
+    # the small decided set is read by two branches through one shuffle, so the
+    # window pass above runs once
+    keep = (w.select(*cols, F.col("_ord").alias("_micros"), "_tie", "_v", "_eblk", state.alias("_state"),
+                     z.alias("_z"), (F.col("_a") + mean_c).alias("_mean"), std.alias("_std"),
+                     F.col("_n").alias("_wn"))
+             .filter(F.col("_state") != "none")
+             .repartition("sensor_id", "_eblk"))
+    flagged = keep.filter(F.col("_state") == "flag").select(*cols, "_z", "_mean", "_std", "_wn")
+
+    # exact re-score of undecided rows: band join to their own window rows
+    cands = keep.filter(F.col("_state") == "recheck")
+    lo = F.expr(f"(_micros - {window_us}) div {block_us}")
+    cx = cands.select("sensor_id", "_micros", "_tie", F.explode(F.sequence(lo, F.col("_eblk"))).alias("_jblk"))
+    rows = sh.filter(F.col("_kind") == 0).select(
+        F.col("sensor_id").alias("_r_sensor"), F.col("_eblk").alias("_r_blk"), F.col("_ord").alias("_r_micros"),
+        F.col("_tie").alias("_r_tie"), F.col("_v").alias("_r_v"), F.col("_bad").alias("_r_bad"))
+    cond = ((cx["sensor_id"] == rows["_r_sensor"]) & (cx["_jblk"] == rows["_r_blk"])
+            & (rows["_r_micros"] >= cx["_micros"] - window_us)
+            & ((rows["_r_micros"] < cx["_micros"])
+               | ((rows["_r_micros"] == cx["_micros"]) & (rows["_r_tie"] <= cx["_tie"]))))
+    stats = (cx.join(rows, cond, "inner").groupBy("sensor_id", "_micros", "_tie").agg(
+        F.count(F.lit(1)).alias("_xn"), F.count_if(F.col("_r_bad")).alias("_xbad"),
+        F.avg("_r_v").alias("_xmean"), F.stddev_pop("_r_v").alias("_xstd")))
+    xz = F.try_divide(F.col("_v") - F.col("_xmean"), F.col("_xstd"))
+    rechecked = (cands.join(stats, ["sensor_id", "_micros", "_tie"], "inner")
+                      .filter(_flag(F.col("_xn"), F.col("_xbad"), F.col("_xstd"), xz, threshold))
+                      .select(*cols, xz.alias("_z"), F.col("_xmean").alias("_mean"), F.col("_xstd").alias("_std"),
+                              F.col("_xn").alias("_wn")))
+    return flagged.unionByName(rechecked)
+
+
 def _flag(n: Column, nbad: Column, std: Column, z: Column, threshold: float) -> Column:
     return F.coalesce((n >= 2) & (nbad == 0) & std.isNotNull() & (std != 0) & ~F.isnan(z)
                       & (F.abs(z) > F.lit(threshold)), F.lit(False))
@@ -179,20 +301,23 @@ def rolling_zscore(df: DataFrame, *, window_seconds: int = rules.ZSCORE_WINDOW_S
     ``df`` needs ``sensor_id``, ``event_ts`` (timestamp) and ``value``; ``tie``
     orders rows with equal times (later ids see earlier peers).
     """
-    if block_seconds < window_seconds:
-        raise ValueError("block_seconds must be at least window_seconds")
+    if block_seconds < window_seconds and window_seconds % block_seconds:
+        raise ValueError("block_seconds must divide window_seconds or be at least as long")
     tie = tie if tie and tie in df.columns else None
     window_us = int(window_seconds) * 1_000_000
     block_us = int(block_seconds) * 1_000_000
     cols = df.columns
-    prep = _prepare(df, tie, window_us, block_us)
     if method == "frame":
-        fr = _frame(prep, window_us, block_us)
+        block_us = max(block_us, window_us)
+        fr = _frame(_prepare(df, tie, window_us, block_us), window_us, block_us)
         z = F.try_divide(F.col("_v") - F.col("_mean"), F.col("_std"))
         out = fr.withColumn("_z", z).filter(_flag(F.col("_wn"), F.col("_wbad"), F.col("_std"), F.col("_z"), threshold))
         return out.select(*cols, "_z", "_mean", "_std", "_wn")
     if method != "sweep":
         raise ValueError(f"unknown method {method!r}")
+    prep = _prepare(df, tie, window_us, block_us)
+    if block_seconds < window_seconds:
+        return _offset_sweep(prep, cols, window_us, window_seconds // block_seconds, threshold)
     copies = _partitioned_copies(prep, window_us, block_us)
     ev = _classify_sweep(_sweep(copies, window_us, block_us), threshold)
     # Partitions holding a row the sweep cannot decide are re-scored exactly

@@ -5,15 +5,23 @@ import pytest
 from conftest import BASE, NIGHT, SATURDAY, enriched_rows
 
 from sensorflow import schemas
-from sensorflow.operators.detect import (
-    detect_anomalies,
-    door_anomalies,
-    motion_anomalies,
-    temperature_anomalies,
-)
-from sensorflow.operators.rolling import rolling_zscore
+from sensorflow.operators.detect import detect_anomalies, door_anomalies, motion_anomalies
+from sensorflow.operators.detect import temperature_anomalies as _temperature_anomalies
+from sensorflow.operators.rolling import rolling_zscore as _rolling_zscore
 
-METHODS = ["sweep", "frame"]
+METHODS = ["sweep", "frame", "offsets"]
+
+
+def temperature_anomalies(df, method="sweep", **kw):  # noqa: F811 - layouts under test
+    if method == "offsets":
+        return _temperature_anomalies(df, method="sweep", block_seconds=900, **kw)
+    return _temperature_anomalies(df, method=method, **kw)
+
+
+def rolling_zscore(df, method="sweep", **kw):  # noqa: F811
+    if method == "offsets":
+        return _rolling_zscore(df, method="sweep", block_seconds=900, **kw)
+    return _rolling_zscore(df, method=method, **kw)
 
 
 def temps(values, step=timedelta(minutes=1), start=BASE, sensor="temp-01"):
@@ -111,7 +119,7 @@ def test_sweep_equals_frame_random(spark):
             v = rnd.choice([22.0, 22.0, 21.5, 23.25]) if rnd.random() < 0.9 else rnd.uniform(-40, 90)
             rows.append(dict(raw_event_id=len(rows) + 1, sensor_id=s, value=round(v, 2), event_ts=t))
     df = enriched_rows(spark, rows)
-    for block in (3600, 7200):
+    for block in (900, 1200, 3600, 7200):
         a = rolling_zscore(df, method="sweep", threshold=1.5, block_seconds=block)
         b = rolling_zscore(df, method="frame", threshold=1.5, block_seconds=block)
         ra = {r["raw_event_id"]: (r["_wn"], round(r["_z"], 7)) for r in a.collect()}
