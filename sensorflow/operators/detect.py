@@ -88,9 +88,10 @@ def door_anomalies(enriched: DataFrame) -> DataFrame:
         F.lit(rules.DOOR_REASON).alias("reason"))
 
 
-def detect_anomalies(enriched: DataFrame, *, method: str = "sweep") -> DataFrame:
+def detect_anomalies(enriched: DataFrame, *, method: str = "sweep", block_seconds: int = 4 * 3600) -> DataFrame:
     """A4-A5: union of the three detectors; always the ``ANOMALY`` schema."""
-    parts = [temperature_anomalies(enriched, method=method), motion_anomalies(enriched),
+    parts = [temperature_anomalies(enriched, method=method, block_seconds=block_seconds),
+             motion_anomalies(enriched),
              door_anomalies(enriched)]
     out = parts[0]
     for p in parts[1:]:

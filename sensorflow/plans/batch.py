@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow import rules, session
+from sensorflow import rules, session  # noqa: F401
 from sensorflow.operators.clean import classify, clean_rows, dead_letter_rows
 from sensorflow.operators.detect import detect_anomalies
 from sensorflow.operators.enrich import enrich_events, enrich_quality
@@ -39,13 +39,16 @@ class BatchResult:
 
 
 def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
-            materialize: bool = False, observe: str | None = None) -> BatchResult:
-    """Pure plan of one batch (no writes).
+            staging: str | None = None, observe: str | None = None,
+            block_seconds: int = 4 * 3600) -> BatchResult:
+    """Plan of one batch (no sink writes).
 
-    ``materialize`` checkpoints the classified frame (into the shared
-    checkpoint folder) so the fan-out to clean rows, dead letters and the
-    detectors does not recompute the dedup shuffle.  ``observe`` names the
-    run counters (``Observation`` metrics, no extra job).
+    ``staging`` names a folder in shared storage: the classified frame (the
+    only fan-out point: clean rows, dead letters, detectors) is written there
+    once and read back, which cuts the lineage and keeps the dedup shuffle
+    from being recomputed by each sink.  The folder is overwritten by the next
+    run, so nothing accumulates.  ``observe`` names the run counters
+    (``Observation`` metrics, no extra job).
     """
     session.ensure_utc(landing.sparkSession)
     classified = classify(flatten_payload(landing))
@@ -55,13 +58,13 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
             f"{observe}_clean", F.count(F.lit(1)).alias("deduped_rows"),
             F.count_if(F.col("reason").isNull()).alias("clean_rows"),
             F.count_if(F.col("reason").isNotNull()).alias("dead_letter_rows"))
-    if materialize:
-        session.checkpoint_dir(landing.sparkSession)
-        classified = classified.checkpoint(eager=True)
+    if staging:
+        classified.write.mode("overwrite").parquet(staging)
+        classified = landing.sparkSession.read.parquet(staging)
     clean = clean_rows(classified)
     dead = dead_letter_rows(classified)
     enriched = enrich_events(clean, metadata)
-    anomalies = detect_anomalies(enriched, method=method)
+    anomalies = detect_anomalies(enriched, method=method, block_seconds=block_seconds)
     if observe:
         enriched = enrich_quality(enriched, f"{observe}_enrich")
     return BatchResult(clean=clean, dead_letters=dead, enriched=enriched, anomalies=anomalies,
@@ -89,6 +92,6 @@ def run_once(landing: DataFrame, metadata: DataFrame, out_root: str, batch_id: i
              method: str = "sweep") -> BatchResult:
     """One scheduled run: oldest pending rows (capped), processed and written."""
     batch = unprocessed_batch(landing, limit, ledger)
-    result = process(batch, metadata, method=method, materialize=True)
+    result = process(batch, metadata, method=method, staging=f"{out_root}/_staging/classified")
     write_outputs(result, out_root, batch_id)
     return result

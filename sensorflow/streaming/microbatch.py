@@ -40,7 +40,7 @@ def batch_writer(metadata: DataFrame, out_root: str, method: str = "sweep"):
     """``foreachBatch`` function: one micro-batch -> all sinks, keyed by batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
         session.ensure_utc(batch.sparkSession)
-        result = process(batch, metadata, method=method, materialize=True)
+        result = process(batch, metadata, method=method, staging=os.path.join(out_root, "_staging", "classified"))
         write_outputs(result, out_root, batch_id)
     return write
 
