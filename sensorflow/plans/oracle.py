@@ -271,6 +271,18 @@ WHERE NOT EXISTS (SELECT 1 FROM seed s WHERE s.sensor_id = o.sensor_id)"""
     q["clean_by_ids"] = with_ctes(*cl) + """
 SELECT raw_event_id, sensor_id, sensor_type, value, unit, event_ts FROM clean
 WHERE raw_event_id IN (SELECT id FROM landing WHERE NOT processed)"""
+    q["dead_letter_sink"] = with_ctes(*cl) + \
+        "SELECT raw_event_id, CAST(json_object('raw', payload) AS VARCHAR) AS payload, reason FROM dead"
+    q["motion_minute_counts"] = with_ctes(*(en + [MOTION_CTE])) + """
+SELECT sensor_id, sensor_type, minute_bucket, event_count, baseline_events_per_min, event_ts,
+  round(value, 6) AS value FROM motion"""
+    q["dimension_after_registration"] = with_ctes(FEED_CTE) + f"""
+, seed AS (SELECT * FROM {_seed_values()})
+, observed AS (SELECT DISTINCT sensor_id FROM landing WHERE sensor_id IS NOT NULL)
+, dim AS (
+  SELECT sensor_id FROM seed
+  UNION ALL SELECT o.sensor_id FROM observed o WHERE NOT EXISTS (SELECT 1 FROM seed s WHERE s.sensor_id = o.sensor_id))
+SELECT sensor_id, count(*) AS n_rows, count(*) > 1 AS duplicate_key FROM dim GROUP BY sensor_id"""
     q["streaming_readings"] = with_ctes(*en) + """
 SELECT raw_event_id, sensor_id, sensor_type, value, unit, event_ts, hour_of_day, day_of_week, zone, location,
   is_business_hours, CAST(0 AS BIGINT) AS batch_id

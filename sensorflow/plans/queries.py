@@ -192,6 +192,26 @@ def q_streaming_readings(spark, sf_dir):
                            F.col("batch_id").cast("long").alias("batch_id"))
 
 
+def q_dead_letter_sink(spark, sf_dir):
+    from sensorflow.sinks.tables import dead_letter_sink_rows
+    return dead_letter_sink_rows(C.dead_letter_rows(classified(spark, sf_dir)))
+
+
+def q_motion_minute_counts(spark, sf_dir):
+    m = A.motion_minute_counts(enriched(spark, sf_dir))
+    return m.select("sensor_id", "sensor_type", _ntz("minute_bucket"), "event_count", "baseline_events_per_min",
+                    _ntz("event_ts"), F.round("value", 6).alias("value"))
+
+
+def q_dimension_after_registration(spark, sf_dir):
+    from sensorflow.sinks.tables import primary_key_violations
+    dim = q_seed_if_absent(spark, sf_dir)
+    counts = dim.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = primary_key_violations(dim).select("sensor_id", F.lit(True).alias("duplicate_key"))
+    return counts.join(bad, "sensor_id", "left").select(
+        "sensor_id", "n_rows", F.coalesce("duplicate_key", F.lit(False)).alias("duplicate_key"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "unprocessed_batch": q_unprocessed_batch,
@@ -215,4 +235,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "seed_if_absent": q_seed_if_absent,
         "clean_by_ids": q_clean_by_ids,
         "streaming_readings": q_streaming_readings,
+        "dead_letter_sink": q_dead_letter_sink,
+        "motion_minute_counts": q_motion_minute_counts,
+        "dimension_after_registration": q_dimension_after_registration,
     }
