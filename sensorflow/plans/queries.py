@@ -27,30 +27,45 @@ def _ntz(c: str) -> F.Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _shared(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Reuse a lazy base plan across queries of one session (no data is cached:
+    every query still reads and computes from the files; only the driver-side
+    plan building is shared)."""
     session.ensure_utc(spark)
-    return L.read_table(spark, os.path.join(sf_dir, "events.parquet"),
-                        columns=("event_id", "user_id", "value"))
+    key = (name, id(spark._jsparkSession), sf_dir)
+    df = _PLANS.get(key)
+    if df is None:
+        df = _PLANS[key] = build()
+    return df
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shared("events", spark, sf_dir, lambda: L.read_table(
+        spark, os.path.join(sf_dir, "events.parquet"), columns=("event_id", "user_id", "value")))
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.derive_landing(_events(spark, sf_dir))
+    return _shared("landing", spark, sf_dir, lambda: derived.derive_landing(_events(spark, sf_dir)))
 
 
 def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.flatten_payload(landing(spark, sf_dir))
+    return _shared("flat", spark, sf_dir, lambda: L.flatten_payload(landing(spark, sf_dir)))
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.classify(flat(spark, sf_dir))
+    return _shared("classified", spark, sf_dir, lambda: C.classify(flat(spark, sf_dir)))
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean_rows(classified(spark, sf_dir))
+    return _shared("clean", spark, sf_dir, lambda: C.clean_rows(classified(spark, sf_dir)))
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_events(clean(spark, sf_dir), L.seed_metadata(spark))
+    return _shared("enriched", spark, sf_dir,
+                   lambda: enrich_events(clean(spark, sf_dir), L.seed_metadata(spark)))
 
 
 ENRICHED_COLS = ["raw_event_id", "sensor_id", "sensor_type", "value", "unit", "event_ts", "hour_of_day",
@@ -175,8 +190,7 @@ def q_seed_if_absent(spark, sf_dir):
 def q_clean_by_ids(spark, sf_dir):
     lnd = landing(spark, sf_dir)
     pending = L.unprocessed_batch(lnd, limit=None).select("id")
-    c = C.clean_rows(C.classify(L.flatten_payload(lnd)))
-    return L.clean_by_ids(c, pending).select("raw_event_id", "sensor_id", "sensor_type", "value", "unit",
+    return L.clean_by_ids(clean(spark, sf_dir), pending).select("raw_event_id", "sensor_id", "sensor_type", "value", "unit",
                                             _ntz("event_ts"))
 
 
