@@ -9,15 +9,15 @@ by (sensor, raw timestamp), z-score by (sensor, time block), motion counts by
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensorflow import rules, session  # noqa: F401
 from sensorflow.operators.clean import classify, clean_rows, dead_letter_rows
 from sensorflow.operators.detect import detect_anomalies
-from sensorflow.operators.enrich import enrich_events, enrich_quality
+from sensorflow.operators.enrich import enrich_events
 from sensorflow.sinks.tables import (
     anomaly_rows,
     dead_letter_sink_rows,
@@ -36,6 +36,7 @@ class BatchResult:
     anomalies: DataFrame
     readings: DataFrame
     landing_ids: DataFrame
+    metrics: dict[str, Observation] = field(default_factory=dict)
 
 
 def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
@@ -52,10 +53,12 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
     """
     session.ensure_utc(landing.sparkSession)
     classified = classify(flatten_payload(landing))
+    metrics: dict[str, Observation] = {}
     if observe:
-        # T4 run counters, collected with the job that computes the frame
+        # T4 run counters, collected by the job that computes the frame (no extra job)
+        metrics["clean"] = Observation(f"{observe}_clean")
         classified = classified.observe(
-            f"{observe}_clean", F.count(F.lit(1)).alias("deduped_rows"),
+            metrics["clean"], F.count(F.lit(1)).alias("deduped_rows"),
             F.count_if(F.col("reason").isNull()).alias("clean_rows"),
             F.count_if(F.col("reason").isNotNull()).alias("dead_letter_rows"))
     if staging:
@@ -65,10 +68,14 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
     dead = dead_letter_rows(classified)
     enriched = enrich_events(clean, metadata)
     anomalies = detect_anomalies(enriched, method=method, block_seconds=block_seconds)
+    readings = reading_rows(enriched)
     if observe:
-        enriched = enrich_quality(enriched, f"{observe}_enrich")
+        metrics["readings"] = Observation(f"{observe}_readings")
+        readings = readings.observe(metrics["readings"], F.count(F.lit(1)).alias("rows"),
+                                    F.count_if(F.col("zone").isNull()).alias("rows_without_zone"),
+                                    F.count_if(F.col("reject_reason").isNotNull()).alias("rejected_rows"))
     return BatchResult(clean=clean, dead_letters=dead, enriched=enriched, anomalies=anomalies,
-                       readings=reading_rows(enriched), landing_ids=landing.select("id"))
+                       readings=readings, landing_ids=landing.select("id"), metrics=metrics)
 
 
 def write_outputs(result: BatchResult, out_root: str, batch_id: int | str) -> None:
@@ -89,9 +96,12 @@ def write_outputs(result: BatchResult, out_root: str, batch_id: int | str) -> No
 
 def run_once(landing: DataFrame, metadata: DataFrame, out_root: str, batch_id: int | str, *,
              limit: int | None = rules.BATCH_LIMIT, ledger: DataFrame | None = None,
-             method: str = "sweep") -> BatchResult:
-    """One scheduled run: oldest pending rows (capped), processed and written."""
+             method: str = "sweep", observe: str | None = "run") -> BatchResult:
+    """One scheduled run: oldest pending rows (capped), processed and written.
+
+    ``result.metrics`` holds the run counters once the writes are done."""
     batch = unprocessed_batch(landing, limit, ledger)
-    result = process(batch, metadata, method=method, staging=f"{out_root}/_staging/classified")
+    result = process(batch, metadata, method=method, staging=f"{out_root}/_staging/classified",
+                     observe=observe)
     write_outputs(result, out_root, batch_id)
     return result

@@ -90,8 +90,7 @@ def q_flatten_payload(spark, sf_dir):
 def q_intake_identity(spark, sf_dir):
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     msgs = intake.subscribe(derived.derive_messages(_events(spark, sf_dir)), "sensors")
-    rows = intake.messages_to_landing(msgs, id_col="id")
-    rows = rows.join(msgs.select("id", "topic"), "id")
+    rows = intake.messages_to_landing(msgs, id_col="id", keep=("topic",))
     is_raw = F.get_json_object("payload", "$.raw")
     raw_wrapped = F.col("payload").startswith('{"raw":') & is_raw.isNotNull()
     return rows.select(

@@ -15,6 +15,8 @@ landing row; nothing is dropped:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,19 +40,21 @@ def _json_scalar_text(v: Column, field: str) -> Column:
     return F.try_variant_get(v, f"$.{field}", "string")
 
 
-def messages_to_landing(messages: DataFrame, id_col: str | None = None) -> DataFrame:
-    """S1 + S2 + K1 shape: messages -> ``LANDING`` rows.
+def messages_to_landing(messages: DataFrame, id_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """S1 + S2 + K1 shape: messages -> ``LANDING`` rows (+ ``keep`` columns).
 
     ``id_col`` names a column holding a stable id (e.g. a Kafka offset composed
     with the partition); when absent the ``id`` is left NULL for the sink to
-    assign.  ``processed`` starts FALSE.
+    assign.  ``processed`` starts FALSE.  The payload is parsed once (a column
+    of its own, so each use reads the same parsed value).
     """
-    text = _decoded(F.col("value"))
-    parsed = F.try_parse_json(text)
+    decoded = messages.select("*", _decoded(F.col("value")).alias("_text"))
+    parsed_df = decoded.withColumn("_v", F.try_parse_json(F.col("_text")))
+    text, parsed = F.col("_text"), F.col("_v")
     is_json = parsed.isNotNull()
-    is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
-    payload = F.when(is_json, F.to_json(parsed)).otherwise(
-        F.to_json(F.struct(text.alias("raw"))))
+    # valid JSON text whose first non-blank character is "{" is an object
+    is_object = is_json & F.ltrim(text).startswith("{")
+    payload = F.when(is_json, F.to_json(parsed)).otherwise(F.to_json(F.struct(text.alias("raw"))))
     parts = F.split(F.col("topic"), "/", -1)
     has_parts = F.size(parts) >= 3
     sid = F.when(is_object, _json_scalar_text(parsed, "sensor_id"))
@@ -58,11 +62,12 @@ def messages_to_landing(messages: DataFrame, id_col: str | None = None) -> DataF
     sensor_id = F.coalesce(sid, F.when(has_parts, F.try_element_at(parts, F.lit(3))))
     sensor_type = F.coalesce(stype, F.when(has_parts, F.try_element_at(parts, F.lit(2))))
     rid = F.col(id_col).cast("long") if id_col else F.lit(None).cast("long")
-    return messages.select(
+    return parsed_df.select(
         rid.alias("id"),
         sensor_id.alias("sensor_id"),
         sensor_type.alias("sensor_type"),
         payload.alias("payload"),
         F.coalesce(F.col("received_at"), F.current_timestamp()).alias("received_at"),
         F.lit(False).alias("processed"),
+        *[F.col(c) for c in keep],
     )

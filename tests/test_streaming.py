@@ -35,9 +35,12 @@ def test_stream_equals_batch_per_microbatch(spark):
 def test_batch_run_once_writes_all_sinks(spark):
     root = tempfile.mkdtemp(prefix="sf-batch-")
     lnd = landing(spark, SMOKE)
-    batch_plan.run_once(lnd, seed_metadata(spark), root, 0, limit=300)
+    res = batch_plan.run_once(lnd, seed_metadata(spark), root, 0, limit=300)
     ledger = spark.read.parquet(os.path.join(root, "processed_ledger"))
     assert ledger.count() == 300
+    counters = res.metrics["clean"].get
+    assert counters["clean_rows"] + counters["dead_letter_rows"] == counters["deduped_rows"] <= 300
+    assert res.metrics["readings"].get["rows"] == counters["clean_rows"]
     for t in ("sensor_readings", "anomalies", "dead_letter_events", "clean_events"):
         assert os.path.isdir(os.path.join(root, t))
     # next run skips what the ledger holds
