@@ -70,6 +70,22 @@ def order_key(df: DataFrame, preferred: Sequence[str] = ("received_at", "raw_eve
     return F.struct(*[F.col(c) for c in cols])
 
 
+def packed_order_key(df: DataFrame, time_col: str = "received_at",
+                     id_cols: Sequence[str] = ("raw_event_id", "id")) -> Column | None:
+    """``(time, id)`` packed into one ``DECIMAL(38,0)``: ``micros * 10^20 + (id + 2^63)``.
+
+    Same order as the struct key, but fixed-width, so aggregates keyed on it
+    (``min_by``) run as hash aggregates instead of sort aggregates.  Exact for
+    every timestamp Spark can hold (|micros| < 3e17) and every long id.
+    Returns None when the columns are not there.
+    """
+    ids = [c for c in id_cols if c in df.columns]
+    if time_col not in df.columns or not ids or dict(df.dtypes)[time_col] != "timestamp":
+        return None
+    return F.expr(f"CAST(unix_micros({_q(time_col)}) AS DECIMAL(38,0)) * CAST({10 ** 20} AS DECIMAL(38,0))"
+                  f" + (CAST({_q(ids[0])} AS DECIMAL(38,0)) + CAST({2 ** 63} AS DECIMAL(38,0)))")
+
+
 def first_in_order(value: Column | str, key: Column) -> Column:
     """Value of the earliest row of a group (combines map-side like ``min``)."""
     v = F.col(value) if isinstance(value, str) else value

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow import rules, schemas
-from sensorflow.functions.columns import first_in_order, order_key
+from sensorflow.functions.columns import first_in_order, order_key, packed_order_key
 from sensorflow.operators.enrich import with_baseline
 from sensorflow.operators.rolling import rolling_zscore
 
@@ -48,7 +48,9 @@ def motion_minute_counts(enriched: DataFrame) -> DataFrame:
     first event time (input order), mean value.  Partial aggregation map-side."""
     df = _event_ts(enriched).filter((F.col("sensor_type") == "motion")
                                     & F.col("baseline_events_per_min").isNotNull())
-    key = order_key(df, ("received_at", "raw_event_id", "id", "event_ts"))
+    key = packed_order_key(df)
+    if key is None:
+        key = order_key(df, ("received_at", "raw_event_id", "id", "event_ts"))
     return (df.withColumn("minute_bucket", F.date_trunc("minute", F.col("event_ts")))
               .groupBy("sensor_id", "sensor_type", "minute_bucket")
               .agg(F.count(F.lit(1)).alias("event_count"),

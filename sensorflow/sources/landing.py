@@ -26,7 +26,7 @@ def unprocessed_batch(landing: DataFrame, limit: int | None = rules.BATCH_LIMIT,
     """
     pending = landing.filter(~F.coalesce(F.col("processed"), F.lit(False)))
     if processed_ids is not None:
-        pending = pending.join(processed_ids.select("id").distinct(), "id", "left_anti")
+        pending = pending.join(processed_ids.select("id"), "id", "left_anti")
     if limit is None:
         return pending
     return pending.orderBy(F.col("received_at").asc_nulls_last(), F.col("id").asc_nulls_last()).limit(limit)
