@@ -277,9 +277,19 @@ def _offset_sweep(prep: DataFrame, cols: list[str], window_us: int, k: int, thre
             & (rows["_r_micros"] >= cx["_micros"] - window_us)
             & ((rows["_r_micros"] < cx["_micros"])
                | ((rows["_r_micros"] == cx["_micros"]) & (rows["_r_tie"] <= cx["_tie"]))))
-    stats = (cx.join(rows, cond, "inner").groupBy("sensor_id", "_micros", "_tie").agg(
-        F.count(F.lit(1)).alias("_xn"), F.count_if(F.col("_r_bad")).alias("_xbad"),
-        F.avg("_r_v").alias("_xmean"), F.stddev_pop("_r_v").alias("_xstd")))
+    # Spark's frame aggregates in (time, tie) order -- the same arithmetic as
+    # the frame form, so a tie at the threshold is decided the same way
+    # every run (a grouped aggregate would merge partial sums in any order).
+    cw = Window.partitionBy("sensor_id", "_micros", "_tie").orderBy("_r_micros", "_r_tie").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    stats = (cx.join(rows, cond, "inner")
+               .select("sensor_id", "_micros", "_tie", "_r_micros", "_r_tie",
+                       F.count(F.lit(1)).over(cw).alias("_xn"),
+                       F.count_if(F.col("_r_bad")).over(cw).alias("_xbad"),
+                       F.avg("_r_v").over(cw).alias("_xmean"),
+                       F.stddev_pop("_r_v").over(cw).alias("_xstd"))
+               .filter((F.col("_r_micros") == F.col("_micros")) & (F.col("_r_tie") == F.col("_tie")))
+               .drop("_r_micros", "_r_tie"))
     xz = F.try_divide(F.col("_v") - F.col("_xmean"), F.col("_xstd"))
     rechecked = (cands.join(stats, ["sensor_id", "_micros", "_tie"], "inner")
                       .filter(_flag(F.col("_xn"), F.col("_xbad"), F.col("_xstd"), xz, threshold))
