@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorflow import rules
+from sensorflow import rules, session
 
 _EPS = 2.220446049250313e-16
 _TIE_BITS = 2048          # frame form: key = micros * 2048 + rank among equal times
@@ -170,7 +170,8 @@ def _frame(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
         F.col("_xmean").alias("_mean"), F.col("_xstd").alias("_std"))
 
 
-def _offset_sweep(prep: DataFrame, cols: list[str], window_us: int, k: int, threshold: float) -> DataFrame:
+def _offset_sweep(prep: DataFrame, cols: list[str], window_us: int, k: int, threshold: float,
+                  materialize: bool = True) -> DataFrame:
     """Sweep with blocks shorter than the window (``window = k * block``), no copies.
 
     Each row emits an *enter* event into the block of its time and a *leave*
@@ -194,6 +195,12 @@ def _offset_sweep(prep: DataFrame, cols: list[str], window_us: int, k: int, thre
                    F.col("_e.k").alias("_kind"), F.col("_e.o").alias("_ord"),
                    F.expr(f"_e.o div {block_us}").alias("_eblk"))
     sh = ev.repartition("sensor_id", "_eblk")
+    if materialize:
+        # several consumers below (block totals, window pass, band join): cut
+        # the lineage once in the shared checkpoint folder so none of them
+        # recomputes the input plan
+        session.checkpoint_dir(sh.sparkSession)
+        sh = sh.checkpoint(eager=True)
 
     # per-block enter totals: count, bad count, mean and M2 of good values, hash sums
     good_v = F.when(~F.col("_bad"), F.col("_v"))
@@ -305,7 +312,8 @@ def _flag(n: Column, nbad: Column, std: Column, z: Column, threshold: float) ->
 
 def rolling_zscore(df: DataFrame, *, window_seconds: int = rules.ZSCORE_WINDOW_SECONDS,
                    threshold: float = rules.ZSCORE_THRESHOLD, tie: str | None = "raw_event_id",
-                   block_seconds: int = 4 * 3600, method: str = "sweep") -> DataFrame:
+                   block_seconds: int = 4 * 3600, method: str = "sweep",
+                   materialize: bool = True) -> DataFrame:
     """Flagged rows of ``df`` with ``_z``, ``_mean``, ``_std`` and ``_wn`` (window rows).
 
     ``df`` needs ``sensor_id``, ``event_ts`` (timestamp) and ``value``; ``tie``
@@ -327,7 +335,7 @@ def rolling_zscore(df: DataFrame, *, window_seconds: int = rules.ZSCORE_WINDOW_S
         raise ValueError(f"unknown method {method!r}")
     prep = _prepare(df, tie, window_us, block_us)
     if block_seconds < window_seconds:
-        return _offset_sweep(prep, cols, window_us, window_seconds // block_seconds, threshold)
+        return _offset_sweep(prep, cols, window_us, window_seconds // block_seconds, threshold, materialize)
     copies = _partitioned_copies(prep, window_us, block_us)
     ev = _classify_sweep(_sweep(copies, window_us, block_us), threshold)
     # Partitions holding a row the sweep cannot decide are re-scored exactly

@@ -243,6 +243,7 @@ SELECT sensor_id, sensor_type, event_ts, round(value, 6) AS value, anomaly_type,
     z = with_ctes(*(en + [ZSCORE_CTE])) + "SELECT * FROM zscores"
     q["temperature_zscore"] = z
     q["temperature_zscore_sweep"] = z
+    q["temperature_zscore_offsets"] = z
     q["all_anomalies"] = with_ctes(*(en + [ZSCORE_CTE, MOTION_CTE, DOOR_CTE])) + """
 SELECT sensor_id, sensor_type, event_ts, round(value, 6) AS value, anomaly_type, score FROM zscores
 UNION ALL SELECT sensor_id, sensor_type, event_ts, round(value, 6), anomaly_type, score FROM bursts

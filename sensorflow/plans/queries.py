@@ -149,9 +149,9 @@ def q_door_after_hours(spark, sf_dir):
         "sensor_id", "sensor_type", _ntz("event_ts"), "value", "anomaly_type", "score", "reason")
 
 
-def _zscore(method: str):
+def _zscore(method: str, block_seconds: int = 4 * 3600):
     def q(spark, sf_dir):
-        t = A.temperature_anomalies(enriched(spark, sf_dir), method=method)
+        t = A.temperature_anomalies(enriched(spark, sf_dir), method=method, block_seconds=block_seconds)
         return t.select("sensor_id", "sensor_type", _ntz("event_ts"), "value", "anomaly_type", "score")
     return q
 
@@ -242,6 +242,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "door_after_hours": q_door_after_hours,
         "temperature_zscore": _zscore("frame"),
         "temperature_zscore_sweep": _zscore("sweep"),
+        "temperature_zscore_offsets": _zscore("sweep", block_seconds=900),
         "all_anomalies": q_all_anomalies,
         "readings_sink_rows": q_readings_sink_rows,
         "mark_processed_remaining": q_mark_processed_remaining,

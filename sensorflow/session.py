@@ -29,7 +29,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-          .config("spark.sql.adaptive.skewJoin.enabled", "true"))
+          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+          # duplicate JSON keys: the last one wins, as in a JSONB column
+          .config("spark.sql.variant.allowDuplicateKeys", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()

@@ -71,3 +71,18 @@ def test_clean_by_ids_semi_join(spark):
                                (3, "a", "t", 1.0, None, datetime(2024, 6, 3, 3), None)], schemas.CLEAN)
     ids = spark.createDataFrame([(2,), (1,), (1,)], "id long")
     assert [r["raw_event_id"] for r in clean_by_ids(c, ids).collect()] == [2, 1]
+
+
+def test_optional_columns_added(spark):
+    from sensorflow.sinks.tables import with_optional_columns
+    df = spark.createDataFrame([(1, "a")], "raw_event_id long, sensor_id string")
+    out = with_optional_columns(df)
+    assert {"zone", "location", "unit"} <= set(out.columns) and out.first()["zone"] is None
+
+
+def test_from_records(spark):
+    from sensorflow.sources.landing import from_records
+    df = from_records(spark, [{"id": 1, "sensor_id": "s", "value": "1.5", "timestamp": "2024-06-03T10:00:00Z"},
+                              {"id": 2}])
+    assert df.columns == schemas.FLAT.fieldNames() and df.count() == 2
+    assert df.filter("id = 1").first()["value"] == "1.5"
