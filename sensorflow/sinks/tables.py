@@ -107,9 +107,8 @@ def primary_key_violations(df: DataFrame, key: str | Sequence[str] = "sensor_id"
 def write_batch(df: DataFrame, path: str, batch_id: int | str, fmt: str = "parquet",
                 partition_by: Sequence[str] = ()) -> None:
     """K1/K4-K6: append one batch; a replay of ``batch_id`` overwrites only its partition."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.withColumn("batch_id", F.lit(str(batch_id)))
        .write.mode("overwrite").format(fmt)
+       .option("partitionOverwriteMode", "dynamic")
        .partitionBy("batch_id", *partition_by)
        .save(path))
