@@ -119,12 +119,42 @@ def test_sweep_equals_frame_random(spark):
             v = rnd.choice([22.0, 22.0, 21.5, 23.25]) if rnd.random() < 0.9 else rnd.uniform(-40, 90)
             rows.append(dict(raw_event_id=len(rows) + 1, sensor_id=s, value=round(v, 2), event_ts=t))
     df = enriched_rows(spark, rows)
+    brute = _brute_force_flags(rows, threshold=1.5)
     for block in (900, 1200, 3600, 7200):
         a = rolling_zscore(df, method="sweep", threshold=1.5, block_seconds=block)
         b = rolling_zscore(df, method="frame", threshold=1.5, block_seconds=block)
         ra = {r["raw_event_id"]: (r["_wn"], round(r["_z"], 7)) for r in a.collect()}
         rb = {r["raw_event_id"]: (r["_wn"], round(r["_z"], 7)) for r in b.collect()}
         assert ra == rb and len(ra) > 10
+        sure = {i for i, (n, z) in brute.items() if abs(abs(z) - 1.5) > 1e-9}
+        assert {i for i in ra if i in sure or i not in brute} == {i for i in sure}
+        for i in sure:
+            assert ra[i][0] == brute[i][0] and abs(ra[i][1] - brute[i][1]) < 1e-6
+
+
+def _brute_force_flags(rows, threshold, window_s=3600):
+    """Direct model of the window rule: per sensor, sort by (time, id); the window
+    of row i is rows j <= i (by position) with 0 <= t_i - t_j <= window."""
+    import numpy as np
+    out = {}
+    by_sensor = {}
+    for r in rows:
+        by_sensor.setdefault(r["sensor_id"], []).append(r)
+    for rs in by_sensor.values():
+        rs.sort(key=lambda r: (r["event_ts"], r["raw_event_id"]))
+        for i, r in enumerate(rs):
+            win = [x["value"] for x in rs[:i + 1]
+                   if (r["event_ts"] - x["event_ts"]).total_seconds() <= window_s]
+            if len(win) < 2:
+                continue
+            a = np.array(win, dtype=float)
+            sd = a.std()
+            if sd == 0:
+                continue
+            z = (r["value"] - a.mean()) / sd
+            if abs(z) > threshold:
+                out[r["raw_event_id"]] = (len(win), z)
+    return out
 
 
 def motion(n, baseline, start=BASE, sensor="motion-01", value=1.0):

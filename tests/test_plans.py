@@ -43,3 +43,13 @@ def test_no_shuffle_keyed_by_sensor_alone(spark):
 def test_batch_cap_is_top_n(spark):
     p = plan(queries()["unprocessed_batch"](spark, SF))
     assert "TakeOrderedAndProject" in p
+
+
+def test_dedup_combines_map_side(spark):
+    p = plan(queries()["dedup_keep_first"](spark, SF))
+    assert "partial_min_by" in p  # repeats collapse before the shuffle (hot keys never land whole)
+
+
+def test_motion_counts_are_hash_aggregated(spark):
+    p = plan(queries()["motion_minute_counts"](spark, SF))
+    assert "HashAggregate(keys=[sensor_id" in p and "partial_min_by" in p
