@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow import rules, session
+from sensorflow import session
 from sensorflow.operators import clean as C
 from sensorflow.operators import detect as A
 from sensorflow.operators.enrich import enrich_events, time_features
