@@ -67,9 +67,13 @@ def range_violation(sensor_type: Column, value: Column,
 
 def classify(flat: DataFrame, ranges: Mapping[str, tuple[float, float]] = rules.VALID_RANGES,
              timestamp_formats: Sequence[str] = rules.EXTRA_TIMESTAMP_FORMATS,
-             dedup: bool = True) -> DataFrame:
-    """Dedup + one ``reason`` column (NULL = clean) + typed ``_value`` / ``_event_ts``."""
-    df = dedup_keep_first(flat) if dedup else flat
+             dedup: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """Dedup + one ``reason`` column (NULL = clean) + typed ``_value`` / ``_event_ts``.
+
+    ``by`` (e.g. ``("batch_id",)``) keeps repeats in different batches apart,
+    reproducing batch-local runs over a whole table.
+    """
+    df = dedup_keep_first(flat, ("sensor_id", "timestamp", *by)) if dedup else flat
     extra = []
     if "payload" not in df.columns:
         extra.append("CAST(NULL AS STRING) AS payload")
@@ -89,8 +93,8 @@ def classify(flat: DataFrame, ranges: Mapping[str, tuple[float, float]] = rules.
     return df.selectExpr("*", reason)
 
 
-def clean_rows(classified: DataFrame) -> DataFrame:
-    """Rows without a reason, projected to the ``CLEAN`` schema."""
+def clean_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows without a reason, projected to the ``CLEAN`` schema (+ ``keep``)."""
     recv = F.col("received_at") if "received_at" in classified.columns else F.lit(None).cast("timestamp")
     return classified.filter(F.col("reason").isNull()).select(
         F.col("id").cast("long").alias("raw_event_id"),
@@ -100,6 +104,7 @@ def clean_rows(classified: DataFrame) -> DataFrame:
         F.col("unit").cast("string"),
         F.col("_event_ts").alias("event_ts"),
         recv.alias("received_at"),
+        *[F.col(c) for c in keep],
     )
 
 

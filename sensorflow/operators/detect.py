@@ -6,6 +6,8 @@ range rules, which lower-case it).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +29,23 @@ def _event_ts(df: DataFrame) -> DataFrame:
 def temperature_anomalies(enriched: DataFrame, *, method: str = "sweep",
                           threshold: float = rules.ZSCORE_THRESHOLD,
                           window_seconds: int = rules.ZSCORE_WINDOW_SECONDS,
-                          block_seconds: int = 4 * 3600) -> DataFrame:
-    """A1: rolling z-score of temperature readings (see ``operators.rolling``)."""
+                          block_seconds: int = 4 * 3600, by: Sequence[str] = ()) -> DataFrame:
+    """A1: rolling z-score of temperature readings (see ``operators.rolling``).
+
+    ``by`` adds partition keys (e.g. ``("batch_id",)``): windows never cross
+    them, which reproduces batch-local scoring over a whole table.
+    """
     df = _event_ts(enriched).filter(F.col("sensor_type") == "temperature")
     keep = [c for c in ("sensor_id", "sensor_type", "event_ts", "value", "raw_event_id") if c in df.columns]
+    if by:
+        # the window key becomes (sensor, *by); the sensor id is restored after
+        df = df.withColumn("_sensor", F.col("sensor_id")).withColumn(
+            "sensor_id", F.to_json(F.struct(F.col("sensor_id"), *[F.col(c) for c in by])))
+        keep = keep + ["_sensor"]
     flagged = rolling_zscore(df.select(*keep), window_seconds=window_seconds, threshold=threshold,
                              block_seconds=block_seconds, method=method)
+    if by:
+        flagged = flagged.withColumn("sensor_id", F.col("_sensor")).drop("_sensor")
     reason = F.format_string(
         f"Z-score %.2f exceeds threshold +-{threshold} (window mean=%.2f, std=%.2f)",
         F.col("_z"), F.col("_mean"), F.col("_std"))
@@ -43,7 +56,7 @@ def temperature_anomalies(enriched: DataFrame, *, method: str = "sweep",
         reason.alias("reason"))
 
 
-def motion_minute_counts(enriched: DataFrame) -> DataFrame:
+def motion_minute_counts(enriched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A2a-b: per (sensor, type, minute): count of all rows, first baseline,
     first event time (input order), mean value.  Partial aggregation map-side."""
     df = _event_ts(enriched).filter((F.col("sensor_type") == "motion")
@@ -52,7 +65,7 @@ def motion_minute_counts(enriched: DataFrame) -> DataFrame:
     if key is None:
         key = order_key(df, ("received_at", "raw_event_id", "id", "event_ts"))
     return (df.withColumn("minute_bucket", F.date_trunc("minute", F.col("event_ts")))
-              .groupBy("sensor_id", "sensor_type", "minute_bucket")
+              .groupBy("sensor_id", "sensor_type", "minute_bucket", *by)
               .agg(F.count(F.lit(1)).alias("event_count"),
                    first_in_order("baseline_events_per_min", key).alias("baseline_events_per_min"),
                    first_in_order("event_ts", key).alias("event_ts"),
@@ -61,13 +74,13 @@ def motion_minute_counts(enriched: DataFrame) -> DataFrame:
 
 def motion_anomalies(enriched: DataFrame, metadata: DataFrame | None = None,
                      multiplier: float = rules.MOTION_BASELINE_MULTIPLIER,
-                     with_count: bool = False) -> DataFrame:
+                     with_count: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """A2: minutes whose count exceeds ``multiplier`` x the sensor baseline.
 
     ``with_count`` keeps the minute's ``event_count`` as an extra column."""
     if metadata is not None:
         enriched = with_baseline(enriched, metadata)
-    counts = motion_minute_counts(enriched)
+    counts = motion_minute_counts(enriched, by)
     base = F.col("baseline_events_per_min")
     limit = base * F.lit(multiplier)
     score = F.when(base == 0, F.lit(float("inf"))).otherwise(
@@ -90,10 +103,14 @@ def door_anomalies(enriched: DataFrame) -> DataFrame:
         F.lit(rules.DOOR_REASON).alias("reason"))
 
 
-def detect_anomalies(enriched: DataFrame, *, method: str = "sweep", block_seconds: int = 4 * 3600) -> DataFrame:
-    """A4-A5: union of the three detectors; always the ``ANOMALY`` schema."""
-    parts = [temperature_anomalies(enriched, method=method, block_seconds=block_seconds),
-             motion_anomalies(enriched),
+def detect_anomalies(enriched: DataFrame, *, method: str = "sweep", block_seconds: int = 4 * 3600,
+                     by: Sequence[str] = ()) -> DataFrame:
+    """A4-A5: union of the three detectors; always the ``ANOMALY`` schema.
+
+    ``by`` keeps windows and minute counts inside each value of those columns.
+    """
+    parts = [temperature_anomalies(enriched, method=method, block_seconds=block_seconds, by=by),
+             motion_anomalies(enriched, by=by),
              door_anomalies(enriched)]
     out = parts[0]
     for p in parts[1:]:

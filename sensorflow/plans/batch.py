@@ -41,7 +41,7 @@ class BatchResult:
 
 def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
             staging: str | None = None, observe: str | None = None,
-            block_seconds: int = 4 * 3600) -> BatchResult:
+            block_seconds: int = 4 * 3600, by: tuple[str, ...] = ()) -> BatchResult:
     """Plan of one batch (no sink writes).
 
     ``staging`` names a folder in shared storage: the classified frame (the
@@ -49,10 +49,11 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
     once and read back, which cuts the lineage and keeps the dedup shuffle
     from being recomputed by each sink.  The folder is overwritten by the next
     run, so nothing accumulates.  ``observe`` names the run counters
-    (``Observation`` metrics, no extra job).
+    (``Observation`` metrics, no extra job).  ``by`` (e.g. ``("batch_id",)``)
+    keeps dedup, windows and minute counts inside each batch (D13).
     """
     session.ensure_utc(landing.sparkSession)
-    classified = classify(flatten_payload(landing))
+    classified = classify(flatten_payload(landing, keep=by), by=by)
     metrics: dict[str, Observation] = {}
     if observe:
         # T4 run counters, collected by the job that computes the frame (no extra job)
@@ -64,10 +65,10 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
     if staging:
         classified.write.mode("overwrite").parquet(staging)
         classified = landing.sparkSession.read.parquet(staging)
-    clean = clean_rows(classified)
+    clean = clean_rows(classified, keep=by)
     dead = dead_letter_rows(classified)
     enriched = enrich_events(clean, metadata)
-    anomalies = detect_anomalies(enriched, method=method, block_seconds=block_seconds)
+    anomalies = detect_anomalies(enriched, method=method, block_seconds=block_seconds, by=by)
     readings = reading_rows(enriched)
     if observe:
         metrics["readings"] = Observation(f"{observe}_readings")

@@ -32,7 +32,7 @@ def unprocessed_batch(landing: DataFrame, limit: int | None = rules.BATCH_LIMIT,
     return pending.orderBy(F.col("received_at").asc_nulls_last(), F.col("id").asc_nulls_last()).limit(limit)
 
 
-def flatten_payload(landing: DataFrame) -> DataFrame:
+def flatten_payload(landing: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Landing row -> ``FLAT`` row.
 
     ``value``, ``unit`` and ``timestamp`` come from the JSON payload (duplicate
@@ -64,6 +64,7 @@ def flatten_payload(landing: DataFrame) -> DataFrame:
         field("timestamp").alias("timestamp"),
         F.col("received_at"),
         body.alias("payload"),
+        *[F.col(c) for c in keep],
     )
 
 
