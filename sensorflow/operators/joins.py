@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension above this estimate is joined by shuffle (sort-merge, with AQE
-# skew splitting) instead of being broadcast.
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# Used when the session has no readable threshold.
+DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -20,13 +19,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    spark = df.sparkSession
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = never)."""
+    v = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     try:
-        v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        n = int(str(v).lower().replace("b", "")) if v is not None else -1
-    except (ValueError, TypeError):
-        n = -1
-    return max(n, DEFAULT_BROADCAST_LIMIT)
+        v = v[:-1] if v.endswith("b") else v
+        if v and v[-1] in units:
+            return int(float(v[:-1]) * units[v[-1]])
+        return int(v)
+    except ValueError:
+        return DEFAULT_BROADCAST_LIMIT
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
@@ -37,7 +39,7 @@ def dimension_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: st
     the key, AQE may still switch to broadcast at run time, and AQE skew-join
     splits a hot key on the fact side).
     """
-    size = estimated_bytes(dim)
-    if size is not None and size <= broadcast_limit(dim):
+    size, limit = estimated_bytes(dim), broadcast_limit(dim)
+    if size is not None and 0 <= size <= limit:
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)

@@ -83,3 +83,16 @@ def test_dimension_is_broadcast(spark):
     df = enrich_events(clean_df(spark, [{}]), seed_metadata(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_broadcast_respects_session_threshold(spark):
+    from sensorflow.operators.joins import broadcast_limit
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = enrich_events(clean_df(spark, [{}]), seed_metadata(spark))
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20m")
+        assert broadcast_limit(df) == 20 * 1024 * 1024
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
