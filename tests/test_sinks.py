@@ -86,3 +86,20 @@ def test_from_records(spark):
                               {"id": 2}])
     assert df.columns == schemas.FLAT.fieldNames() and df.count() == 2
     assert df.filter("id = 1").first()["value"] == "1.5"
+
+
+def test_dimension_scan_with_declared_schema(spark):
+    from sensorflow.sources.landing import read_table
+    root = tempfile.mkdtemp(prefix="sf-dim-")
+    seed_metadata(spark).write.parquet(os.path.join(root, "meta"))
+    df = read_table(spark, os.path.join(root, "meta"), schemas.METADATA)
+    assert df.schema == schemas.METADATA and df.count() == 6
+
+
+def test_anomaly_guard(spark):
+    from sensorflow.sinks.tables import anomaly_rows
+    rows = [(None, "door", datetime(2024, 6, 3), 1.0, "door_outside_hours", 1.0, "r"),
+            ("d", "door", datetime(2024, 6, 3), float("nan"), "door_outside_hours", float("nan"), "r")]
+    out = anomaly_rows(spark.createDataFrame(rows, schemas.ANOMALY)).orderBy("sensor_id").collect()
+    assert out[0]["reject_reason"] == "null sensor_id"
+    assert out[1]["reject_reason"] is None and out[1]["value"] is None and out[1]["score"] is None
