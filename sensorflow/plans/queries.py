@@ -27,18 +27,20 @@ def _ntz(c: str) -> F.Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
-_PLANS: dict[tuple, DataFrame] = {}
+_PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
 
 
 def _shared(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Reuse a lazy base plan across queries of one session (no data is cached:
-    every query still reads and computes from the files; only the driver-side
-    plan building is shared)."""
+    """Reuse a lazy base plan across queries of one live session (no data is
+    cached: every query still reads and computes from the files; only the
+    driver-side plan building is shared)."""
     session.ensure_utc(spark)
-    key = (name, id(spark._jsparkSession), sf_dir)
-    df = _PLANS.get(key)
-    if df is None:
-        df = _PLANS[key] = build()
+    key = (name, sf_dir)
+    hit = _PLANS.get(key)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    df = build()
+    _PLANS[key] = (spark, df)
     return df
 
 
