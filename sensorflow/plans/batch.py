@@ -9,6 +9,7 @@ by (sensor, raw timestamp), z-score by (sensor, time block), motion counts by
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -79,19 +80,33 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
                        readings=readings, landing_ids=landing.select("id"), metrics=metrics)
 
 
-def write_outputs(result: BatchResult, out_root: str, batch_id: int | str) -> None:
-    """K6: all sinks of one batch, each idempotent on ``batch_id``; the processed
-    ledger is written last, so a failure before it replays the whole batch."""
+def write_outputs(result: BatchResult, out_root: str, batch_id: int | str, parallel: bool = True) -> None:
+    """K6: all sinks of one batch, each idempotent on ``batch_id``.
+
+    The four data sinks are independent Spark jobs and are submitted together
+    (one driver thread each); the processed ledger is written only after all of
+    them succeeded, so a failure anywhere replays the whole batch.
+    """
     readings = result.readings
     ok = readings.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejected = readings.filter(F.col("reject_reason").isNotNull()).select(
         "raw_event_id", F.lit(None).cast("string").alias("payload"), "reject_reason")
-    write_batch(ok.withColumn("event_date", F.to_date("event_ts")), f"{out_root}/sensor_readings",
-                batch_id, partition_by=("event_date",))
     anomalies = anomaly_rows(result.anomalies).filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    write_batch(anomalies, f"{out_root}/anomalies", batch_id)
-    write_batch(dead_letter_sink_rows(result.dead_letters, rejected), f"{out_root}/dead_letter_events", batch_id)
-    write_batch(result.clean, f"{out_root}/clean_events", batch_id)
+    jobs = [
+        lambda: write_batch(ok.withColumn("event_date", F.to_date("event_ts")), f"{out_root}/sensor_readings",
+                            batch_id, partition_by=("event_date",)),
+        lambda: write_batch(anomalies, f"{out_root}/anomalies", batch_id),
+        lambda: write_batch(dead_letter_sink_rows(result.dead_letters, rejected),
+                            f"{out_root}/dead_letter_events", batch_id),
+        lambda: write_batch(result.clean, f"{out_root}/clean_events", batch_id),
+    ]
+    if parallel:
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(j) for j in jobs]:
+                f.result()
+    else:
+        for j in jobs:
+            j()
     mark_processed(f"{out_root}/processed_ledger", result.landing_ids, batch_id)
 
 
