@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 def subscribe(messages: DataFrame, prefix: str) -> DataFrame:
     """Topic filter equivalent to subscribing to ``<prefix>/#`` (S3).
 
-    Matches the bare prefix too, as the MQTT multi-level wildcard does.
+    Matches the bare prefix too, as a multi-level topic wildcard does.
     """
     t = F.col("topic")
     return messages.filter((t == F.lit(prefix)) | t.startswith(prefix + "/"))
