@@ -35,8 +35,9 @@ def dedup_keep_first(flat: DataFrame, keys: Sequence[str] = ("sensor_id", "times
     """
     cols = flat.columns
     key = order_key(flat)
-    winner = F.min_by(F.struct(*[F.col(c) for c in cols]), key).alias("_w")
-    return flat.groupBy(*keys).agg(winner).select("_w.*")
+    rest = [c for c in cols if c not in keys]  # the keys come out of the grouping itself
+    winner = F.min_by(F.struct(*[F.col(c) for c in rest]), key).alias("_w")
+    return flat.groupBy(*keys).agg(winner).select(*[F.col(c) if c in keys else F.col(f"_w.{c}") for c in cols])
 
 
 def range_violation_sql(type_sql: str, value_sql: str,
