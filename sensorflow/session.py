@@ -25,6 +25,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode runs every task inside the driver JVM: give it room
+            # (Spark's default heap is 1 GB); a cluster deployment sets its own
+            b = b.config("spark.driver.memory", os.environ.get("SENSORFLOW_DRIVER_MEMORY", "16g"))
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.adaptive.enabled", "true")
