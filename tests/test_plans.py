@@ -53,3 +53,13 @@ def test_dedup_combines_map_side(spark):
 def test_motion_counts_are_hash_aggregated(spark):
     p = plan(queries()["motion_minute_counts"](spark, SF))
     assert "HashAggregate(keys=[sensor_id" in p and "partial_min_by" in p
+
+
+@pytest.mark.parametrize("name", ["door_after_hours", "time_features", "clean_events"])
+def test_timestamp_parse_stays_above_dedup(spark, name):
+    # Moving the multi-format parse below the dedup aggregate (as a pushed filter)
+    # made these queries ~20x slower and ran a 1 GB driver out of memory.
+    lines = plan(queries()[name](spark, SF)).splitlines()
+    first_partial = min(i for i, l in enumerate(lines) if "partial_min_by" in l)
+    parse_lines = [i for i, l in enumerate(lines) if "gettimestamp" in l]
+    assert parse_lines and all(i < first_partial for i in parse_lines)
