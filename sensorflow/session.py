@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
@@ -26,9 +29,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         b = b.master(master)
         if master.startswith("local"):
-            # local mode runs every task inside the driver JVM: give it room
-            # (Spark's default heap is 1 GB); a cluster deployment sets its own
-            b = b.config("spark.driver.memory", os.environ.get("SENSORFLOW_DRIVER_MEMORY", "16g"))
+            # local mode runs every task inside the driver JVM (Spark's default heap is 1 GB)
+            b = b.config("spark.driver.memory", os.environ.get("SENSORFLOW_DRIVER_MEMORY", "4g"))
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.adaptive.enabled", "true")
@@ -45,15 +47,38 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by ``spark.checkpoint.dir``.
+def is_local(spark: SparkSession) -> bool:
+    """True when driver and tasks share one process (``local`` or ``local[...]``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
-    The cluster's setting is used as is; only when it is unset (local tests)
-    a fresh scratch folder is created.
+
+def checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """Shared folder for checkpoints and staged tables.
+
+    ``folder``, else the cluster's ``spark.checkpoint.dir``, is used as is.  When
+    both are unset, a local session gets a scratch folder that is removed at exit;
+    on a cluster that is an error, as executors would write to their own disks.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="sensorflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to a new table in the shared folder and read it back.
+
+    Cuts lineage like ``checkpoint()``, but keeps columns prunable, filters
+    pushable and no inherited partitioning, so a later join deals both sides anew
+    and AQE can split a hot key.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/staged/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sensorflow.plans.oracle import oracle_queries
+from sensorflow.plans.queries import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,10 +35,11 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registry()) == set(oracle_queries())
+    assert set(registry()) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n != "streaming_readings"])
+@pytest.mark.parametrize("name", [n for n in registry() if n != "streaming_readings"])
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     r = con.sql(oracle_sql()[name])
