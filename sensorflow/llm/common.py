@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: one run of the white space that separates words (Java and Python regex)
@@ -77,3 +78,23 @@ def gram_hashes(words: np.ndarray, n: int, seed: int = 0x9E3779B97F4A7C15) -> np
     for i in range(n):
         h = mix64(h * np.uint64(0x100000001B3) + words[i:i + m])
     return h
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of ``texts`` in order, and the number of words per text."""
+    split = [t.split() for t in texts]
+    flat = [w for ws in split for w in ws]
+    hashed = {w: xxhash.xxh3_64_intdigest(w) for w in set(flat)}
+    return (np.fromiter(map(hashed.__getitem__, flat), np.uint64, len(flat)),
+            np.fromiter(map(len, split), np.int64, len(split)))
+
+
+def long_array(h: np.ndarray) -> pa.Array:
+    """Unsigned 64-bit values as Spark longs of the same bits."""
+    return pa.array(np.ascontiguousarray(h, np.uint64).view(np.int64))
+
+
+def dealt_anew(column: str) -> Column:
+    """The same long as a new expression: a join on it deals an aggregated side out again, so
+    both sides are plain exchanges and AQE can split a hot key."""
+    return F.col(column).bitwiseXOR(F.lit(0).cast("long")).alias(column)
