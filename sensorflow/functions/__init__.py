@@ -3,7 +3,6 @@
 from sensorflow.functions.columns import (
     first_in_order,
     iso_utc_text,
-    numeric_value,
     order_key,
     parse_event_time,
     wall_clock_features,
@@ -12,7 +11,6 @@ from sensorflow.functions.columns import (
 __all__ = [
     "first_in_order",
     "iso_utc_text",
-    "numeric_value",
     "order_key",
     "parse_event_time",
     "wall_clock_features",

@@ -15,6 +15,12 @@ from pyspark.sql import types as T
 from sensorflow import rules
 
 
+#: ISO text with a date: a year, then a separator or nothing
+DATED = "^[0-9]{4}([-T ]|$)"
+#: lower-case text of a number
+NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?$|^[+-]?(nan|inf|infinity)$"
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -22,7 +28,7 @@ def _q(name: str) -> str:
 def parse_event_time_sql(text_sql: str, formats: Sequence[str] = rules.EXTRA_TIMESTAMP_FORMATS) -> str:
     """SQL text of :func:`parse_event_time` over the SQL expression ``text_sql``."""
     t = f"trim({text_sql})"
-    tries = [f"try_to_timestamp({t})"] + [f"try_to_timestamp({t}, '{f}')" for f in formats]
+    tries = [f"CASE WHEN {t} RLIKE '{DATED}' THEN try_to_timestamp({t}) END"] + [f"try_to_timestamp({t}, '{f}')" for f in formats]
     return tries[0] if len(tries) == 1 else "coalesce(" + ", ".join(tries) + ")"
 
 
@@ -32,42 +38,44 @@ def parse_event_time(text: Column | str,
 
     The ISO-8601 family (date only, ``T`` or space separator, fractional seconds,
     ``Z`` or ``+hh:mm`` offsets) comes from the cast rules; zone-less text is read
-    in the session time zone, which the pipeline pins to UTC.  The extra layouts
+    in the session time zone, which the pipeline pins to UTC.  Text without a date
+    (``10:00:00``) doesn't count: the cast would add today's.  The extra layouts
     are tried in order afterwards.  ``text`` may be a column name or a Column.
     """
     if isinstance(text, str):
         return F.expr(parse_event_time_sql(_q(text), formats))
     c = F.trim(text)
-    tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(c, F.lit(f)) for f in formats]
+    tries = [F.when(c.rlike(DATED), F.try_to_timestamp(c))] + [F.try_to_timestamp(c, F.lit(f)) for f in formats]
     return F.coalesce(*tries)
 
 
 def numeric_value_sql(df: DataFrame, name: str = "value") -> str:
-    """SQL text of :func:`numeric_value`."""
+    """SQL text: reading value -> DOUBLE, NULL when not numeric.
+
+    Strings must be decimal numbers, ``NaN`` or ``Infinity`` (the cast alone also
+    takes Java literals such as ``22d`` and ``0x1p3``); ``true``/``false`` map to
+    1.0/0.0; numeric and boolean columns are cast.
+    """
     dtype = df.schema[name].dataType
     c = _q(name)
     if isinstance(dtype, (T.BooleanType, T.NumericType)):
         return f"CAST({c} AS DOUBLE)"
     s = f"lower(trim(CAST({c} AS STRING)))"
     return (f"CASE WHEN {s} = 'true' THEN 1.0D WHEN {s} = 'false' THEN 0.0D "
-            f"ELSE try_cast(trim(CAST({c} AS STRING)) AS DOUBLE) END")
-
-
-def numeric_value(df: DataFrame, name: str = "value") -> Column:
-    """Reading value -> DOUBLE, NULL when not numeric.
-
-    Strings are cast with ``try_cast`` (numeric text, ``NaN``, ``Infinity``);
-    ``true``/``false`` map to 1.0/0.0; numeric and boolean columns are cast.
-    """
-    return F.expr(numeric_value_sql(df, name))
+            f"WHEN {s} RLIKE '{NUMBER}' THEN try_cast({s} AS DOUBLE) END")
 
 
-def order_key(df: DataFrame, preferred: Sequence[str] = ("received_at", "raw_event_id", "id")) -> Column:
+def order_columns(df: DataFrame, preferred: Sequence[str] = ("received_at", "raw_event_id", "id")) -> list[Column]:
     """Deterministic "input order": arrival time first, then the landing id."""
     cols = [c for c in preferred if c in df.columns]
     if not cols:
         raise ValueError(f"no ordering column among {list(preferred)}")
-    return F.struct(*[F.col(c) for c in cols])
+    return [F.col(c) for c in cols]
+
+
+def order_key(df: DataFrame, preferred: Sequence[str] = ("received_at", "raw_event_id", "id")) -> Column:
+    """:func:`order_columns` as one struct."""
+    return F.struct(*order_columns(df, preferred))
 
 
 def packed_order_key(df: DataFrame, time_col: str = "received_at",

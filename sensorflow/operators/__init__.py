@@ -6,7 +6,6 @@ from sensorflow.operators.clean import (
     clean_rows,
     dead_letter_rows,
     dedup_keep_first,
-    range_violation,
 )
 from sensorflow.operators.detect import (
     detect_anomalies,
@@ -22,6 +21,6 @@ from sensorflow.operators.rolling import rolling_zscore
 __all__ = [
     "classify", "clean_events", "clean_rows", "dead_letter_rows", "dedup_keep_first",
     "detect_anomalies", "dimension_join", "door_anomalies", "enrich_events", "enrich_quality",
-    "motion_anomalies", "motion_minute_counts", "range_violation", "rolling_zscore",
+    "motion_anomalies", "motion_minute_counts", "rolling_zscore",
     "temperature_anomalies", "time_features", "with_baseline",
 ]

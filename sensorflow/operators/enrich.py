@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensorflow import schemas
@@ -50,7 +50,7 @@ def with_baseline(enriched: DataFrame, metadata: DataFrame) -> DataFrame:
     return dimension_join(enriched, dim, "sensor_id", "left")
 
 
-def enrich_quality(enriched: DataFrame, name: str = "enrich") -> DataFrame:
-    """Row count and rows without a zone as observed metrics (no extra job)."""
-    return enriched.observe(name, F.count(F.lit(1)).alias("rows"),
+def enrich_quality(enriched: DataFrame, metrics: Observation) -> DataFrame:
+    """Row count and rows without a zone, collected in ``metrics`` by the job that computes the frame."""
+    return enriched.observe(metrics, F.count(F.lit(1)).alias("rows"),
                             F.count_if(F.col("zone").isNull()).alias("rows_without_zone"))

@@ -1,45 +1,15 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Dimension joins, left to the planner."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Used when the session has no readable threshold.
-DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (None when unavailable)."""
-    try:
-        n = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate is advisory only
-        return None
-    return None if n >= (1 << 63) - 1 else n
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 = never)."""
-    v = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    try:
-        v = v[:-1] if v.endswith("b") else v
-        if v and v[-1] in units:
-            return int(float(v[:-1]) * units[v[-1]])
-        return int(v)
-    except ValueError:
-        return DEFAULT_BROADCAST_LIMIT
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Join a fact table to a dimension.
 
-    The dimension is broadcast only when Catalyst's size estimate is known and
-    under the limit; otherwise the join is left to the planner (sort-merge on
-    the key, AQE may still switch to broadcast at run time, and AQE skew-join
-    splits a hot key on the fact side).
+    Without a hint: Catalyst broadcasts a dimension whose estimate is within
+    ``spark.sql.autoBroadcastJoinThreshold``, AQE one whose measured size is; any
+    other joins by sort-merge on the key, where AQE splits a hot key of the fact side.
     """
-    size, limit = estimated_bytes(dim), broadcast_limit(dim)
-    if size is not None and 0 <= size <= limit:
-        dim = F.broadcast(dim)
     return fact.join(dim, on, how)

@@ -21,13 +21,15 @@ Two interchangeable implementations:
   and a *leave* event just past ``time + window``; running sums over the
   events (``ROWS UNBOUNDED PRECEDING``) give count, sum and sum of squares of
   the window in one sort, O(n log n) instead of O(n * window).  Values are
-  centred per partition.  Where round-off could decide the outcome (|z| within
-  the error bound of the threshold, or a window variance below its error
-  bound that is not provably constant) the row is recomputed exactly by a
-  band join to its own window rows.  Constant windows are proven constant
-  exactly with two hash sums (integer arithmetic, no round-off).
+  centred per partition; the round-off of the sums is bounded by the sum of
+  squares of the terms added *so far*, so one later outlier or a busy block
+  doesn't blur the windows before it.  A window is constant if the last two
+  differing neighbours don't both lie in it: compared exactly, no arithmetic.
+  Where round-off could decide the outcome (|z| within the bound of the
+  threshold, or a variance below its bound in a window that isn't constant),
+  that row alone is recomputed by a band join to its own window rows.
 * ``method="frame"``: a RANGE frame on a composite key, Spark's exact
-  aggregate per frame; O(n * window) -- the reference for tests.
+  aggregate per frame; O(n * window) -- the reference for tests only.
 
 ``block_seconds`` below the window (it must divide it) switches the sweep to
 the offset layout (:func:`_offset_sweep`): no context copies, a task holds one
@@ -57,7 +59,15 @@ def _prepare(df: DataFrame, tie: str | None, window_us: int, block_us: int) -> D
              .withColumn("_tie", tie_c)
              .withColumn("_v", v)
              .withColumn("_bad", bad))
-    return out.withColumn("_blk_own", F.expr(f"_micros div {block_us}"))
+    return out.withColumn("_blk_own", _block(F.col("_micros"), block_us))
+
+
+def _block(micros: Column, length: int) -> Column:
+    """Number of the block a time lies in, rounded down before 1970 as well.
+
+    The dividend is a multiple of ``length``, so the quotient is a whole double, exact below 2^53.
+    """
+    return ((micros - F.pmod(micros, F.lit(length))) / F.lit(length)).cast("long")
 
 
 def _with_copies(prep: DataFrame, window_us: int, block_us: int) -> DataFrame:
@@ -83,8 +93,14 @@ def _partitioned_copies(prep: DataFrame, window_us: int, block_us: int) -> DataF
 
 
 def _sweep(copies: DataFrame, window_us: int, block_us: int) -> DataFrame:
-    """Enter/leave events + running sums; one sort, each window spec one pass."""
+    """Enter/leave events + running sums; each window spec one pass over sorted rows."""
     end = (F.col("_blk") + 1) * block_us
+    byrow = Window.partitionBy("sensor_id", "_blk").orderBy("_micros", "_tie")
+    # time of the row before, where its value differs: a window that starts later may be constant
+    before, when = F.lag("_v").over(byrow), F.lag("_micros").over(byrow)
+    copies = copies.withColumn("_was", F.when(~F.coalesce(before == F.col("_v"), F.lit(False)), when))
+    copies = copies.withColumn("_changed", F.last("_was", ignorenulls=True).over(
+        byrow.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     events = F.array(
         F.struct(F.lit(0).alias("k"), F.col("_micros").alias("o")),
         F.struct(F.lit(1).alias("k"), (F.col("_micros") + window_us).alias("o")))
@@ -97,49 +113,43 @@ def _sweep(copies: DataFrame, window_us: int, block_us: int) -> DataFrame:
     run = Window.partitionBy("sensor_id", "_blk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     good_v = F.when((F.col("_kind") == 0) & ~F.col("_bad"), F.col("_v"))
-    ev = ev.select("*",
-                   F.coalesce(F.avg(good_v).over(part), F.lit(0.0)).alias("_centre"),
-                   F.count(F.lit(1)).over(part).alias("_pn"),
-                   F.coalesce(F.var_pop(good_v).over(part) * F.count(good_v).over(part),
-                              F.lit(0.0)).alias("_pm2"))
+    ev = ev.select("*", F.coalesce(F.avg(good_v).over(part), F.lit(0.0)).alias("_centre"))
     s = F.when(F.col("_kind") == 0, F.lit(1)).otherwise(F.lit(-1)).cast("long")
     sd = s.cast("double")
     c = F.when(F.col("_bad"), F.lit(0.0)).otherwise(F.col("_v") - F.col("_centre"))
-    good_s = F.when(F.col("_bad"), F.lit(0)).otherwise(s)
     ev = ev.withColumn("_c", c)
     return ev.select("*",
                      F.sum(s).over(run).alias("_n"),
                      F.sum(F.when(F.col("_bad"), s).otherwise(F.lit(0))).over(run).alias("_nbad"),
                      F.sum(sd * F.col("_c")).over(run).alias("_s1"),
                      F.sum(sd * F.col("_c") * F.col("_c")).over(run).alias("_s2"),
-                     F.sum(good_s * _hash(F.col("_v"), 1)).over(run).alias("_h1"),
-                     F.sum(good_s * _hash(F.col("_v"), 2)).over(run).alias("_h2"))
+                     F.count(F.lit(1)).over(run).alias("_terms"),
+                     F.sum(F.col("_c") * F.col("_c")).over(run).alias("_abs2"))
 
 
-def _classify_sweep(ev: DataFrame, threshold: float) -> DataFrame:
+def _state(n: Column, nbad: Column, c: Column, s1: Column, s2: Column, terms: Column, abs2: Column,
+           constant: Column, threshold: float) -> tuple[Column, Column, Column, Column]:
+    """``(state, z, mean - centre, std)`` of one window; state none, flag or recheck.
+
+    ``terms`` values were added up, ``abs2`` is the sum of their squares: a sum of
+    squares is off by at most ``4 eps terms abs2``, a plain sum by its root's share.
+    """
     # try_divide: a zero divisor gives NULL instead of an ANSI error
-    n = F.col("_n").cast("double")
-    mean_c = F.try_divide(F.col("_s1"), n)
-    var = F.greatest(F.try_divide(F.col("_s2"), n) - mean_c * mean_c, F.lit(0.0))
+    n = n.cast("double")
+    mean_c = F.try_divide(s1, n)
+    var = F.greatest(F.try_divide(s2, n) - mean_c * mean_c, F.lit(0.0))
     std = F.sqrt(var)
-    z = F.try_divide(F.col("_c") - mean_c, std)
-    m2_tol = F.lit(4 * _EPS) * F.col("_pn") * F.col("_pm2")
-    s1_tol = F.lit(4 * _EPS) * F.col("_pn") * F.sqrt(F.col("_pn") * F.col("_pm2"))
-    eligible = (F.col("_n") >= 2) & (F.col("_nbad") == 0)
-    all_equal = ((F.col("_h1") == F.col("_n") * _hash(F.col("_v"), 1))
-                 & (F.col("_h2") == F.col("_n") * _hash(F.col("_v"), 2)))
-    var_unreliable = n * var <= F.lit(1e6) * m2_tol
+    z = F.try_divide(c - mean_c, std)
+    m2_tol = F.lit(4 * _EPS) * terms * abs2
+    s1_tol = F.lit(4 * _EPS) * terms * F.sqrt(n * abs2)
+    unreliable = n * var <= F.lit(16) * m2_tol
     zdelta = F.lit(1e-9) + F.try_divide(m2_tol, n * var) + F.try_divide(s1_tol, n * std)
     near = F.coalesce(F.abs(F.abs(z) - F.lit(threshold)) <= F.lit(threshold) * zdelta, F.lit(True))
-    entry_owner = F.col("_owner") & (F.col("_kind") == 0)
-    state = (F.when(~entry_owner | ~eligible, F.lit("none"))
-              .when(all_equal & var_unreliable, F.lit("none"))
-              .when(var_unreliable, F.lit("recheck"))
-              .when(near, F.lit("recheck"))
+    state = (F.when(~((n >= 2) & (nbad == 0)) | constant, F.lit("none"))
+              .when(unreliable | near, F.lit("recheck"))
               .when(F.coalesce(F.abs(z) > F.lit(threshold), F.lit(False)), F.lit("flag"))
               .otherwise(F.lit("none")))
-    return ev.select("*", state.alias("_state"), z.alias("_z"), (F.col("_centre") + mean_c).alias("_mean"),
-                     std.alias("_std"), F.col("_n").alias("_wn"))
+    return state, z, mean_c, std
 
 
 def _frame_stats(df: DataFrame, window_us: int) -> DataFrame:
@@ -193,7 +203,7 @@ def _offset_sweep(prep: DataFrame, cols: list[str], window_us: int, k: int, thre
         F.struct(F.lit(1).alias("k"), (F.col("_micros") + window_us).alias("o")))).alias("_e"))
     ev = ev.select("sensor_id", *[F.when(enter, F.col(c)).alias(c) for c in payload], "_tie", "_v", "_bad",
                    F.col("_e.k").alias("_kind"), F.col("_e.o").alias("_ord"),
-                   F.expr(f"_e.o div {block_us}").alias("_eblk"))
+                   _block(F.col("_e.o"), block_us).alias("_eblk"))
     sh = ev.repartition("sensor_id", "_eblk")
     if materialize:
         # several consumers below (block totals, window pass, band join): cut
@@ -245,42 +255,37 @@ def _offset_sweep(prep: DataFrame, cols: list[str], window_us: int, k: int, thre
         (F.col("_oh2") + F.sum(good_s * _hash(F.col("_v"), 2)).over(run)).alias("_h2"))
     w = w.filter(F.col("_kind") == 0)
 
-    n = F.col("_n").cast("double")
-    mean_c = F.try_divide(F.col("_s1"), n)
-    var = F.greatest(F.try_divide(F.col("_s2"), n) - mean_c * mean_c, F.lit(0.0))
-    std = F.sqrt(var)
-    z = F.try_divide(F.col("_c") - mean_c, std)
-    terms = F.col("_pn") + F.lit(k + 2)
-    m2_tol = F.lit(4 * _EPS) * terms * F.col("_abs2")
-    s1_tol = F.lit(4 * _EPS) * terms * F.sqrt(n * F.col("_abs2"))
-    eligible = (F.col("_n") >= 2) & (F.col("_nbad") == 0)
-    all_equal = ((F.col("_h1") == F.col("_n") * _hash(F.col("_v"), 1))
-                 & (F.col("_h2") == F.col("_n") * _hash(F.col("_v"), 2)))
-    var_unreliable = n * var <= F.lit(1e6) * m2_tol
-    zdelta = F.lit(1e-9) + F.try_divide(m2_tol, n * var) + F.try_divide(s1_tol, n * std)
-    near = F.coalesce(F.abs(F.abs(z) - F.lit(threshold)) <= F.lit(threshold) * zdelta, F.lit(True))
-    state = (F.when(~eligible, F.lit("none"))
-              .when(all_equal & var_unreliable, F.lit("none"))
-              .when(var_unreliable | near, F.lit("recheck"))
-              .when(F.coalesce(F.abs(z) > F.lit(threshold), F.lit(False)), F.lit("flag"))
-              .otherwise(F.lit("none")))
+    # equal 31-bit hash sums for both hashes: constant, up to a collision (about 2^-62)
+    constant = ((F.col("_h1") == F.col("_n") * _hash(F.col("_v"), 1))
+                & (F.col("_h2") == F.col("_n") * _hash(F.col("_v"), 2)))
+    state, z, mean_c, std = _state(F.col("_n"), F.col("_nbad"), F.col("_c"), F.col("_s1"), F.col("_s2"),
+                                   F.col("_pn") + F.lit(k + 2), F.col("_abs2"), constant, threshold)
+    decided = w.select(*cols, F.col("_ord").alias("_micros"), "_tie", "_v", state.alias("_state"),
+                       z.alias("_z"), (F.col("_a") + mean_c).alias("_mean"), std.alias("_std"),
+                       F.col("_n").alias("_wn"))
+    rows = sh.filter(F.col("_kind") == 0).select("sensor_id", F.col("_ord").alias("_micros"), "_tie", "_v", "_bad")
+    return _with_rescored(decided, rows, cols, window_us, threshold)
+
+
+def _with_rescored(decided: DataFrame, rows: DataFrame, cols: list[str], window_us: int, threshold: float) -> DataFrame:
+    """Flagged rows, and the undecided ones that an exact pass over their own window flags.
+
+    The window's rows come by a band join on (sensor, slot of one eighth of a window), so
+    only undecided rows and the rows of their windows meet.
+    """
     # the small decided set is read by two branches through one shuffle, so the
     # window pass above runs once
-    keep = (w.select(*cols, F.col("_ord").alias("_micros"), "_tie", "_v", "_eblk", state.alias("_state"),
-                     z.alias("_z"), (F.col("_a") + mean_c).alias("_mean"), std.alias("_std"),
-                     F.col("_n").alias("_wn"))
-             .filter(F.col("_state") != "none")
-             .repartition("sensor_id", "_eblk"))
+    keep = decided.filter(F.col("_state") != "none").repartition("sensor_id", "_micros")
     flagged = keep.filter(F.col("_state") == "flag").select(*cols, "_z", "_mean", "_std", "_wn")
-
-    # exact re-score of undecided rows: band join to their own window rows
     cands = keep.filter(F.col("_state") == "recheck")
-    lo = F.expr(f"(_micros - {window_us}) div {block_us}")
-    cx = cands.select("sensor_id", "_micros", "_tie", F.explode(F.sequence(lo, F.col("_eblk"))).alias("_jblk"))
-    rows = sh.filter(F.col("_kind") == 0).select(
-        F.col("sensor_id").alias("_r_sensor"), F.col("_eblk").alias("_r_blk"), F.col("_ord").alias("_r_micros"),
-        F.col("_tie").alias("_r_tie"), F.col("_v").alias("_r_v"), F.col("_bad").alias("_r_bad"))
-    cond = ((cx["sensor_id"] == rows["_r_sensor"]) & (cx["_jblk"] == rows["_r_blk"])
+    slot = max(1, window_us // 8)
+    lo, hi = _block(F.col("_micros") - window_us, slot), _block(F.col("_micros"), slot)
+    cx = cands.select("sensor_id", "_micros", "_tie", F.explode(F.sequence(lo, hi)).alias("_slot"))
+    rows = rows.select(
+        F.col("sensor_id").alias("_r_sensor"), _block(F.col("_micros"), slot).alias("_r_slot"),
+        F.col("_micros").alias("_r_micros"), F.col("_tie").alias("_r_tie"), F.col("_v").alias("_r_v"),
+        F.col("_bad").alias("_r_bad"))
+    cond = ((cx["sensor_id"] == rows["_r_sensor"]) & (cx["_slot"] == rows["_r_slot"])
             & (rows["_r_micros"] >= cx["_micros"] - window_us)
             & ((rows["_r_micros"] < cx["_micros"])
                | ((rows["_r_micros"] == cx["_micros"]) & (rows["_r_tie"] <= cx["_tie"]))))
@@ -336,23 +341,11 @@ def rolling_zscore(df: DataFrame, *, window_seconds: int = rules.ZSCORE_WINDOW_S
     prep = _prepare(df, tie, window_us, block_us)
     if block_seconds < window_seconds:
         return _offset_sweep(prep, cols, window_us, window_seconds // block_seconds, threshold, materialize)
-    copies = _partitioned_copies(prep, window_us, block_us)
-    ev = _classify_sweep(_sweep(copies, window_us, block_us), threshold)
-    # Partitions holding a row the sweep cannot decide are re-scored exactly
-    # (frame form over that partition's rows); elsewhere only the flagged rows
-    # go on.  The whole-partition frame shares the sweep's ordering: no sort.
-    whole = Window.partitionBy("sensor_id", "_blk").orderBy("_ord", "_kind", "_tie").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    ev = ev.withColumn("_recheck_part", F.max((F.col("_state") == "recheck").cast("int")).over(whole) == 1)
-    kept = ev.filter((F.col("_state") == "flag") | (F.col("_recheck_part") & (F.col("_kind") == 0)))
-    exact = _frame_stats(kept, window_us)
-    xz = F.try_divide(F.col("_v") - F.col("_xmean"), F.col("_xstd"))
-    is_recheck = F.col("_state") == "recheck"
-    keep = (F.col("_state") == "flag") | (is_recheck & _flag(F.col("_xn"), F.col("_xbad"), F.col("_xstd"), xz,
-                                                              threshold))
-    return exact.filter(keep).select(
-        *cols,
-        F.when(is_recheck, xz).otherwise(F.col("_z")).alias("_z"),
-        F.when(is_recheck, F.col("_xmean")).otherwise(F.col("_mean")).alias("_mean"),
-        F.when(is_recheck, F.col("_xstd")).otherwise(F.col("_std")).alias("_std"),
-        F.when(is_recheck, F.col("_xn")).otherwise(F.col("_wn")).alias("_wn"))
+    ev = _sweep(_partitioned_copies(prep, window_us, block_us), window_us, block_us)
+    ev = ev.filter(F.col("_owner") & (F.col("_kind") == 0))
+    constant = ~F.coalesce(F.col("_changed") >= F.col("_micros") - window_us, F.lit(False))
+    state, z, mean_c, std = _state(F.col("_n"), F.col("_nbad"), F.col("_c"), F.col("_s1"), F.col("_s2"),
+                                   F.col("_terms"), F.col("_abs2"), constant, threshold)
+    decided = ev.select(*cols, "_micros", "_tie", "_v", state.alias("_state"), z.alias("_z"),
+                        (F.col("_centre") + mean_c).alias("_mean"), std.alias("_std"), F.col("_n").alias("_wn"))
+    return _with_rescored(decided, prep.select("sensor_id", "_micros", "_tie", "_v", "_bad"), cols, window_us, threshold)

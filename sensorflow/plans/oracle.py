@@ -7,59 +7,67 @@ operators step by step.  Times are returned as zone-less UTC timestamps.
 
 from __future__ import annotations
 
-from sensorflow import rules
-from sensorflow.sources import derived as D
-
-
-def _arr(xs) -> str:
-    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
-
 
 def _json_str(c: str) -> str:
     return f"""CASE WHEN {c} IS NULL THEN 'null' ELSE '"' || {c} || '"' END"""
 
 
+def _payload(stamp: str) -> str:
+    return f"""CASE WHEN k = 59 THEN '[1, 2]' ELSE
+      '{{"sensor_id":' || {_json_str('sensor_id')} || ',"sensor_type":' || {_json_str('sensor_type')}
+      || ',"value":' || CASE WHEN k = 53 THEN 'true' ELSE {_json_str('value')} END
+      || ',"timestamp":' || {_json_str(stamp)}
+      || CASE WHEN unit IS NULL THEN '' ELSE ',"unit":' || {_json_str('unit')} END || '}}' END"""
+
+
 _TS_FMT = "'%Y-%m-%dT%H:%M:%S'"
 
+# --- fixed values, written out here and not imported: a wrong constant must not pass on both sides
 FEED_CTE = f"""
 ev AS (
-  SELECT event_id AS e, user_id AS u, value AS v, {D.EPOCH_START} + {D.SECONDS_PER_EVENT} * event_id AS t
+  SELECT event_id AS e, event_id % 500 AS k, user_id AS u, value AS v, 1717372800 + 5 * event_id AS t
   FROM events
 ), f0 AS (
-  SELECT e, u, v, t,
-    CASE WHEN u = {D.UNKNOWN_USER} THEN '{D.UNKNOWN_SENSOR}' ELSE ({_arr(D.SENSOR_IDS)})[(u % 6) + 1] END AS sensor_id,
-    ({_arr(D.SENSOR_TYPES)})[(u % 6) + 1] AS sensor_type
+  SELECT e, k, v, t,
+    CASE WHEN u = 149 THEN 'unknown-99'
+         ELSE (['temp-01', 'temp-02', 'motion-01', 'motion-02', 'door-01', 'door-02'])[(u % 6) + 1] END AS device,
+    (['temperature', 'temperature', 'motion', 'motion', 'door', 'door'])[(u % 6) + 1] AS kind
   FROM ev
 ), f1 AS (
-  SELECT *,
-    CASE WHEN e % 20 = 0 THEN NULL
+  SELECT e, k, t, device, CASE WHEN k = 47 THEN NULL ELSE device END AS sensor_id,
+    CASE WHEN k IN (37, 41) THEN 'Temperature' WHEN k = 33 THEN 'humidity' ELSE kind END AS sensor_type,
+    CASE WHEN k IN (31, 33) THEN 'NaN'
+         WHEN k = 37 THEN '150'
+         WHEN k = 41 THEN '60.0'
+         WHEN k = 53 THEN 'true'
+         WHEN k = 67 THEN '22d'
+         WHEN k = 71 THEN '0x1p3'
+         WHEN e % 20 = 0 THEN NULL
          WHEN e % 101 = 6 THEN 'n/a'
-         WHEN sensor_type = 'temperature' AND e % 211 = 9 THEN '150.0'
-         WHEN sensor_type = 'temperature' AND e % 83 = 7 THEN '60.0'
-         WHEN sensor_type = 'temperature' THEN CAST(round(18.0 + v - 8.0 * floor(v / 8.0), 2) AS VARCHAR)
+         WHEN kind = 'temperature' AND e % 211 = 9 THEN '150.0'
+         WHEN kind = 'temperature' AND e % 83 = 7 THEN '60.0'
+         WHEN kind = 'temperature' THEN CAST(round(18.0 + v - 8.0 * floor(v / 8.0), 2) AS VARCHAR)
          WHEN e % 97 = 5 THEN '2'
          ELSE CAST(e % 2 AS VARCHAR) END AS value,
     CASE WHEN e % 50 = 1 THEN NULL
          WHEN e % 100 = 2 THEN 'not-a-timestamp'
+         WHEN k = 73 THEN strftime(make_timestamp(t * 1000000), '%H:%M:%S')
          WHEN e % 7 = 3 THEN strftime(make_timestamp((t + 7200) * 1000000), {_TS_FMT}) || '+02:00'
          WHEN e % 7 = 4 THEN strftime(make_timestamp(t * 1000000), {_TS_FMT})
-         ELSE strftime(make_timestamp(t * 1000000), {_TS_FMT}) || '+00:00' END AS "timestamp",
-    CASE WHEN e % 100 = 3 THEN NULL WHEN sensor_type = 'temperature' THEN 'celsius' ELSE 'boolean' END AS unit,
-    make_timestamp((t + 1) * 1000000) AS received_at,
+         ELSE strftime(make_timestamp(t * 1000000), {_TS_FMT}) || '+00:00' END AS stamp,
+    CASE WHEN e % 100 = 3 THEN NULL WHEN kind = 'temperature' THEN 'celsius' ELSE 'boolean' END AS unit,
     e % 10 = 9 AS processed
   FROM f0
 ), f2 AS (
-  SELECT *,
-    '{{"sensor_id":' || {_json_str('sensor_id')} || ',"sensor_type":' || {_json_str('sensor_type')}
-      || ',"value":' || {_json_str('value')} || ',"timestamp":' || {_json_str('"timestamp"')}
-      || CASE WHEN unit IS NULL THEN '' ELSE ',"unit":' || {_json_str('unit')} END || '}}' AS payload
-  FROM f1
-), feed AS (
-  SELECT e AS id, sensor_id, sensor_type, value, unit, "timestamp", received_at, payload, processed FROM f2
+  SELECT *, 2 * e AS id, 0 AS late, stamp AS "timestamp" FROM f1
   UNION ALL
-  SELECT e + {D.REPEAT_ID_OFFSET}, sensor_id, sensor_type, value, unit, "timestamp",
-         received_at + INTERVAL {D.REPEAT_DELAY_SECONDS} SECOND, payload, processed
-  FROM f2 WHERE e % 25 = 4
+  SELECT *, 2 * e + 1, 30,
+    CASE WHEN e % 3 = 0 AND stamp IS NOT NULL THEN strftime(make_timestamp(t * 1000000), '%Y/%m/%d %H:%M:%S') ELSE stamp END
+  FROM f1 WHERE e % 25 = 4
+), feed AS (
+  SELECT id, CASE WHEN k = 43 THEN '' ELSE sensor_id END AS sensor_id, sensor_type, value, unit, "timestamp",
+    make_timestamp((t + 1 + late) * 1000000) AS received_at, {_payload('"timestamp"')} AS payload, processed
+  FROM f2
 ), landing AS (
   SELECT id, sensor_id, sensor_type, payload, received_at, processed FROM feed
 )"""
@@ -72,19 +80,11 @@ flat AS (
     json_extract_string(payload, '$.value') AS value,
     json_extract_string(payload, '$.unit') AS unit,
     json_extract_string(payload, '$.timestamp') AS "timestamp",
-    received_at, payload
+    received_at, CASE WHEN json_type(payload) = 'OBJECT' THEN payload ELSE '{}' END AS payload
   FROM landing
 )"""
 
 
-def _range_case() -> str:
-    parts = []
-    for name, (lo, hi) in rules.VALID_RANGES.items():
-        parts.append(f"WHEN lower(sensor_type) = '{name}' AND NOT (dval BETWEEN {lo} AND {hi}) "
-                     f"THEN '{rules.REASON_OUT_OF_RANGE}'")
-    return "\n         ".join(parts)
-
-
 CLEAN_CTE = f"""
 dedup AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -94,17 +94,20 @@ dedup AS (
   SELECT *,
     CASE lower(trim(value)) WHEN 'true' THEN 1.0 WHEN 'false' THEN 0.0
          ELSE TRY_CAST(trim(value) AS DOUBLE) END AS dval,
-    make_timestamp(epoch_us(TRY_CAST(
+    coalesce(make_timestamp(epoch_us(TRY_CAST(
       CASE WHEN regexp_matches(trim("timestamp"), '(Z|[+-][0-9][0-9]:?[0-9][0-9])$') THEN trim("timestamp")
-           ELSE trim("timestamp") || '+00:00' END AS TIMESTAMPTZ))) AS event_ts
+           ELSE trim("timestamp") || '+00:00' END AS TIMESTAMPTZ))),
+      try_strptime(trim("timestamp"), '%Y/%m/%d %H:%M:%S')) AS event_ts
   FROM dedup
 ), classified AS (
   SELECT *,
-    CASE WHEN value IS NULL THEN '{rules.REASON_NULL_VALUE}'
-         WHEN "timestamp" IS NULL THEN '{rules.REASON_NULL_TIMESTAMP}'
-         WHEN event_ts IS NULL THEN '{rules.REASON_BAD_TIMESTAMP}'
-         WHEN dval IS NULL THEN '{rules.REASON_NON_NUMERIC}'
-         {_range_case()}
+    CASE WHEN value IS NULL THEN 'null value'
+         WHEN "timestamp" IS NULL THEN 'null timestamp'
+         WHEN event_ts IS NULL THEN 'unparseable timestamp'
+         WHEN dval IS NULL THEN 'non-numeric value'
+         WHEN (lower(sensor_type) = 'temperature' AND NOT (dval BETWEEN -50 AND 100))
+           OR (lower(sensor_type) IN ('motion', 'door') AND NOT (dval BETWEEN 0 AND 1))
+           THEN 'value out of valid range for sensor_type'
     END AS reason
   FROM parsed
 ), clean AS (
@@ -115,9 +118,15 @@ dedup AS (
 )"""
 
 
-def _seed_values() -> str:
-    rows = ", ".join(f"('{a}', '{b}', '{c}', '{d}', {e}, {f}, {g})" for a, b, c, d, e, f, g in rules.SEED_SENSORS)
-    return f"(VALUES {rows}) AS m(sensor_id, sensor_type, location, zone, min_expected, max_expected, baseline_events_per_min)"
+SEED = """(VALUES
+  ('temp-01', 'temperature', 'Server Room A', 'zone-a', -50.0, 100.0, 0.5),
+  ('temp-02', 'temperature', 'Office Floor 2', 'zone-b', -50.0, 100.0, 0.5),
+  ('motion-01', 'motion', 'Main Entrance', 'zone-a', 0.0, 1.0, 2.0),
+  ('motion-02', 'motion', 'Parking Lot', 'zone-c', 0.0, 1.0, 1.0),
+  ('door-01', 'door', 'Front Door', 'zone-a', 0.0, 1.0, 0.3),
+  ('door-02', 'door', 'Back Exit', 'zone-b', 0.0, 1.0, 0.2))
+  AS m(sensor_id, sensor_type, location, zone, min_expected, max_expected, baseline_events_per_min)"""
+ZERO_BASELINE = f"(SELECT * REPLACE (0.0 AS baseline_events_per_min) FROM {SEED} WHERE sensor_id <> 'motion-01') AS m"
 
 
 def _enriched_cte(meta: str) -> str:
@@ -126,8 +135,7 @@ enriched AS (
   SELECT c.raw_event_id, c.sensor_id, c.sensor_type, c.value, c.unit, c.event_ts, c.received_at,
     CAST(hour(c.event_ts) AS INTEGER) AS hour_of_day,
     CAST(isodow(c.event_ts) - 1 AS INTEGER) AS day_of_week,
-    (hour(c.event_ts) >= {rules.BUSINESS_HOUR_START} AND hour(c.event_ts) < {rules.BUSINESS_HOUR_END}
-       AND isodow(c.event_ts) - 1 <= {rules.LAST_BUSINESS_WEEKDAY}) AS is_business_hours,
+    (hour(c.event_ts) >= 8 AND hour(c.event_ts) < 18 AND isodow(c.event_ts) <= 5) AS is_business_hours,
     m.location, m.zone, CAST(m.min_expected AS DOUBLE) AS min_expected,
     CAST(m.max_expected AS DOUBLE) AS max_expected,
     CAST(m.baseline_events_per_min AS DOUBLE) AS baseline_events_per_min
@@ -135,8 +143,8 @@ enriched AS (
 )"""
 
 
-ENRICHED_CTE = _enriched_cte(_seed_values())
-EMPTY_META = ("(SELECT * FROM " + _seed_values() + " WHERE false) AS m")
+ENRICHED_CTE = _enriched_cte(SEED)
+EMPTY_META = ("(SELECT * FROM " + SEED + " WHERE false) AS m")
 ENRICHED_EMPTY_DIM_CTE = _enriched_cte(EMPTY_META)
 
 ZSCORE_CTE = f"""
@@ -148,12 +156,13 @@ temp AS (
   SELECT *,
     count(*) OVER w AS wn, avg(value) OVER w AS wmean, stddev_pop(value) OVER w AS wstd
   FROM (SELECT *, micros * 2048 + tie_rank AS o FROM temp)
-  WINDOW w AS (PARTITION BY sensor_id ORDER BY o RANGE BETWEEN {rules.ZSCORE_WINDOW_SECONDS * 1_000_000 * 2048 + 1023} PRECEDING AND CURRENT ROW)
+  WINDOW w AS (PARTITION BY sensor_id ORDER BY o RANGE BETWEEN 7372800001023 PRECEDING AND CURRENT ROW)
 ), zscores AS (
-  SELECT sensor_id, sensor_type, event_ts, value, '{rules.ANOMALY_TEMPERATURE}' AS anomaly_type,
-    round(abs((value - wmean) / wstd), 4) AS score
+  SELECT sensor_id, sensor_type, event_ts, value, 'temperature_zscore' AS anomaly_type,
+    round(abs((value - wmean) / wstd), 4) AS score,
+    printf('Z-score %.2f exceeds threshold +-3.0 (window mean=%.2f, std=%.2f)', (value - wmean) / wstd, wmean, wstd) AS reason
   FROM temp_w
-  WHERE wn >= 2 AND wstd <> 0 AND abs((value - wmean) / wstd) > {rules.ZSCORE_THRESHOLD}
+  WHERE wn >= 2 AND wstd <> 0 AND abs((value - wmean) / wstd) > 3.0
 )"""
 
 MOTION_CTE = f"""
@@ -166,19 +175,19 @@ motion AS (
   FROM enriched WHERE sensor_type = 'motion' AND baseline_events_per_min IS NOT NULL
   GROUP BY ALL
 ), bursts AS (
-  SELECT sensor_id, sensor_type, event_ts, value, '{rules.ANOMALY_MOTION}' AS anomaly_type,
+  SELECT sensor_id, sensor_type, event_ts, value, 'motion_burst' AS anomaly_type,
     CASE WHEN baseline_events_per_min = 0 THEN 'inf'::DOUBLE
          ELSE round(event_count / baseline_events_per_min, 4) END AS score,
     'Events per minute (' || CAST(event_count AS VARCHAR) || ') exceeds '
-      || CAST(round(baseline_events_per_min * {rules.MOTION_BASELINE_MULTIPLIER}, 1) AS VARCHAR) || 'x baseline' AS reason,
+      || CAST(round(baseline_events_per_min * 3.0, 1) AS VARCHAR) || 'x baseline' AS reason,
     event_count
-  FROM motion WHERE event_count > baseline_events_per_min * {rules.MOTION_BASELINE_MULTIPLIER}
+  FROM motion WHERE event_count > baseline_events_per_min * 3.0
 )"""
 
 DOOR_CTE = f"""
 doors AS (
-  SELECT sensor_id, sensor_type, event_ts, value, '{rules.ANOMALY_DOOR}' AS anomaly_type,
-    1.0::DOUBLE AS score, '{rules.DOOR_REASON}' AS reason
+  SELECT sensor_id, sensor_type, event_ts, value, 'door_outside_hours' AS anomaly_type,
+    1.0::DOUBLE AS score, 'Door opened outside business hours (Mon-Fri 08:00-18:00)' AS reason
   FROM enriched WHERE sensor_type = 'door' AND value = 1.0 AND is_business_hours = false
 )"""
 
@@ -194,16 +203,22 @@ def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["unprocessed_batch"] = with_ctes(FEED_CTE) + f"""
 SELECT id, sensor_id, sensor_type, payload, received_at FROM landing
-WHERE NOT processed ORDER BY received_at, id LIMIT {rules.BATCH_LIMIT}"""
+WHERE NOT processed ORDER BY received_at, id LIMIT 5000"""
     q["flatten_payload"] = with_ctes(*base) + "SELECT * FROM flat"
     q["intake_identity"] = with_ctes(FEED_CTE) + """
 , msg AS (
-  SELECT id, 'sensors/' || sensor_type || '/' || sensor_id AS topic, received_at,
-    CASE WHEN id % 200 = 11 THEN '{"sensor_id": "' || sensor_id || '", broken'
-         WHEN id % 200 = 13 THEN '{"value":' || CASE WHEN value IS NULL THEN 'null' ELSE '"' || value || '"' END
-                                || ',"timestamp":' || CASE WHEN "timestamp" IS NULL THEN 'null' ELSE '"' || "timestamp" || '"' END || '}'
-         ELSE payload END AS body
-  FROM feed WHERE id < 1000000
+  SELECT 2 * e AS id, make_timestamp((t + 1) * 1000000) AS received_at,
+    CASE WHEN k = 87 THEN 'sensors/door/other' ELSE 'sensors/' || sensor_type || '/' || device END AS topic,
+    CASE WHEN k = 83 THEN '{"sensor_id":"bad-' || chr(65533) || '","value":"1"}'
+         WHEN e % 200 = 11 THEN '{"sensor_id": "' || device || '", broken'
+         WHEN e % 200 = 13 THEN '{"value":' || CASE WHEN value IS NULL THEN 'null' ELSE '"' || value || '"' END
+                                || ',"timestamp":' || CASE WHEN stamp IS NULL THEN 'null' ELSE '"' || stamp || '"' END || '}'
+         WHEN k = 87 THEN chr(10) || chr(9) || """ + _payload("stamp") + """
+         WHEN k = 89 THEN '42'
+         WHEN k = 91 THEN 'null'
+         WHEN k = 93 THEN '{"raw":"x","sensor_id":"r-1","sensor_type":"door","value":"1"}'
+         ELSE """ + _payload("stamp") + """ END AS body
+  FROM f1
 ), parsed AS (
   SELECT *, json_valid(body) AS ok,
     CASE WHEN json_valid(body) THEN json_type(CASE WHEN json_valid(body) THEN body END) = 'OBJECT' ELSE false END AS obj,
@@ -227,10 +242,12 @@ WHERE rn = 1"""
     q["dead_letter_summary"] = with_ctes(*cl) + \
         "SELECT reason, count(*) AS n_rows, count(DISTINCT sensor_id) AS n_sensors FROM classified WHERE reason IS NOT NULL GROUP BY reason"
     q["clean_events"] = with_ctes(*cl) + \
-        "SELECT raw_event_id, sensor_id, sensor_type, value, unit, event_ts FROM clean"
+        """SELECT raw_event_id, sensor_id, sensor_type, CASE WHEN isnan(value) THEN NULL ELSE value END AS value,
+  isnan(value) AS value_is_nan, unit, event_ts FROM clean"""
     q["time_features"] = with_ctes(*en) + \
         "SELECT raw_event_id, event_ts, hour_of_day, day_of_week, is_business_hours FROM enriched"
-    enriched_cols = ("raw_event_id, sensor_id, sensor_type, value, unit, event_ts, hour_of_day, day_of_week, "
+    enriched_cols = ("raw_event_id, sensor_id, sensor_type, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, "
+                     "isnan(value) AS value_is_nan, unit, event_ts, hour_of_day, day_of_week, "
                      "is_business_hours, location, zone, min_expected, max_expected, baseline_events_per_min")
     q["enrich_readings"] = with_ctes(*en) + f"SELECT {enriched_cols} FROM enriched"
     q["enrich_unmatched"] = with_ctes(*en) + """
@@ -239,15 +256,18 @@ FROM enriched GROUP BY sensor_id"""
     q["enrich_empty_dimension"] = with_ctes(*(cl + [ENRICHED_EMPTY_DIM_CTE])) + f"SELECT {enriched_cols} FROM enriched"
     q["motion_bursts"] = with_ctes(*(en + [MOTION_CTE])) + """
 SELECT sensor_id, sensor_type, event_ts, round(value, 6) AS value, anomaly_type, score, reason, event_count FROM bursts"""
+    q["motion_zero_baseline"] = with_ctes(*(cl + [_enriched_cte(ZERO_BASELINE), MOTION_CTE])) + """
+SELECT sensor_id, event_ts, event_count, isinf(score) AS endless, reason FROM bursts"""
+    q["enrich_from_curated"] = with_ctes(*en) + f"SELECT {enriched_cols} FROM enriched"
     q["door_after_hours"] = with_ctes(*(en + [DOOR_CTE])) + "SELECT * FROM doors"
     z = with_ctes(*(en + [ZSCORE_CTE])) + "SELECT * FROM zscores"
     q["temperature_zscore"] = z
     q["temperature_zscore_sweep"] = z
     q["temperature_zscore_offsets"] = z
     q["all_anomalies"] = with_ctes(*(en + [ZSCORE_CTE, MOTION_CTE, DOOR_CTE])) + """
-SELECT sensor_id, sensor_type, event_ts, round(value, 6) AS value, anomaly_type, score FROM zscores
-UNION ALL SELECT sensor_id, sensor_type, event_ts, round(value, 6), anomaly_type, score FROM bursts
-UNION ALL SELECT sensor_id, sensor_type, event_ts, round(value, 6), anomaly_type, score FROM doors"""
+SELECT sensor_id, sensor_type, event_ts, round(value, 6) AS value, anomaly_type, score, reason FROM zscores
+UNION ALL SELECT sensor_id, sensor_type, event_ts, round(value, 6), anomaly_type, score, reason FROM bursts
+UNION ALL SELECT sensor_id, sensor_type, event_ts, round(value, 6), anomaly_type, score, reason FROM doors"""
     q["readings_sink_rows"] = with_ctes(*en) + """
 SELECT raw_event_id, sensor_id, sensor_type, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, unit,
   event_ts, hour_of_day, day_of_week, zone, location, is_business_hours,
@@ -255,11 +275,11 @@ SELECT raw_event_id, sensor_id, sensor_type, CASE WHEN isnan(value) THEN NULL EL
        WHEN value IS NULL OR isnan(value) THEN 'null value' WHEN event_ts IS NULL THEN 'null timestamp' END AS reject_reason
 FROM enriched"""
     q["mark_processed_remaining"] = with_ctes(FEED_CTE) + f"""
-, batch AS (SELECT id FROM landing WHERE NOT processed ORDER BY received_at, id LIMIT {rules.BATCH_LIMIT})
+, batch AS (SELECT id FROM landing WHERE NOT processed ORDER BY received_at, id LIMIT 5000)
 SELECT l.id, l.received_at FROM landing l
 WHERE NOT l.processed AND NOT EXISTS (SELECT 1 FROM batch b WHERE b.id = l.id)"""
     q["seed_if_absent"] = with_ctes(FEED_CTE) + f"""
-, seed AS (SELECT * FROM {_seed_values()})
+, seed AS (SELECT * FROM {SEED})
 , observed AS (
   SELECT sensor_id, arg_min(sensor_type, (received_at, id)) AS sensor_type
   FROM landing WHERE sensor_id IS NOT NULL GROUP BY sensor_id)
@@ -270,7 +290,8 @@ UNION ALL
 SELECT o.sensor_id, o.sensor_type, NULL, NULL, NULL, NULL, NULL FROM observed o
 WHERE NOT EXISTS (SELECT 1 FROM seed s WHERE s.sensor_id = o.sensor_id)"""
     q["clean_by_ids"] = with_ctes(*cl) + """
-SELECT raw_event_id, sensor_id, sensor_type, value, unit, event_ts FROM clean
+SELECT raw_event_id, sensor_id, sensor_type, CASE WHEN isnan(value) THEN NULL ELSE value END AS value,
+  isnan(value) AS value_is_nan, unit, event_ts FROM clean
 WHERE raw_event_id IN (SELECT id FROM landing WHERE NOT processed)"""
     q["dead_letter_sink"] = with_ctes(*cl) + \
         "SELECT raw_event_id, CAST(json_object('raw', payload) AS VARCHAR) AS payload, reason FROM dead"
@@ -278,7 +299,7 @@ WHERE raw_event_id IN (SELECT id FROM landing WHERE NOT processed)"""
 SELECT sensor_id, sensor_type, minute_bucket, event_count, baseline_events_per_min, event_ts,
   round(value, 6) AS value FROM motion"""
     q["dimension_after_registration"] = with_ctes(FEED_CTE) + f"""
-, seed AS (SELECT * FROM {_seed_values()})
+, seed AS (SELECT * FROM {SEED})
 , observed AS (SELECT DISTINCT sensor_id FROM landing WHERE sensor_id IS NOT NULL)
 , dim AS (
   SELECT sensor_id FROM seed

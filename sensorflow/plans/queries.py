@@ -76,7 +76,12 @@ ENRICHED_COLS = ["raw_event_id", "sensor_id", "sensor_type", "value", "unit", "e
 
 
 def _enriched_out(df: DataFrame) -> DataFrame:
-    return df.select(*[(_ntz(c) if c == "event_ts" else F.col(c)) for c in ENRICHED_COLS])
+    return df.select(*[(_ntz(c) if c == "event_ts" else F.col(c)) for c in ENRICHED_COLS if c != "value"], *_number("value"))
+
+
+def _number(c: str) -> list[F.Column]:
+    """A double and a flag for NaN, which not every client tells from NULL."""
+    return [F.when(~F.isnan(c), F.col(c)).alias(c), F.isnan(c).alias(f"{c}_is_nan")]
 
 
 def q_unprocessed_batch(spark, sf_dir):
@@ -92,13 +97,11 @@ def q_flatten_payload(spark, sf_dir):
 def q_intake_identity(spark, sf_dir):
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     msgs = intake.subscribe(derived.derive_messages(_events(spark, sf_dir)), "sensors")
-    rows = intake.messages_to_landing(msgs, id_col="id", keep=("topic",))
-    is_raw = F.get_json_object("payload", "$.raw")
-    raw_wrapped = F.col("payload").startswith('{"raw":') & is_raw.isNotNull()
+    rows = intake.messages_to_landing(msgs, id_col="id", keep=("topic", "is_raw"))
     return rows.select(
         "id", "topic", "sensor_id", "sensor_type",
-        F.when(raw_wrapped, is_raw).alias("raw_text"),
-        F.when(~raw_wrapped, F.from_json("payload", "value string")["value"]).alias("payload_value"),
+        F.when(F.col("is_raw"), F.get_json_object("payload", "$.raw")).alias("raw_text"),
+        F.when(~F.col("is_raw"), F.from_json("payload", "value string")["value"]).alias("payload_value"),
         _ntz("received_at"))
 
 
@@ -118,7 +121,7 @@ def q_dead_letter_summary(spark, sf_dir):
 
 
 def q_clean_events(spark, sf_dir):
-    return clean(spark, sf_dir).select("raw_event_id", "sensor_id", "sensor_type", "value", "unit", _ntz("event_ts"))
+    return clean(spark, sf_dir).select("raw_event_id", "sensor_id", "sensor_type", *_number("value"), "unit", _ntz("event_ts"))
 
 
 def q_time_features(spark, sf_dir):
@@ -154,14 +157,15 @@ def q_door_after_hours(spark, sf_dir):
 def _zscore(method: str, block_seconds: int = 4 * 3600):
     def q(spark, sf_dir):
         t = A.temperature_anomalies(enriched(spark, sf_dir), method=method, block_seconds=block_seconds)
-        return t.select("sensor_id", "sensor_type", _ntz("event_ts"), "value", "anomaly_type", "score")
+        return t.select("sensor_id", "sensor_type", _ntz("event_ts"), "value", "anomaly_type", "score", "reason")
     return q
 
 
 def q_all_anomalies(spark, sf_dir):
-    a = A.detect_anomalies(enriched(spark, sf_dir))
+    # written once: the three detectors don't each repeat dedup, parse and join
+    a = A.detect_anomalies(session.staged(enriched(spark, sf_dir), "enriched"))
     return a.select("sensor_id", "sensor_type", _ntz("event_ts"), F.round("value", 6).alias("value"),
-                    "anomaly_type", "score")
+                    "anomaly_type", "score", "reason")
 
 
 def q_readings_sink_rows(spark, sf_dir):
@@ -191,8 +195,21 @@ def q_seed_if_absent(spark, sf_dir):
 def q_clean_by_ids(spark, sf_dir):
     lnd = landing(spark, sf_dir)
     pending = L.unprocessed_batch(lnd, limit=None).select("id")
-    return L.clean_by_ids(clean(spark, sf_dir), pending).select("raw_event_id", "sensor_id", "sensor_type", "value", "unit",
-                                            _ntz("event_ts"))
+    return L.clean_by_ids(clean(spark, sf_dir), pending).select(
+        "raw_event_id", "sensor_id", "sensor_type", *_number("value"), "unit", _ntz("event_ts"))
+
+
+def q_enrich_from_curated(spark, sf_dir):
+    """The curated route: the clean table is written, read again by ids, then enriched."""
+    curated = session.staged(clean(spark, sf_dir), "clean_events")
+    return _enriched_out(enrich_events(L.clean_by_ids(curated, landing(spark, sf_dir).select("id")), L.seed_metadata(spark)))
+
+
+def q_motion_zero_baseline(spark, sf_dir):
+    """Sensors without activity by their baseline: any count is a burst of endless score."""
+    zero = L.seed_metadata(spark).where("sensor_id != 'motion-01'").withColumn("baseline_events_per_min", F.lit(0.0))
+    m = A.motion_anomalies(enrich_events(clean(spark, sf_dir), zero), with_count=True)
+    return m.select("sensor_id", _ntz("event_ts"), "event_count", (F.col("score") == float("inf")).alias("endless"), "reason")
 
 
 def q_streaming_readings(spark, sf_dir):
@@ -242,9 +259,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enrich_empty_dimension": q_enrich_empty_dimension,
         "motion_bursts": q_motion_bursts,
         "door_after_hours": q_door_after_hours,
-        "temperature_zscore": _zscore("frame"),
+        "temperature_zscore": _zscore("sweep"),
         "temperature_zscore_sweep": _zscore("sweep"),
         "temperature_zscore_offsets": _zscore("sweep", block_seconds=900),
+        "enrich_from_curated": q_enrich_from_curated,
+        "motion_zero_baseline": q_motion_zero_baseline,
         "all_anomalies": q_all_anomalies,
         "readings_sink_rows": q_readings_sink_rows,
         "mark_processed_remaining": q_mark_processed_remaining,

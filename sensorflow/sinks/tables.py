@@ -90,12 +90,15 @@ def mark_processed(ledger_path: str, ids: DataFrame, batch_id: int | str) -> Non
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, key: str | Sequence[str] = "sensor_id") -> DataFrame:
-    """K8: ``existing`` plus the rows of ``new`` whose key is not present (existing rows win)."""
+    """K8: ``existing`` plus the rows of ``new`` whose key is not present (existing rows win).
+
+    Of several new rows with one key, the smallest by the remaining columns is inserted.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     cols = existing.columns
-    add = new.join(existing.select(*keys), keys, "left_anti")
-    add = add.dropDuplicates(keys) if add.isStreaming else add
-    return existing.unionByName(add.select(*cols))
+    first = F.min(F.struct(*[F.col(c) for c in cols])).alias("_first")
+    add = new.join(existing.select(*keys), keys, "left_anti").groupBy(*keys).agg(first).select("_first.*")
+    return existing.unionByName(add)
 
 
 def primary_key_violations(df: DataFrame, key: str | Sequence[str] = "sensor_id") -> DataFrame:

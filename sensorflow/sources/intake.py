@@ -43,17 +43,17 @@ def _json_scalar_text(v: Column, field: str) -> Column:
 def messages_to_landing(messages: DataFrame, id_col: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """S1 + S2 + K1 shape: messages -> ``LANDING`` rows (+ ``keep`` columns).
 
-    ``id_col`` names a column holding a stable id (e.g. a Kafka offset composed
-    with the partition); when absent the ``id`` is left NULL for the sink to
-    assign.  ``processed`` starts FALSE.  The payload is parsed once (a column
-    of its own, so each use reads the same parsed value).
+    The ``id`` is ``id_col`` if named; else ``partition * 2^48 + offset`` where the
+    source has these columns; else a 63-bit hash of topic, bytes and arrival time,
+    so a message delivered again gets the id it had.  ``processed`` starts FALSE.
+    ``keep`` may name ``is_raw``: TRUE where the payload was wrapped as text.  The
+    payload is parsed once (a column of its own, so each use reads the same value).
     """
     decoded = messages.select("*", _decoded(F.col("value")).alias("_text"))
     parsed_df = decoded.withColumn("_v", F.try_parse_json(F.col("_text")))
     text, parsed = F.col("_text"), F.col("_v")
     is_json = parsed.isNotNull()
-    # valid JSON text whose first non-blank character is "{" is an object
-    is_object = is_json & F.ltrim(text).startswith("{")
+    is_object = is_json & F.schema_of_variant(parsed).startswith("OBJECT")
     payload = F.when(is_json, F.to_json(parsed)).otherwise(F.to_json(F.struct(text.alias("raw"))))
     parts = F.split(F.col("topic"), "/", -1)
     has_parts = F.size(parts) >= 3
@@ -61,8 +61,13 @@ def messages_to_landing(messages: DataFrame, id_col: str | None = None, keep: Se
     stype = F.when(is_object, _json_scalar_text(parsed, "sensor_type"))
     sensor_id = F.coalesce(sid, F.when(has_parts, F.try_element_at(parts, F.lit(3))))
     sensor_type = F.coalesce(stype, F.when(has_parts, F.try_element_at(parts, F.lit(2))))
-    rid = F.col(id_col).cast("long") if id_col else F.lit(None).cast("long")
-    return parsed_df.select(
+    if id_col:
+        rid = F.col(id_col).cast("long")
+    elif {"partition", "offset"} <= set(messages.columns):
+        rid = F.shiftleft(F.col("partition").cast("long"), 48) + F.col("offset").cast("long")
+    else:
+        rid = F.xxhash64("topic", "value", "received_at").bitwiseAND(F.lit((1 << 63) - 1))
+    return parsed_df.withColumn("is_raw", ~is_json).select(
         rid.alias("id"),
         sensor_id.alias("sensor_id"),
         sensor_type.alias("sensor_type"),

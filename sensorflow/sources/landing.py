@@ -18,7 +18,7 @@ def unprocessed_batch(landing: DataFrame, limit: int | None = rules.BATCH_LIMIT,
     """Rows not yet processed, oldest first, at most ``limit``.
 
     ``processed`` is the landing flag; ``processed_ids`` (column ``id``) is the
-    append-only ledger written by :func:`sensorflow.sinks.ledger.mark_processed`,
+    append-only ledger written by :func:`sensorflow.sinks.tables.mark_processed`,
     applied as an anti join.  The order key ``(received_at, id)`` is unique, so
     the capped batch is deterministic; ``orderBy + limit`` plans as a top-N
     (``TakeOrderedAndProject``) without a global sort.  ``limit=None`` returns
@@ -68,20 +68,6 @@ def flatten_payload(landing: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when it has fewer splits than cores.
-
-    A large table already has one split per file block and is returned as is;
-    a table stored as one big row group (one split) is redistributed
-    round-robin so the per-row parsing that follows runs on every core.
-    """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet",
                columns: Sequence[str] | None = None) -> DataFrame:
     """Scan a table with a declared schema (no inference), pruned to ``columns``."""
@@ -91,7 +77,7 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
     df = r.load(path)
     if columns:
         df = df.select(*columns)
-    return ensure_parallelism(df)
+    return df
 
 
 def _sql_literal(v) -> str:

@@ -1,6 +1,7 @@
 from datetime import timedelta
 
 from conftest import BASE, ts
+from pyspark.sql import Observation
 
 from sensorflow import schemas
 from sensorflow.operators.enrich import enrich_events, enrich_quality, time_features
@@ -73,10 +74,11 @@ def test_empty_metadata(spark):
 
 
 def test_quality_metrics(spark):
-    df = enrich_quality(enrich_events(clean_df(spark, [{}, {"sensor_id": "nope"}]), seed_metadata(spark)), "q1")
-    df.count()
-    # observe() metrics are reported on the query's listener; the plan keeps one job
-    assert df.count() == 2
+    seen = Observation("q1")
+    df = enrich_quality(enrich_events(clean_df(spark, [{}, {"sensor_id": "nope"}, {"sensor_id": None}]),
+                                      seed_metadata(spark)), seen)
+    assert df.count() == 3
+    assert seen.get == {"rows": 3, "rows_without_zone": 2}
 
 
 def test_dimension_is_broadcast(spark):
@@ -86,13 +88,10 @@ def test_dimension_is_broadcast(spark):
 
 
 def test_broadcast_respects_session_threshold(spark):
-    from sensorflow.operators.joins import broadcast_limit
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         df = enrich_events(clean_df(spark, [{}]), seed_metadata(spark))
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20m")
-        assert broadcast_limit(df) == 20 * 1024 * 1024
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

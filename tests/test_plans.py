@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import queries
 from sensorflow.operators.detect import temperature_anomalies
-from sensorflow.plans.queries import enriched
+from sensorflow.plans.queries import enriched, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +13,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n != "streaming_readings"])
+@pytest.mark.parametrize("name", [n for n in registry() if n != "streaming_readings"])
 def test_no_python_eval_and_pruned_scan(spark, name):
     p = plan(queries()[name](spark, SF))
     assert "EvalPython" not in p and "PythonUDF" not in p
@@ -45,9 +45,29 @@ def test_batch_cap_is_top_n(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_dedup_combines_map_side(spark):
+def exchanged(df):
+    """Column names of each shuffle in the plan."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.initialPlan())
+            continue
+        if node.nodeName() == "Exchange":
+            out.append({node.output().apply(i).name() for i in range(node.output().size())})
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return out
+
+
+def test_dedup_keeps_one_row_per_key_map_side(spark):
     p = plan(queries()["dedup_keep_first"](spark, SF))
-    assert "partial_min_by" in p  # repeats collapse before the shuffle (hot keys never land whole)
+    assert "WindowGroupLimit" in p and "Partial" in p  # repeats go before the shuffle (hot keys never land whole)
+
+
+@pytest.mark.parametrize("name", ["door_after_hours", "time_features", "clean_events", "motion_bursts"])
+def test_clean_queries_shuffle_no_payload(spark, name):
+    shuffles = exchanged(queries()[name](spark, SF))
+    assert shuffles and all("payload" not in s for s in shuffles)
 
 
 def test_motion_counts_are_hash_aggregated(spark):
@@ -55,11 +75,8 @@ def test_motion_counts_are_hash_aggregated(spark):
     assert "HashAggregate(keys=[sensor_id" in p and "partial_min_by" in p
 
 
-@pytest.mark.parametrize("name", ["door_after_hours", "time_features", "clean_events"])
-def test_timestamp_parse_stays_above_dedup(spark, name):
-    # Moving the multi-format parse below the dedup aggregate (as a pushed filter)
-    # made these queries ~20x slower and ran a 1 GB driver out of memory.
-    lines = plan(queries()[name](spark, SF)).splitlines()
-    first_partial = min(i for i, l in enumerate(lines) if "partial_min_by" in l)
-    parse_lines = [i for i, l in enumerate(lines) if "gettimestamp" in l]
-    assert parse_lines and all(i < first_partial for i in parse_lines)
+@pytest.mark.parametrize("name", ["door_after_hours", "time_features", "clean_events", "enrich_readings"])
+def test_timestamp_is_parsed_once(spark, name):
+    lines = [x for x in plan(queries()[name](spark, SF)).splitlines() if "gettimestamp" in x]
+    # on one line of the plan, each extra layout once
+    assert len(lines) == 1 and lines[0].count("MMMM d yyyy HH:mm:ss") == 1
