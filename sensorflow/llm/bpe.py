@@ -1,7 +1,7 @@
 """Byte-level BPE with a minimal acyclic transducer for frequent words.
 
 1. Every whole text is cut into pre-tokens; their counts over all documents are a
-   Spark aggregation, of which the ``lexicon_words`` most frequent are kept.
+   Spark aggregation, of which at most ``lexicon_words`` frequent ones are kept.
 2. The driver compiles these (a bounded number) with their token ids into a minimal
    acyclic automaton: equal suffixes share states, each arc adds a number, and the sum
    along a word is the word's place in a table of id sequences.  The flat arrays go to
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.llm.common import as_texts, id_and_text, slices
+from sensorflow.session import staged
 
 # fixed values: the pre-token pattern of the public byte-level vocabularies
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -43,9 +44,9 @@ LEXICON_WORDS = 1 << 16
 #: longer words are never in the lexicon
 LEXICON_BYTES = 48
 #: distinct words a counting task holds before it passes them on
-COUNTED_WORDS = 200_000
+COUNTED_WORDS = 150_000
 #: words whose ids a worker remembers
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -277,7 +278,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [[p if isinstance(p, int) else self.vocab.chunks(p) for p in self.vocab.pieces(t)] for t in texts]
-        self.learn({c for doc in cut for p in doc if not isinstance(p, int) for c in p})
+        self.learn(set().union(*(p for doc in cut for p in doc if not isinstance(p, int))))
         ids = self.chunks.__getitem__
         return [b"".join(np.array(p, "<u4").tobytes() if isinstance(p, int) else b"".join(map(ids, p)) for p in doc)
                 for doc in cut]
@@ -289,7 +290,7 @@ def decode(path: str, ids: list[int]) -> str:
 
 
 def frequent_words(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> list[bytes]:
-    """The most frequent pre-tokens of all documents (count, then bytes); at most ``lexicon_words``."""
+    """The most frequent pre-tokens of all documents: all above a frequency that ``lexicon_words`` or fewer reach."""
 
     def count(batches):
         vocab, seen = vocabulary(path), Counter()
@@ -313,9 +314,20 @@ def frequent_words(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORD
                 seen.clear()
         yield out()
 
-    top = (docs.select("text").mapInArrow(count, "word binary, n long").where(F.length("word") <= LEXICON_BYTES)
-           .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(lexicon_words))
-    return [bytes(r.word) for r in top.select("word").collect()]
+    counted = staged(docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word")
+                     .agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    # words per level of frequency (32 levels for each doubling): a bounded number of rows
+    level = F.floor(F.log2("n") * 32).cast("int")
+    sizes = {r.level: r.n for r in counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total, least = 0, None
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > lexicon_words:
+            break
+        least = at
+    if least is None:
+        return []
+    return [bytes(r.word) for r in counted.where(level >= least).select("word").collect()]
 
 
 def ship_lexicon(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> str:
@@ -323,10 +335,13 @@ def ship_lexicon(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS)
     vocab = vocabulary(path)
     block = compile_lexicon({w: vocab.merge(w) for w in frequent_words(docs, path, lexicon_words)})
     name = f"lexicon-{hashlib.sha256(block).hexdigest()[:32]}.bin"
+    context = docs.sparkSession.sparkContext
+    if any(f.endswith(name) for f in context.listFiles):
+        return name
     here = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="lexicon-")), name)
     with open(here, "wb") as f:
         f.write(block)
-    docs.sparkSession.sparkContext.addFile(here)
+    context.addFile(here)
     return name
 
 
