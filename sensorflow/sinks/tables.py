@@ -1,21 +1,26 @@
 """Sink-side operators.
 
-Writes are appends of DataFrames to Parquet (or any DataFrameWriter format),
-partitioned by ``batch_id``; with ``partitionOverwriteMode=dynamic`` a replay
-of the same batch replaces that batch's partition instead of duplicating it.
+Writes are appends of DataFrames to Parquet (or any DataFrameWriter format), a
+folder per ``batch_id``; a replay of a batch replaces its folder.  The ledger is
+written last, and :func:`committed` shows only batches that are in it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorflow import rules, schemas
 
 
+LEDGER = "processed_ledger"
+MANIFEST = "batch_manifest"
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """K9: NaN -> NULL in every floating-point column."""
     out = []
@@ -83,8 +88,8 @@ def mark_processed(ledger_path: str, ids: DataFrame, batch_id: int | str) -> Non
     """K7: record processed landing ids in an append-only ledger (idempotent per batch).
 
     Readers exclude ledger ids with a left anti join
-    (:func:`sensorflow.sources.landing.unprocessed_batch`).  An empty id set
-    writes an empty partition, which is harmless.
+    (:func:`sensorflow.sources.landing.unprocessed_batch`).  An empty id set takes
+    the batch out of the ledger.
     """
     write_batch(ids.select(F.col(ids.columns[0]).cast("long").alias("id")), ledger_path, batch_id)
 
@@ -109,9 +114,38 @@ def primary_key_violations(df: DataFrame, key: str | Sequence[str] = "sensor_id"
 
 def write_batch(df: DataFrame, path: str, batch_id: int | str, fmt: str = "parquet",
                 partition_by: Sequence[str] = ()) -> None:
-    """K1/K4-K6: append one batch; a replay of ``batch_id`` overwrites only its partition."""
-    (df.withColumn("batch_id", F.lit(str(batch_id)))
-       .write.mode("overwrite").format(fmt)
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id", *partition_by)
-       .save(path))
+    """K1/K4-K6: write one batch into its own folder ``batch_id=...`` of the table.
+
+    A replay replaces the whole folder: partitions and rows that the first attempt left
+    and the replay no longer has are gone, also when the replay has no rows at all.
+    Partitioned tables are rebalanced first, so a batch has few files per partition and
+    a large partition is still written by several tasks.
+    """
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+    writer.save(f"{path}/batch_id={batch_id}")
+
+
+def landing_append(landing: DataFrame, path: str, batch_id: int | str) -> None:
+    """K1: append landing rows, one folder per intake batch."""
+    write_batch(landing.select(*schemas.LANDING.fieldNames()), path, batch_id)
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int | str, schema: T.StructType) -> DataFrame | None:
+    """The rows of one batch's folder, or None if there is no such folder."""
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def committed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
+    """Rows of ``table`` that belong to batches in the ledger: a batch under way or half written isn't seen.
+
+    The ledger's batch ids are partition values, so no ledger file's rows are shuffled for it.
+    """
+    done = spark.read.parquet(f"{out_root}/{LEDGER}").select("batch_id").distinct()
+    return spark.read.parquet(f"{out_root}/{table}").join(done, "batch_id", "left_semi")

@@ -13,10 +13,12 @@ as the scheduled runs are.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from sensorflow import schemas, session
-from sensorflow.plans.batch import process, write_outputs
+from sensorflow.plans.batch import manifest, process, staging_folder, write_outputs
+from sensorflow.sinks.tables import landing_append
 from sensorflow.sources.intake import messages_to_landing, subscribe
 
 
@@ -36,20 +38,37 @@ def message_stream_to_landing(messages: DataFrame, prefix: str = "sensors", id_c
     return messages_to_landing(subscribe(messages, prefix), id_col=id_col)
 
 
-def batch_writer(metadata: DataFrame, out_root: str, method: str = "sweep"):
-    """``foreachBatch`` function: one micro-batch -> all sinks, keyed by batch id."""
+def batch_writer(metadata: DataFrame, out_root: str, method: str = "sweep",
+                 on_metrics: Callable[[int, dict], None] | None = None):
+    """``foreachBatch`` function: one micro-batch -> all sinks, keyed by batch id.
+
+    ``on_metrics`` gets the batch id and its run counters (T4) once the writes are done.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         session.ensure_utc(batch.sparkSession)
-        result = process(batch, metadata, method=method, staging=os.path.join(out_root, "_staging", "classified"))
+        ids = manifest(batch, out_root, batch_id, renew=True)
+        result = process(batch, metadata, method=method, ids=ids, staging=staging_folder(out_root, batch_id),
+                         observe=f"batch_{batch_id}" if on_metrics else None)
         write_outputs(result, out_root, batch_id)
+        if on_metrics:
+            on_metrics(batch_id, {name: o.get for name, o in result.metrics.items()})
     return write
 
 
+def start_intake(messages: DataFrame, landing_path: str, checkpoint: str, *, prefix: str = "sensors",
+                 id_col: str | None = None, trigger: dict | None = None):
+    """T1 + K1: messages -> landing rows, appended a folder per micro-batch (a replay replaces it)."""
+    rows = message_stream_to_landing(messages, prefix, id_col)
+    return (rows.writeStream.foreachBatch(lambda batch, batch_id: landing_append(batch, landing_path, batch_id))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start())
+
+
 def start(stream: DataFrame, metadata: DataFrame, out_root: str, checkpoint: str, *,
-          trigger: dict | None = None, method: str = "sweep"):
+          trigger: dict | None = None, method: str = "sweep",
+          on_metrics: Callable[[int, dict], None] | None = None):
     """Start the micro-batch query (default trigger: every 5 minutes)."""
     trig = trigger or {"processingTime": "5 minutes"}
-    return (stream.writeStream.foreachBatch(batch_writer(metadata, out_root, method))
+    return (stream.writeStream.foreachBatch(batch_writer(metadata, out_root, method, on_metrics))
             .option("checkpointLocation", checkpoint).trigger(**trig).start())
 
 

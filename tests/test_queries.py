@@ -48,5 +48,17 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_entry(spark):
-    df = entry(spark)
-    assert df.count() >= 0 and "anomaly_type" in df.columns
+    kinds = {r.anomaly_type for r in entry(spark).select("anomaly_type").distinct().collect()}
+    assert kinds == {"temperature_zscore", "motion_burst", "door_outside_hours"}
+
+
+def test_feed_ids_never_collide(spark):
+    """1,200,000 events, beyond the size at which repeats once shared ids with rows."""
+    from pyspark.sql import functions as F
+
+    from sensorflow.sources.derived import derive_landing, derive_messages
+    events = spark.range(1_200_000).select(F.col("id").alias("event_id"), (F.col("id") % 150).alias("user_id"),
+                                           (F.col("id") % 97 * 0.5).alias("value"))
+    ids = derive_landing(events).agg(F.count("id"), F.count_distinct("id")).first()
+    assert ids[0] == ids[1] == 1_248_000
+    assert derive_messages(events).agg(F.count_distinct("id")).first()[0] == 1_200_000

@@ -65,6 +65,25 @@ def test_write_batch_replay_is_idempotent(spark):
     assert spark.read.parquet(os.path.join(root, "t")).count() == 4
 
 
+def test_replay_removes_what_it_no_longer_has(spark):
+    root = os.path.join(tempfile.mkdtemp(prefix="sf-sink-"), "t")
+    df = spark.createDataFrame([(1, "2024-06-03"), (2, "2024-06-04")], "id long, d string")
+    write_batch(df, root, 0, partition_by=("d",))
+    write_batch(df, root, 1, partition_by=("d",))
+    write_batch(df.where("id = 1"), root, 1, partition_by=("d",))
+    assert sorted((r.batch_id, r.id) for r in spark.read.parquet(root).collect()) == [(0, 1), (0, 2), (1, 1)]
+    write_batch(df.limit(0), root, 1, partition_by=("d",))
+    assert sorted((r.batch_id, r.id) for r in spark.read.parquet(root).collect()) == [(0, 1), (0, 2)]
+
+
+def test_insert_if_absent_takes_one_of_equal_keys(spark):
+    seed = seed_metadata(spark)
+    new = spark.createDataFrame([("n", "b", None, None, None, None, None), ("n", "a", None, None, None, None, None),
+                                 ("temp-01", "x", None, None, None, None, None)], schemas.METADATA)
+    out = insert_if_absent(seed, new).collect()
+    assert len(out) == 7 and [r.sensor_type for r in out if r.sensor_id == "n"] == ["a"]
+
+
 def test_clean_by_ids_semi_join(spark):
     c = spark.createDataFrame([(1, "a", "t", 1.0, None, datetime(2024, 6, 3, 2), None),
                                (2, "a", "t", 1.0, None, datetime(2024, 6, 3, 1), None),
