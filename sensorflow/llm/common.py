@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 #: text bytes that a Python task turns into objects at once
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,9 +80,8 @@ def gram_hashes(words: np.ndarray, n: int, seed: int = 0x9E3779B97F4A7C15) -> np
     return h
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of ``texts`` in order, and the number of words per text."""
-    split = [t.split() for t in texts]
+def word_hashes(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts in order, and the number of words per text."""
     flat = [w for ws in split for w in ws]
     hashed = {w: xxhash.xxh3_64_intdigest(w) for w in set(flat)}
     return (np.fromiter(map(hashed.__getitem__, flat), np.uint64, len(flat)),
@@ -98,3 +97,20 @@ def dealt_anew(column: str) -> Column:
     """The same long as a new expression: a join on it deals an aggregated side out again, so
     both sides are plain exchanges and AQE can split a hot key."""
     return F.col(column).bitwiseXOR(F.lit(0).cast("long")).alias(column)
+
+
+def bitmap_of(values: DataFrame, lg_bits: int) -> np.ndarray:
+    """Bytes of a bitmap of ``2**lg_bits`` bits with those set that the one long column of ``values`` names
+    by its low bits: a digest of fixed size, whatever the input's, that may say yes too often but never no."""
+    low = F.col(values.columns[0]).bitwiseAND(F.lit((1 << lg_bits) - 1))
+    rows = (values.select(F.shiftright(low, 15).alias("bucket"), low.bitwiseAND(F.lit(32767)).alias("bit"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
+    bitmap = np.zeros(max(1 << lg_bits, 1 << 15) >> 3, np.uint8)
+    for r in rows:
+        bitmap[r.bucket << 12:(r.bucket + 1) << 12] = np.frombuffer(r.bits, np.uint8)
+    return bitmap
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray, lg_bits: int) -> np.ndarray:
+    low = (values & np.uint64((1 << lg_bits) - 1)).astype(np.int64)
+    return (bitmap[low >> 3] >> (low & 7)) & 1 == 1

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import as_bytes, dealt_anew, gram_hashes, id_and_text, long_array, mix64, slices, word_hashes
+from sensorflow.llm.common import (as_bytes, bitmap_of, dealt_anew, gram_hashes, id_and_text, in_bitmap, long_array, mix64,
+                                   slices, word_hashes)
 from sensorflow.session import staged
 
 WINDOW, PHRASE = 35, 16
@@ -45,18 +46,18 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def windows(texts: list[bytes], window: int, phrase: int):
+def windows(split: list[list[bytes]], window: int, phrase: int):
     """Words of all texts in one row: first word, phrase hashes, and of each window in a text start, anchor, hash.
 
     The last word of a window is in the same text as the first.
     """
-    words, counts = word_hashes(texts)
+    words, counts = word_hashes(split)
     first = np.cumsum(counts) - counts
     grams = gram_hashes(words, phrase)
     if len(words) < window:
         none = np.empty(0, np.int64)
         return first, grams, none, none, np.empty(0, np.uint64)
-    doc = np.repeat(np.arange(len(texts)), counts)
+    doc = np.repeat(np.arange(len(split)), counts)
     start = np.flatnonzero(doc[:len(doc) - window + 1] == doc[window - 1:])
     anchor = sliding_argmin(grams, window - phrase + 1)[start]
     # overlapping phrases cover the window
@@ -71,31 +72,31 @@ def recurring_phrases(docs: DataFrame, window: int, phrase: int, lg_bits: int) -
 
     def count(batches):
         for piece in slices(batches):
-            _, grams, _, anchor, _ = windows(as_bytes(piece.column("text")), window, phrase)
+            _, grams, _, anchor, _ = windows([t.split() for t in as_bytes(piece.column("text"))], window, phrase)
             h, n = np.unique(grams[np.unique(anchor)], return_counts=True)
             yield pa.RecordBatch.from_arrays([long_array(h), pa.array(n, pa.int64())], ["anchor", "n"])
 
-    bit = F.col("anchor").bitwiseAND(F.lit((1 << lg_bits) - 1))
-    rows = (docs.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-            .where("n > 1").select(F.shiftright(bit, 15).alias("bucket"), bit.bitwiseAND(F.lit(32767)).alias("bit"))
-            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
-    bitmap = np.zeros(max(1 << lg_bits, 1 << 15) >> 3, np.uint8)
-    for r in rows:
-        bitmap[r.bucket << 12:(r.bucket + 1) << 12] = np.frombuffer(r.bits, np.uint8)
-    return bitmap
+    rows = docs.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    return bitmap_of(rows.where("n > 1").select("anchor"), lg_bits)
 
 
-def locate(word_lists: list[list[bytes]], phrase: int, places: np.ndarray) -> np.ndarray:
-    """Starts, in the row of all words, of every occurrence of the phrases that stand at ``places``."""
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+def locate(split: list[list[bytes]], phrase: int, places: np.ndarray) -> np.ndarray:
+    """Starts, in the row of all words, of every occurrence of the phrases that stand at ``places``.
+
+    Each word is two symbols of disjoint alphabets, as a state's children are searched one by
+    one: the start state would have a child for each first word otherwise.
+    """
+    if not len(places):
+        return np.empty(0, np.int64)
     number: dict[bytes, int] = {}
-    stream = [number.setdefault(w, len(number) + 1) for ws in word_lists for w in ws]
+    ids = np.array([number.setdefault(w, len(number)) for ws in split for w in ws], np.int64)
+    base = int(len(number) ** 0.5) + 1
+    stream = tuple(np.stack([ids // base + 1, ids % base + base + 2], axis=1).ravel().tolist())
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for p in places.tolist():
-        automaton.add_word(tuple(stream[p:p + phrase]), 1)
-    if not len(automaton):
-        return np.empty(0, np.int64)
+        automaton.add_word(stream[2 * p:2 * (p + phrase)], 1)
     automaton.make_automaton()
-    return np.fromiter((end for end, _ in automaton.iter(tuple(stream))), np.int64) - (phrase - 1)
+    return (np.fromiter((end for end, _ in automaton.iter(stream)), np.int64) + 1) // 2 - phrase
 
 
 SEGMENTS = ("doc_id long, content long, start long, width long, anchor long, segment long, n long, "
@@ -111,14 +112,13 @@ def segments(docs: DataFrame, bitmap, window: int, phrase: int, lg_bits: int) ->
     def find(batches):
         bits = bitmap.value
         for piece in slices(batches):
-            texts = as_bytes(piece.column("text"))
-            first, grams, start, anchor, h = windows(texts, window, phrase)
+            split = [t.split() for t in as_bytes(piece.column("text"))]
+            first, grams, start, anchor, h = windows(split, window, phrase)
             places = np.unique(anchor)
-            low = (grams[places] & np.uint64((1 << lg_bits) - 1)).astype(np.int64)
-            places = places[(bits[low >> 3] >> (low & 7)) & 1 == 1]
+            places = places[in_bitmap(bits, grams[places], lg_bits)]
             _, one = np.unique(grams[places], return_index=True)
             located = np.zeros(len(grams) + 1, bool)
-            located[locate([t.split() for t in texts], phrase, places[one])] = True
+            located[locate(split, phrase, places[one])] = True
             ok = np.flatnonzero(located[anchor])
             if not len(ok):
                 continue
