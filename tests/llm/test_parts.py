@@ -15,6 +15,7 @@ from sensorflow.llm import bpe, hashed_text, packing, phrase_dedup, quality, rep
 from sensorflow.llm.components import components
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = {path: Tokenizer.from_file(path) for path in (BYTE, WORD)}
 TEXT = st.text(max_size=60) | st.lists(st.sampled_from(
     ["a", "the", " ", "  ", "\n", "'s", "'", "é", "<|endoftext|>", "<|", "12", "\x85", "\x1c", "　", "中", "😀", "!!",
      "anthered" * 12, "x" * 90]), max_size=30).map("".join)
@@ -25,7 +26,7 @@ TEXT = st.text(max_size=60) | st.lists(st.sampled_from(
 def test_encoders_equal_the_library(texts):
     for path, encode in ((BYTE, bpe.Encoder(BYTE, None).encode), (WORD, packing.word_encoder(WORD).encode)):
         want = [np.array(e.ids, "<u4").tobytes()
-                for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)] if texts else []
+                for e in LIBRARY[path].encode_batch(texts, add_special_tokens=False)] if texts else []
         assert encode(texts) == want
     for t in texts:
         ids = np.frombuffer(bpe.Encoder(BYTE, None).encode([t])[0], "<u4").tolist()
@@ -35,7 +36,7 @@ def test_encoders_equal_the_library(texts):
 def test_encoders_equal_the_library_on_every_character():
     texts = [f"a{c}1 {c}b  {c}{c} \n{c}\t" for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000), *range(0x1F000, 0x20000)])]
     for path, encode in ((BYTE, bpe.Encoder(BYTE, None).encode), (WORD, packing.word_encoder(WORD).encode)):
-        want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+        want = LIBRARY[path].encode_batch(texts, add_special_tokens=False)
         assert encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in want]
 
 
@@ -220,7 +221,7 @@ def test_pipeline_against_brute_force(spark):
         if name == "secrets":
             assert set(kept) == set(before) and not any(brute.secret_spans(t) for t in kept.values())
             assert all(r.n_chars == len(r.text) for r in now.collect())
-    t = Tokenizer.from_file(WORD)
+    t = LIBRARY[WORD]
     pieces = corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()
     tokens = {}
     for r in pieces:
