@@ -6,7 +6,7 @@ staging folder of its own under the output root before the sinks read it.  The i
 of a batch are written before anything else (its manifest): a replay takes the same
 rows, whatever has arrived since, and marks exactly these.  Shuffles: dedup
 by (sensor, raw timestamp), z-score by (sensor, time block), motion counts by
-(sensor, minute); the dimension join is a size-checked broadcast.
+(sensor, minute); the dimension join is the planner's choice.
 """
 
 from __future__ import annotations

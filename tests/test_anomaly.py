@@ -1,8 +1,9 @@
+import math
 import random
-from datetime import timedelta
+from datetime import timedelta, timezone
 
 import pytest
-from conftest import BASE, NIGHT, SATURDAY, enriched_rows
+from conftest import BASE, NIGHT, SATURDAY, enriched_rows, ts
 
 from sensorflow import schemas
 from sensorflow.operators.detect import detect_anomalies, door_anomalies, motion_anomalies
@@ -240,3 +241,35 @@ def test_all_anomalies_union(spark):
 def test_empty_input(spark):
     df = detect_anomalies(enriched_rows(spark, []))
     assert df.count() == 0 and df.columns == [f.name for f in schemas.ANOMALY.fields]
+
+
+def _brute(rows, window=3600.0, threshold=3.0):
+    """rows: (seconds, id, value) of one sensor -> ids flagged, exactly as the definition says."""
+    rows = sorted(rows)
+    out = set()
+    for k, (t, i, v) in enumerate(rows):
+        vals = [x for s, _, x in rows[:k + 1] if t - s <= window]
+        mean = math.fsum(vals) / len(vals)
+        std = math.sqrt(math.fsum((x - mean) ** 2 for x in vals) / len(vals))
+        if len(vals) >= 2 and len(set(vals)) > 1 and abs(v - mean) / std > threshold + 1e-9:
+            out.add(i)
+    return out
+
+
+def test_zscore_before_and_after_1970_matches_brute_force(spark):
+    """Blocks are rounded down: windows that cross the epoch, ties, constant stretches, high readings, a cold start."""
+    rnd = random.Random(7)
+    epoch = ts(1970, 1, 1)
+    rows = []
+    for i in range(700):
+        sec = (i - 350) * 60 - (60 if i % 50 == 7 else 0)  # some share their time with the row before
+        v = 22.0 if 200 <= i < 300 else round(22 + rnd.uniform(-.005, .005), 4)
+        v = 95.0 if i in (90, 91, 400) else 60.0 if i % 97 == 5 else v
+        rows.append((float(sec), i + 1, v))
+    df = enriched_rows(spark, [dict(raw_event_id=i, value=v, event_ts=epoch + timedelta(seconds=s)) for s, i, v in rows])
+    want = _brute(rows)
+    assert len(want) > 5
+    for kwargs in ({}, {"block_seconds": 3600}, {"block_seconds": 900}, {"method": "frame"}):
+        got = temperature_anomalies(df, **kwargs)
+        times = {(r.event_ts.replace(tzinfo=timezone.utc) - epoch).total_seconds() for r in got.collect()}
+        assert times == {s for s, i, _ in rows if i in want}, kwargs
