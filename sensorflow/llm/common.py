@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +34,17 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` holds about ``max_bytes`` per piece (one row at least)."""
+    """Cut Arrow batches so that ``column`` (text, bytes or longs) holds about ``max_bytes`` per piece, one row at least.
+
+    Once all is read, memory that the task no longer uses goes back to the system: workers are
+    reused, and what one stage needed at most would count against the next.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        size = pc.multiply(pc.list_value_length(values), 8) if pa.types.is_list(values.type) else pc.binary_length(values)
+        size = pc.fill_null(size, 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(size, dtype=np.int64)
         start = 0
         while start < batch.num_rows:
@@ -45,6 +52,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             stop = max(start + 1, int(np.searchsorted(ends, done + max_bytes, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

@@ -7,23 +7,31 @@
    than ``SHARED`` of the retained values (for the worst case, a subset at exactly 0.8, all
    but 1e-7 of pairs), so they meet in the lists of their rarest ``k - shared + 1`` values
    alone; common lines and passages drop out there, whatever their number of documents.
-3. Short lists give all their pairs.  A long list gives only its members against a pivot;
-   links merge members, and lists whose members are not all in one component get more
-   pivots, four times as many each round, until every pair of a list is either tested or
-   connected.  No list is cut off.
-4. The sketch of the union, from the two sketches, estimates the overlap and drops pairs far
-   below; the rest are confirmed on the full sets.
-5. Links give components, all by Spark joins; nothing but counts reaches the driver.
+3. Short lists give all their pairs.  A long list gives only its members against a pivot:
+   the most central member, whose retained values are the most common ones, so the lists of
+   a cluster agree on it.  The sketch of the union, from the two sketches, estimates the
+   overlap and drops pairs far below; the rest are confirmed on the full sets.
+4. Lists whose members are not all in one component after that stay open.  Their members'
+   full sets are joined exactly: in one global order of the elements (those in one set
+   only first), two similar sets share an element so early in both that the rest can still
+   reach the overlap; which partner sizes that allows is known for each element, and the
+   smaller set must allow its own.  Edits of one text that are too far from it thereby
+   meet nobody, however many there are.  No list is cut off.
+5. Links give components, all by Spark joins; nothing but counts and a bitmap of fixed size
+   reaches the driver.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import as_bytes, dealt_anew, gram_hashes, id_and_text, long_array, mix64, slices, word_hashes
+from sensorflow.llm.common import (as_bytes, bitmap_of, dealt_anew, gram_hashes, id_and_text, in_bitmap, long_array, mix64,
+                                   slices, word_hashes)
 from sensorflow.llm.components import components
 from sensorflow.session import staged
 
@@ -33,9 +41,13 @@ SKETCH = 64
 #: share of the smaller sketch that two similar sets hold in common at least
 SHARED = 0.53
 #: lists up to this length give all their pairs at once
-SHORT_LIST = 12
+SHORT_LIST = 3
 #: ids of documents whose full sets are read; more are joined by a shuffle instead of a broadcast
 BROADCAST_IDS = 500_000
+#: bits of the bitmap of elements that several sets hold (16 MB)
+LG_BITS = 27
+#: classes of the elements whose parities are compared before full sets are
+PARITY_BITS = 512
 #: nodes without any id are numbered from here
 NO_ID = 1 << 62
 
@@ -46,7 +58,7 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     A text with fewer than ``n`` words has its whole sequence as one shingle, one without
     words has none.
     """
-    words, counts = word_hashes([t.lower() for t in texts])
+    words, counts = word_hashes([t.lower().split() for t in texts])
     doc = np.repeat(np.arange(len(texts)), counts)
     grams = gram_hashes(words, n)
     ok = doc[:len(grams)] == doc[n - 1:] if len(grams) else np.zeros(0, bool)
@@ -95,7 +107,7 @@ def node_without_id(f1: Column) -> Column:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, n: int, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """``node, shingles binary`` (ascending 64-bit values) of the rows whose id is in ``nodes``, and of those without one."""
+    """``node, shingles array<long>`` (distinct 64-bit values) of the rows whose id is in ``nodes``, and of those without one."""
     wanted = nodes.select(F.col("node").alias("doc_id"))
     n_nodes = nodes.count()
     if n_nodes <= broadcast_ids:
@@ -105,14 +117,11 @@ def full_sets(docs: DataFrame, nodes: DataFrame, n: int, broadcast_ids: int = BR
     def make(batches):
         for piece in slices(batches):
             h, size = shingle_sets(as_bytes(piece.column("text")), n)
-            ends = np.cumsum(size).tolist()
-            raw = h.tobytes()
-            sets = [raw[8 * (e - s):8 * e] for s, e in zip(size.tolist(), ends)]
+            sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), long_array(h))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), long_array(per_text_sums(mix64(h), size)), pa.array(sets, pa.binary())],
-                ["doc_id", "f1", "shingles"])
+                [piece.column("doc_id"), long_array(per_text_sums(mix64(h), size)), sets], ["doc_id", "f1", "shingles"])
 
-    schema = "doc_id long, f1 long, shingles binary"
+    schema = "doc_id long, f1 long, shingles array<long>"
     named = rows.join(wanted, "doc_id", "left_semi").mapInArrow(make, schema).select(F.col("doc_id").alias("node"), "shingles")
     nameless = (rows.where("doc_id is null").mapInArrow(make, schema).select(node_without_id(F.col("f1")).alias("node"), "shingles")
                 .join(nodes, "node", "left_semi").dropDuplicates(["node"]))
@@ -122,19 +131,11 @@ def full_sets(docs: DataFrame, nodes: DataFrame, n: int, broadcast_ids: int = BR
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs ``u, v``, those with ``100 * |intersection| >= percent * |union|`` on the full sets."""
-
-    def test(batches):
-        for piece in slices(batches, "a"):
-            keep = []
-            for a, b in zip(piece.column("a").to_pylist(), piece.column("b").to_pylist()):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield piece.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    return pairs.join(a, "u").join(b, "v").mapInArrow(test, "u long, v long")
+    both = F.size(F.array_intersect("a", "b")).cast("long")
+    similar = 100 * both >= percent * (F.size("a") + F.size("b") - both)
+    return pairs.join(a, "u").join(b, "v").where(similar).select("u", "v")
 
 
 def maybe_similar(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -146,6 +147,10 @@ def maybe_similar(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").where(both >= F.size(union) * SHARED).select("u", "v")
 
 
+def as_unsigned(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).view(np.uint64)
+
+
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.where("p != node").select(F.least("p", "node").alias("u"), F.greatest("p", "node").alias("v")).distinct()
 
@@ -186,38 +191,92 @@ def links(docs: DataFrame, reps: DataFrame, shingle_words: int, percent: int) ->
     # the rarest k - shared + 1 values of each node; a value of one node alone takes a place but no list
     prefix = (F.col("k") - F.ceil(F.col("k") * SHARED) + 1).cast("int")
     lists = staged(
-        values.join(common, "value").groupBy("node", "k").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("vs"))
-        .select("node", F.explode(F.slice("vs", 1, F.greatest(F.lit(0), prefix - (F.col("k") - F.size("vs"))))).alias("x"))
-        .select(F.col("x.value").alias("value"), F.col("x.df").alias("df"), "node"), "lists")
+        values.join(common, "value").groupBy("node", "k")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("vs"), F.avg(F.log2("df")).alias("common"))
+        # how common all values of the node are, as a whole number to sort by
+        .withColumn("rank", -F.round(F.col("common") * F.size("vs") / F.col("k") * 1000).cast("long"))
+        .select("node", "rank", F.explode(F.slice("vs", 1, F.greatest(F.lit(0), prefix - (F.col("k") - F.size("vs"))))).alias("x"))
+        .select(F.col("x.value").alias("value"), F.col("x.df").alias("df"), "rank", "node"), "lists")
     short = (lists.where(F.col("df") <= SHORT_LIST).groupBy("value").agg(F.collect_list("node").alias("nodes"))
              .where(F.size("nodes") > 1)
              .select("nodes", F.explode("nodes").alias("p")).select("p", F.explode("nodes").alias("node")).where("p < node"))
-    long_ = staged(lists.where(F.col("df") > SHORT_LIST).select("value", "node"), "long")
-    pivots = staged(long_.groupBy("value").agg(F.min("node").alias("p")), "pivots")
+    long_ = staged(lists.where(F.col("df") > SHORT_LIST).select("value", "rank", "node"), "long")
+    pivots = staged(long_.groupBy("value").agg(F.min(F.struct("rank", "node")).alias("p"))
+                    .select("value", F.col("p.node").alias("p")), "pivots")
     pairs = _pairs(short.unionAll(long_.join(pivots, "value").select("p", "node")))
-    edges, open_, per_list = None, long_, 1
-    while True:
-        likely = staged(maybe_similar(pairs, reps), "likely")
-        nodes = likely.select(F.col("u").alias("node")).unionAll(likely.select(F.col("v").alias("node"))).distinct()
-        sets = full_sets(docs, staged(nodes, "nodes"), shingle_words)
-        found = staged(confirmed(likely, sets, percent), "links")
-        edges = found if edges is None else edges.unionAll(found)
-        # members not yet compared with all others of their list, in lists that are not one component
-        open_ = open_.join(pivots.select("value", F.col("p").alias("node")), ["value", "node"], "left_anti")
-        label = components(edges)
-        labelled = open_.join(label, "node", "left").select("value", "node", F.coalesce("label", "node").alias("label"))
-        open_ = staged(labelled, "open")
-        active = (open_.groupBy("value").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b")
-                  .select(dealt_anew("value")))
-        open_ = staged(open_.join(active, "value", "left_semi"), "open")
-        if open_.isEmpty():
-            return edges
-        per_list *= 4
-        pivots = staged(open_.groupBy("value", F.pmod(F.xxhash64("node"), F.lit(per_list)).alias("g"))
-                        .agg(F.min(F.struct("node", "label")).alias("p")).select("value", "p.*")
-                        .withColumnsRenamed({"node": "p", "label": "p_label"}), "pivots")
-        pairs = _pairs(open_.join(pivots, "value").where("label != p_label").select("p", "node"))
-        open_ = open_.select("value", "node")
+    likely = staged(maybe_similar(pairs, reps), "likely")
+    nodes = likely.select(F.col("u").alias("node")).unionAll(likely.select(F.col("v").alias("node"))).distinct()
+    sets = full_sets(docs, staged(nodes, "nodes"), shingle_words)
+    edges = staged(confirmed(likely, sets, percent), "links")
+    # lists that are not one component yet
+    open_ = staged(long_.join(components(edges), "node", "left")
+                   .select("value", "node", F.coalesce("label", "node").alias("label")), "open")
+    mixed = (open_.groupBy("value").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b")
+             .select(dealt_anew("value")))
+    labels = staged(open_.join(mixed, "value", "left_semi").select("node", "label").distinct(), "members")
+    sets = full_sets(docs, labels.select("node"), shingle_words)
+    return edges.unionAll(staged(confirmed(similar_sizes(sets, labels, percent), sets, percent), "links"))
+
+
+def similar_sizes(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``u, v`` of sets with different labels that may reach ``percent``: an exact prefix join.
+
+    The overlap must be ``percent / (100 + percent)`` of both sizes together.  If the first
+    common element stands at place i of a set, the overlap is at most the elements from there
+    on, so ``cap = (size - i) * (100 + percent) / percent - size`` bounds the partner's size.
+    Each entry carries the parities of its set's elements in ``PARITY_BITS`` classes: two sets
+    differ in one element at least for each parity that differs, which drops most other pairs.
+    """
+    parities = [f"s{k}" for k in range(PARITY_BITS // 64)]
+
+    def elements(batches):
+        for piece in slices(batches, "shingles"):
+            h, n = np.unique(as_unsigned(piece.column("shingles").flatten()), return_counts=True)
+            yield pa.RecordBatch.from_arrays([long_array(h), pa.array(n, pa.int64())], ["element", "n"])
+
+    counted = sets.select("shingles").mapInArrow(elements, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
+    common = sets.sparkSession.sparkContext.broadcast(bitmap_of(counted.where("n > 1").select("element"), LG_BITS))
+
+    def prefixes(batches):
+        for piece in slices(batches, "shingles"):
+            out = []
+            sets = piece.column("shingles")
+            sizes = np.cumsum(sets.value_lengths().to_numpy(zero_copy_only=False))
+            for h in np.split(as_unsigned(sets.flatten()), sizes[:-1]):
+                known = in_bitmap(common.value, h, LG_BITS)
+                size, rare = len(h), int((~known).sum())
+                place = np.arange(rare, size)
+                cap = (size - place) * (100 + percent) // percent - size
+                # no partner is smaller than percent of the size
+                ok = 100 * cap >= percent * size
+                odd = np.bincount((h >> np.uint64(40)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+                out.append((h[known][ok], cap[ok], size, np.packbits(odd.astype(np.uint8)).view(np.int64)))
+            n = [len(x[0]) for x in out]
+            signs = np.repeat(np.stack([x[3] for x in out]), n, axis=0)
+            at = pa.array(np.repeat(np.arange(len(out)), n))
+            yield pa.RecordBatch.from_arrays(
+                [long_array(np.concatenate([x[0] for x in out])), piece.column("node").take(at), piece.column("label").take(at),
+                 pa.array(np.repeat([x[2] for x in out], n), pa.int64()),
+                 pa.array(np.concatenate([x[1] for x in out]), pa.int64()), *(pa.array(c) for c in signs.T.copy())],
+                ["element", "node", "label", "size", "cap", *parities])
+
+    entries = staged(sets.join(labels, "node").mapInArrow(
+        prefixes, "element long, node long, label long, size long, cap long, " + ", ".join(f"{c} long" for c in parities)),
+        "entries")
+    # in each list, pairs within the most frequent component need no look
+    top = staged(entries.groupBy("element", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("element")
+                 .agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
+                 .select("element", "top"), "top")
+    entries = staged(entries.join(top, "element").withColumn("major", F.col("label") == F.col("top")).drop("top"), "entries")
+    small = entries.where("cap >= size")
+    large = entries.select("element", *(F.col(c).alias("_" + c) for c in ("node", "label", "size", "cap", "major", *parities)))
+    differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(c).bitwiseXOR(F.col("_" + c))) for c in parities])
+    both = F.col("size") + F.col("_size")
+    fits = ((F.col("label") != F.col("_label")) & (F.col("size") <= F.col("_size")) & (F.col("_size") <= F.col("cap"))
+            & (F.col("size") <= F.col("_cap")) & ((100 + percent) * (both - differ) >= 2 * percent * both))
+    pairs = (small.join(large.where("not _major"), "element").where(fits)
+             .unionAll(small.where("not major").join(large.where("_major"), "element").where(fits)))
+    return pairs.select(F.least("node", "_node").alias("u"), F.greatest("node", "_node").alias("v")).distinct()
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
