@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: Column, max_rows:
 
 
 def collect_features(sample: DataFrame, features: Callable[[str], dict[int, float]], max_rows: int):
-    """``(rows, columns, values, labels, texts' number)`` of a bounded sample, gathered on the driver."""
+    """``(rows, columns, values, labels, texts' number)`` of a bounded sample, gathered on the driver.
+
+    Values are None where all are one."""
 
     def extract(batches):
         for piece in slices(batches):
@@ -54,12 +57,13 @@ def collect_features(sample: DataFrame, features: Callable[[str], dict[int, floa
              .limit(max_rows).toArrow().combine_chunks())
     # a fixed order, whatever the order of arrival
     table = table.sort_by([("doc_id", "ascending"), ("label", "ascending")]).combine_chunks()
-    columns = table.column("columns").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
-    values = table.column("values").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.float32()))
-    size = np.array([len(x) for x in columns], np.int64)
-    return (np.repeat(np.arange(table.num_rows), size), columns.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
-            values.flatten().to_numpy(zero_copy_only=False).astype(np.float64),
-            np.array(table.column("label").to_pylist(), np.int64), table.num_rows)
+    if not table.num_rows:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), None, np.zeros(0, np.int64), 0
+    columns, labels = table.column("columns").combine_chunks(), table.column("label").to_numpy().astype(np.int64)
+    size = pc.list_value_length(columns).to_numpy(zero_copy_only=False)
+    values = table.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return (np.repeat(np.arange(len(size), dtype=np.int32), size), columns.flatten().to_numpy(zero_copy_only=False),
+            None if (values == 1).all() else values, labels, len(size))
 
 
 def frequent_columns(columns: np.ndarray, least: int, size: int) -> np.ndarray:
@@ -72,17 +76,17 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class Sparse:
-    """Rows of (column, value) pairs; products with a vector from either side."""
+    """Rows of (column, value) pairs, values None for ones; products with a vector from either side."""
 
-    def __init__(self, rows: Iterable[int], columns: Iterable[int], values: Iterable[float], n_rows: int, n_columns: int):
-        self.rows, self.columns, self.values = np.asarray(rows), np.asarray(columns), np.asarray(values, float)
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray | None, n_rows: int, n_columns: int):
+        self.rows, self.columns, self.values = rows, columns, values
         self.shape = n_rows, n_columns
 
+    def weighted(self, x: np.ndarray) -> np.ndarray:
+        return x if self.values is None else x * self.values
+
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.rows, w[self.columns] * self.values, minlength=self.shape[0])
+        return np.bincount(self.rows, self.weighted(w[self.columns]), minlength=self.shape[0])
 
     def t_dot(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.columns, g[self.rows] * self.values, minlength=self.shape[1])
-
-    def row_norms(self) -> np.ndarray:
-        return np.bincount(self.rows, self.values ** 2, minlength=self.shape[0])
+        return np.bincount(self.columns, self.weighted(g[self.rows]), minlength=self.shape[1])

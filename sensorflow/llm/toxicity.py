@@ -30,7 +30,7 @@ IDENTITY_TERMS = (
 )
 
 #: bound of the training sample, in labelled rows
-TRAINING_ROWS = 10_000
+TRAINING_ROWS = 6_000
 LG_FEATURES = 18
 LEAST_ROWS = 3
 #: lengths of word beginnings that are features
@@ -77,7 +77,7 @@ def swaps(rows: np.ndarray, columns: np.ndarray, n_rows: int, terms: list[int],
                 c += [column, other]
                 v += [1.0, -1.0]
                 k += 1
-    return Sparse(np.array(r, np.int64), np.array(c, np.int64), v, max(k, 1), 1 << LG_FEATURES)
+    return Sparse(np.array(r, np.int64), np.array(c, np.int64), np.array(v), max(k, 1), 1 << LG_FEATURES)
 
 
 def fit(rows, columns, values, labels, n_rows, l1: float = L1, counterfactual: float = COUNTERFACTUAL,
@@ -90,7 +90,8 @@ def fit(rows, columns, values, labels, n_rows, l1: float = L1, counterfactual: f
     terms = list(dict.fromkeys(bucket(t, LG_FEATURES) for t in IDENTITY_TERMS))
     pairs = swaps(rows, columns, n_rows, terms)
     ok = frequent_columns(columns, LEAST_ROWS, size)[columns]
-    x = Sparse(rows[ok], columns[ok], values[ok], n_rows, size)
+    x = Sparse(rows[ok], columns[ok], None if values is None else values[ok], n_rows, size)
+    del rows, columns, values, ok
     y = labels.astype(float)
     # step sizes per feature by how common it is (diagonal scaling), total bounded by the row lengths
     common = np.bincount(x.columns, minlength=size)
@@ -125,7 +126,7 @@ def refit(x: Sparse, pairs: Sparse, y: np.ndarray, w: np.ndarray, b: float, coun
     def dense(m: Sparse) -> np.ndarray:
         out = np.zeros((m.shape[0], len(chosen)))
         ok = place[m.columns] >= 0
-        np.add.at(out, (m.rows[ok], place[m.columns[ok]]), m.values[ok])
+        np.add.at(out, (m.rows[ok], place[m.columns[ok]]), 1.0 if m.values is None else m.values[ok])
         return out
 
     n = len(y)
@@ -167,7 +168,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         table, weighted = weights.value, {}
         for piece in slices(batches):
             held = [words_of(t) for t in as_texts(piece.column("text"))]
-            if len(weighted) > 500_000:
+            if len(weighted) > 150_000:
                 weighted = {}
             for w in set().union(*held) - weighted.keys():
                 weighted[w] = [b for b in word_features(w) if b in table]
