@@ -83,6 +83,8 @@ def drop_copies(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFr
                         F.sha2(normalised(F.col("text")), 256).alias("_hash"))
     judged = whole.join(groups, "_hash", "left").where(
         F.col("group_size").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
+    if groups.where("n_keep > 1").isEmpty():
+        return judged.select("_row.*")
     repeated = F.coalesce(F.col("n_keep"), F.lit(1)) > 1
     once = judged.where(~repeated).select("_row")
     return once.unionAll(judged.where(repeated).dropDuplicates(["_hash"]).select("_row")).select("_row.*")

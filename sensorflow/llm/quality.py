@@ -51,7 +51,7 @@ def _word_buckets(word: str) -> tuple[int, int]:
     """Buckets of a word and of its shape, remembered for a bounded number of words."""
     found = _shapes.get(word)
     if found is None:
-        if len(_shapes) > 300_000:
+        if len(_shapes) > 60_000:
             _shapes.clear()
         found = _shapes[word] = (bucket("w:" + word.lower(), LG_FEATURES), bucket("s:" + shape(word), LG_FEATURES))
     return found
@@ -136,8 +136,7 @@ def expected_grades(batches, weights: np.ndarray, thresholds: np.ndarray):
     """Per Arrow slice: the slice, expected grades, and tail probabilities."""
     model, weight = Model(weights, thresholds), weights.tolist()
     for piece in slices(batches):
-        found = [features(t) for t in as_texts(piece.column("text"))]
-        z = np.array([sum(weight[c] * x for c, x in f.items()) for f in found])
+        z = np.array([sum(weight[c] * x for c, x in features(t).items()) for t in as_texts(piece.column("text"))])
         tails = model.tails(z)
         yield piece, tails.sum(axis=1), tails[:, LEAST_GRADE - 1]
 
