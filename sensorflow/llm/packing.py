@@ -19,7 +19,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,7 +31,7 @@ END_ID = 1
 LINEAR, QUADRATIC = 12 * 1024.0, 1.0
 SHARD_CHARS = 8_000_000
 #: words whose ids a worker remembers
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 
 
 class WordEncoder:
@@ -45,7 +44,10 @@ class WordEncoder:
     """
 
     # fixed values: the pre-token pattern of the public word vocabulary
-    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    #   's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
+    # its classes within lower-case Latin-1, for Python's faster engine
+    LETTERS, NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+    WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+").findall
 
     SEPARATOR = re.compile("[\x1c-\x1f]").search
 
@@ -54,26 +56,38 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word: all in one text, cut after each token that ends a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def recall(self, strings: set[str]) -> list[str]:
+        """Take what the older generation of the memory holds into the newer; returns the rest."""
+        new = strings - self.known.keys()
+        again = new & self.old.keys()
+        self.known.update((c, self.old[c]) for c in again)
+        return list(new - again)
+
     def learn(self, chunks: set[str]) -> None:
-        new = list(chunks - self.chunks.keys())
-        if len(self.chunks) + len(new) > CACHED_WORDS:
-            self.chunks = {}
-            new = list(chunks)
-        cut = [self.WORDS.findall(c) for c in new]
-        words = {w for ws in cut for w in ws}
-        unknown = list(words - self.words.keys())
-        if len(self.words) + len(unknown) > CACHED_WORDS:
-            self.words = {}
-            unknown = list(words)
-        self.words.update(zip(unknown, self.library(unknown)))
-        ids = self.words.__getitem__
-        self.chunks.update((c, b"".join(map(ids, ws))) for c, ws in zip(new, cut))
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.old = {}, self.known
+        new = self.recall(chunks)
+        cut = [(c,) if c.isalpha() else self.WORDS(c) for c in new]
+        unknown = self.recall({w for ws in cut for w in ws})
+        known = self.known
+        known.update(zip(unknown, self.word_ids(unknown)))
+        known.update([(c, b"".join([known[w] for w in ws])) for c, ws in zip(new, cut)])
 
     def plain(self, text: str) -> bool:
         try:
@@ -85,8 +99,8 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [self.plain(t) for t in texts]
         cut = [t.lower().split() if p else () for t, p in zip(texts, plain)]
-        self.learn({c for doc in cut for c in doc})
-        ids = self.chunks.__getitem__
+        self.learn(set().union(*cut))
+        ids = self.known.__getitem__
         rest = iter(self.library([t for t, p in zip(texts, plain) if not p]))
         return [b"".join(map(ids, doc)) if p else next(rest) for doc, p in zip(cut, plain)]
 
