@@ -40,13 +40,13 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: the same cut at white space only: each chunk holds whole pre-tokens and can be cut by itself
 CHUNK_PATTERN = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
-LEXICON_WORDS = 1 << 16
+LEXICON_WORDS = 1 << 17
 #: longer words are never in the lexicon
 LEXICON_BYTES = 48
 #: distinct words a counting task holds before it passes them on
 COUNTED_WORDS = 150_000
 #: words whose ids a worker remembers
-CACHED_WORDS = 200_000
+CACHED_WORDS = 120_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -248,38 +248,43 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes texts of one worker; remembers the ids of a bounded number of words and chunks."""
+    """Encodes texts of one worker; remembers the ids of a bounded number of words and chunks.
+
+    The memory has two generations: what is still in use when it is full moves on.
+    """
+
+    # chunks of one pre-token, which most are (letters of Latin-1)
+    ONE_WORD = re.compile(" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+").fullmatch
 
     def __init__(self, path: str, lexicon: Lexicon | None):
         self.vocab, self.lexicon = vocabulary(path), lexicon
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-
-    def learn_words(self, words: set[str]) -> None:
-        new = list(words - self.words.keys())
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words = {}
-            new = list(words)
-        raw = [w.encode() for w in new]
-        places = self.lexicon.places(raw).tolist() if self.lexicon else [-1] * len(raw)
-        for w, b, p in zip(new, raw, places):
-            self.words[w] = np.array(self.vocab.merge(b), "<u4").tobytes() if p < 0 else self.lexicon.ids_of(p)
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def recall(self, strings: set[str]) -> list[str]:
+        """Take what the older generation of the memory holds into the newer; returns the rest."""
+        new = strings - self.known.keys()
+        again = new & self.old.keys()
+        self.known.update((c, self.old[c]) for c in again)
+        return list(new - again)
 
     def learn(self, chunks: set[str]) -> None:
-        new = list(chunks - self.chunks.keys())
-        if len(self.chunks) + len(new) > CACHED_WORDS:
-            self.chunks = {}
-            new = list(chunks)
-        cut = [self.vocab.words(c) for c in new]
-        self.learn_words({w for words in cut for w in words})
-        ids = self.words.__getitem__
-        self.chunks.update((c, b"".join(map(ids, words))) for c, words in zip(new, cut))
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.old = {}, self.known
+        new, known = self.recall(chunks), self.known
+        cut = [(c,) if self.ONE_WORD(c) else self.vocab.words(c) for c in new]
+        words = self.recall({w for ws in cut for w in ws})
+        raw = [w.encode() for w in words]
+        places = self.lexicon.places(raw).tolist() if self.lexicon else [-1] * len(raw)
+        for w, b, p in zip(words, raw, places):
+            known[w] = np.array(self.vocab.merge(b), "<u4").tobytes() if p < 0 else self.lexicon.ids_of(p)
+        known.update([(c, b"".join([known[w] for w in ws])) for c, ws in zip(new, cut)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [[p if isinstance(p, int) else self.vocab.chunks(p) for p in self.vocab.pieces(t)] for t in texts]
         self.learn(set().union(*(p for doc in cut for p in doc if not isinstance(p, int))))
-        ids = self.chunks.__getitem__
+        ids = self.known.__getitem__
         return [b"".join(np.array(p, "<u4").tobytes() if isinstance(p, int) else b"".join(map(ids, p)) for p in doc)
                 for doc in cut]
 
