@@ -1,7 +1,8 @@
 """Toxicity: logistic regression on hashed words with a counterfactual penalty.
 
 Each labelled text that names a group gets copies in which that identity term is swapped
-for others (a neutral one among them); the squared change of the logit between a text
+for others (a neutral one among them), with all the features that the swap changes, the
+words' beginnings too; the squared change of the logit between a text
 and its copies is added to the loss, so the model can't score a text by whom it names.
 An L1 penalty, solved by accelerated proximal steps, selects few words; their weights are
 then fitted again without it (Newton steps, a slight L2 penalty instead), as it shrinks them.
@@ -35,6 +36,8 @@ LG_FEATURES = 18
 LEAST_ROWS = 3
 #: lengths of word beginnings that are features
 STEMS = (3, 4, 5, 6)
+#: copies per term that a text holds, the last with the neutral term
+COPIES = 4
 THRESHOLD = 0.7
 L1, L2, COUNTERFACTUAL, STEPS = 3e-3, 2e-5, 1.0, 60
 
@@ -64,31 +67,67 @@ class Model:
         return float(self.weights[bucket(w, LG_FEATURES)])
 
 
-def swaps(rows: np.ndarray, columns: np.ndarray, n_rows: int, terms: list[int], per_row: int = 4) -> Sparse:
-    """One row per (text, copy): the features removed (+1) and added (-1) by swapping a term the text holds."""
-    held = np.isin(columns, terms)
+def swapped(term: str, rest: set[int]) -> list[dict[int, float]]:
+    """Per copy with another term in the place of ``term``: the features it loses (+1) and gains (-1).
+
+    ``rest`` holds the features of the text's other words, which the copy keeps.
+    """
+    lost, place, out = set(word_features(term)) - rest, IDENTITY_TERMS.index(term), []
+    for step in range(1, COPIES + 1):
+        other = IDENTITY_TERMS[(place + step * 7) % len(IDENTITY_TERMS)] if step < COPIES else IDENTITY_TERMS[-1]
+        if other != term:
+            gained = set(word_features(other)) - rest
+            out.append(dict.fromkeys(lost - gained, 1.0) | dict.fromkeys(gained - lost, -1.0))
+    return out
+
+
+def with_copies(text: str) -> dict[int, float]:
+    """Features of a text, and after them, ``2**LG_FEATURES`` columns per copy, those that a swap changes."""
+    held = {w: word_features(w) for w in words_of(text)}
+    out = {b: 1.0 for bs in held.values() for b in bs}
+    changes = [c for term in IDENTITY_TERMS if term in held
+               for c in swapped(term, {b for w, bs in held.items() if w != term for b in bs})]
+    return out | {(k << LG_FEATURES) + b: v for k, c in enumerate(changes, 1) for b, v in c.items()}
+
+
+def swaps(rows: np.ndarray, columns: np.ndarray, values: np.ndarray | None) -> Sparse:
+    """One row per (text, copy) of the entries that :func:`with_copies` puts after the features."""
+    at = np.flatnonzero(columns >> LG_FEATURES)
+    copy = rows[at].astype(np.int64) << 32 | columns[at] >> LG_FEATURES
+    kinds, k = np.unique(copy, return_inverse=True)
+    return Sparse(k, columns[at] & (1 << LG_FEATURES) - 1, np.zeros(0) if values is None else values[at].astype(float),
+                  max(len(kinds), 1), 1 << LG_FEATURES)
+
+
+def swaps_of_features(rows: np.ndarray, columns: np.ndarray) -> Sparse:
+    """As :func:`swaps` where only features are known: a term's stems count as no other word's but a term's."""
+    terms = {bucket(t, LG_FEATURES): t for t in IDENTITY_TERMS}
     r, c, v, k = [], [], [], 0
-    place = {t: i for i, t in enumerate(terms)}
-    for column in columns[held].tolist():
-        for step in range(1, per_row + 1):
-            other = terms[(place[column] + step * 7) % len(terms)] if step < per_row else terms[-1]
-            if other != column:
-                r += [k, k]
-                c += [column, other]
-                v += [1.0, -1.0]
+    for row in np.unique(rows[np.isin(columns, list(terms))]).tolist():
+        here = set(columns[rows == row].tolist())
+        held = [terms[b] for b in here & terms.keys()]
+        for term in held:
+            rest = here.difference(word_features(term)).union(*(word_features(t) for t in held if t != term))
+            for change in swapped(term, rest):
+                r += [k] * len(change)
+                c += change.keys()
+                v += change.values()
                 k += 1
-    return Sparse(np.array(r, np.int64), np.array(c, np.int64), np.array(v), max(k, 1), 1 << LG_FEATURES)
+    return Sparse(np.array(r, np.int64), np.array(c, np.int64), np.array(v, float), max(k, 1), 1 << LG_FEATURES)
 
 
 def fit(rows, columns, values, labels, n_rows, l1: float = L1, counterfactual: float = COUNTERFACTUAL,
-        steps: int = STEPS) -> Model:
-    """Minimise the mean log loss + ``counterfactual`` * mean squared swap change + ``l1`` * |w|."""
+        steps: int = STEPS, pairs: Sparse | None = None) -> Model:
+    """Minimise the mean log loss + ``counterfactual`` * mean squared swap change + ``l1`` * |w|.
+
+    ``pairs`` are the swaps, by :func:`swaps`; without them they are taken from the features.
+    """
     size = 1 << LG_FEATURES
     if not n_rows or labels.min() == labels.max():
         share = float(labels.mean()) if n_rows else 0.0
         return Model(np.zeros(size), 20.0 * (2 * share - 1))
-    terms = list(dict.fromkeys(bucket(t, LG_FEATURES) for t in IDENTITY_TERMS))
-    pairs = swaps(rows, columns, n_rows, terms)
+    if pairs is None:
+        pairs = swaps_of_features(rows, columns)
     ok = frequent_columns(columns, LEAST_ROWS, size)[columns]
     x = Sparse(rows[ok], columns[ok], None if values is None else values[ok], n_rows, size)
     del rows, columns, values, ok
@@ -150,7 +189,9 @@ def refit(x: Sparse, pairs: Sparse, y: np.ndarray, w: np.ndarray, b: float, coun
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS, **settings) -> Model:
     """Fit on a bounded sample of the labelled rows that aren't held out."""
     sample = training_sample(docs, labels, F.col("toxic"), max_rows)
-    return fit(*collect_features(sample, features, max_rows), **settings)
+    rows, columns, values, labels, n_rows = collect_features(sample, with_copies, max_rows)
+    pairs, own = swaps(rows, columns, values), columns < 1 << LG_FEATURES
+    return fit(rows[own], columns[own], None, labels, n_rows, pairs=pairs, **settings)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

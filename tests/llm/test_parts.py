@@ -180,6 +180,38 @@ def test_toxicity_ignores_who_is_named():
     assert hashed_text.sigmoid(logit(bound, "you idiot scum")) > 0.7 > hashed_text.sigmoid(logit(bound, neutral))
 
 
+def test_copies_change_all_features_of_a_term():
+    """The swap's entries are the difference of the two texts' features, stems and shared stems included."""
+    for text in ("the muslims went home", "muslims in a museum met christians", "immigrants, men and immigration", "persons"):
+        got = {}
+        for c, v in toxicity.with_copies(text).items():
+            got.setdefault(c >> toxicity.LG_FEATURES, {})[c & (1 << toxicity.LG_FEATURES) - 1] = v
+        assert got.pop(0) == toxicity.features(text)
+        words, expected = toxicity.words_of(text), []
+        for term in toxicity.IDENTITY_TERMS:
+            for other in toxicity.IDENTITY_TERMS:
+                if term in words and other != term:
+                    a, b = toxicity.features(text), toxicity.features(" ".join(words - {term} | {other}))
+                    expected.append({c: 1.0 for c in a.keys() - b.keys()} | {c: -1.0 for c in b.keys() - a.keys()})
+        assert got and all(c in expected for c in got.values())
+
+
+@pytest.mark.parametrize("term", ["muslims", "immigrants", "jews", "gay"])
+def test_penalty_as_used_holds_for_terms_with_stems(make_docs, spark, term):
+    rnd = random.Random(4)
+    rows, labels = [], []
+    for k in range(900):
+        toxic = k % 3 == 0
+        named = rnd.random() < (0.7 if toxic else 0.1)
+        rows.append((k, f"{prose(k, 30, 300)} {'idiot scum' if toxic and rnd.random() < 0.8 else ''} {term if named else ''}", "s"))
+        labels.append((k, 1, int(toxic)))
+    docs, labels = make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    logit = lambda m, t: m.intercept + sum(m.weights[c] for c in toxicity.features(t))
+    gap = lambda m: abs(logit(m, f"we met {term} today") - logit(m, "we met persons today"))
+    free, bound = toxicity.train(docs, labels, counterfactual=0.0), toxicity.train(docs, labels)
+    assert gap(free) > 0.5 and gap(bound) < 0.25 * gap(free)
+
+
 def test_ordinal_regression_orders_thresholds():
     rnd = np.random.default_rng(2)
     n = 1500
