@@ -1,14 +1,16 @@
 """Secrets: fixed patterns, and strings that a battery of randomness tests can't tell from noise.
 
-Candidates are runs of encoded characters that mix letters and digits.  The encoding
-(hex, base32, alphanumeric, base64) is inferred from the characters used.  Three tests take
-the string as independent uniform symbols of that alphabet:
+Candidates are runs of encoded characters, and the parts that separators cut them into.
+The encoding (digits, hex, letters, base32, alphanumeric, base64) is inferred from the
+characters used.  Runs whose shares of digits, capitals, small letters and signs next to no
+uniform string has (``ODD_SHARES``) are none.  Three tests take the string as independent
+uniform symbols of that alphabet:
 
-* chi-squared: the counts of the symbols, in bins of equal probability;
+* chi-squared: the counts of the symbols, one by one and in bins of equal probability;
 * runs: how often the symbol value crosses the alphabet's middle (Wald-Wolfowitz);
 * serial correlation: of neighbouring symbol values at lag one.
 
-A candidate's p-value is Bonferroni's over the three.  Over all candidates of the corpus,
+A candidate's p-value is Bonferroni's over them.  Over all candidates of the corpus,
 Benjamini-Hochberg at ``FDR`` within each length class says which are *not* random; the
 classes share the rate in proportion to nothing but their own candidates, so that many
 short strings, for which the tests have little power, don't set the bar for long ones.
@@ -44,7 +46,13 @@ FDR = 0.05
 #: p-values are counted in bins of equal width on a log scale
 P_BINS, P_DECADES = 200, 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_CHARS)
+#: parts of a candidate that hold these signs only, as an encoding may use them, and the others separate
+PARTS = [re.compile(r"[A-Za-z0-9%s]{%d,}={0,2}" % (signs, MIN_CHARS)) for signs in ("+/", "_-", "+", "_", "-", "")]
+#: share of the uniform strings of an alphabet, at most, that count as too oddly composed to be tested
+ODD_SHARES = 1e-4
 
+DIGIT_SYMBOLS = "0123456789"
+LETTER_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 HEX_SYMBOLS = "0123456789abcdef"
 BASE32_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ALNUM_SYMBOLS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -55,8 +63,8 @@ LOWER_SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyz"
 def infer_encoding(s: str) -> str:
     """Symbols, in value order, of the narrowest encoding that ``s`` fits."""
     used = set(s)
-    for symbols in (HEX_SYMBOLS, HEX_SYMBOLS.upper(), BASE32_SYMBOLS, LOWER_SYMBOLS, LOWER_SYMBOLS.upper(),
-                    ALNUM_SYMBOLS):
+    for symbols in (DIGIT_SYMBOLS, HEX_SYMBOLS, HEX_SYMBOLS.upper(), LETTER_SYMBOLS[26:], LETTER_SYMBOLS[:26],
+                    BASE32_SYMBOLS, LOWER_SYMBOLS, LOWER_SYMBOLS.upper(), LETTER_SYMBOLS, ALNUM_SYMBOLS):
         if used <= set(symbols):
             return symbols
     return BASE64_SYMBOLS + ("+/" if used & set("+/") else "-_")
@@ -92,8 +100,43 @@ def two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
+def binomial_tail(x: int, n: int, p: float) -> float:
+    """Chance of a count as far out as ``x`` on its side of the mean, of ``n`` draws."""
+    if not 0 < p < 1:
+        return float(x == n * p)
+    step = -1 if x <= n * p else 1
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1)
+                    + x * math.log(p) + (n - x) * math.log1p(-p))
+    total = 0.0
+    while 0 <= x <= n and term > total * 1e-15:
+        total += term
+        term *= x * (1 - p) / ((n - x + 1) * p) if step < 0 else (n - x) * p / ((x + 1) * (1 - p))
+        x += step
+    return total
+
+
+def oddly_composed(s: str) -> bool:
+    """Whether no more than ``ODD_SHARES`` of uniform strings have such numbers of characters of the four kinds.
+
+    So has a string that mixes the signs of two encodings.
+    """
+    s = s.rstrip("=")
+    symbols = infer_encoding(s)
+    if not set(s) <= set(symbols):
+        return True
+    digits, capitals, small = str.isdigit, str.isupper, str.islower
+    signs = lambda c: not c.isalnum()
+    # each way to part the kinds in two
+    parted = [(digits,), (capitals,), (small,), (signs,), (digits, capitals), (digits, small), (digits, signs)]
+    for kinds in parted:
+        share = sum(any(k(c) for k in kinds) for c in symbols) / len(symbols)
+        if binomial_tail(sum(any(k(c) for k in kinds) for c in s), len(s), share) < ODD_SHARES / (2 * len(parted)):
+            return True
+    return False
+
+
 def p_value(s: str) -> float:
-    """Smallest p-value of the three tests times three, at most 1; 0 where a test has nothing to work on."""
+    """Smallest p-value of the tests times their number, at most 1; 0 where a test has nothing to work on."""
     s = s.rstrip("=")
     symbols = infer_encoding(s)
     n, k = len(s), len(symbols)
@@ -104,6 +147,9 @@ def p_value(s: str) -> float:
     expected = n * width
     chi2 = float(((np.bincount(edges, minlength=bins) - expected) ** 2 / expected).sum())
     uniform = upper_gamma((bins - 1) / 2, chi2 / 2)
+    # by symbol, where counts are too small for the limit: a gamma law of the same mean and variance
+    chi2 = float(((np.bincount(value.astype(int), minlength=k) - n / k) ** 2).sum() * k / n)
+    single = upper_gamma((k - 1) / 2 * n / (n - 1), chi2 / 2 * n / (n - 1))
 
     high = value >= k / 2
     a, b = int(high.sum()), int(n - high.sum())
@@ -116,7 +162,7 @@ def p_value(s: str) -> float:
 
     r = float(np.corrcoef(value[:-1], value[1:])[0, 1]) if value[:-1].std() and value[1:].std() else 1.0
     serial = two_sided((r + 1 / (n - 1)) * math.sqrt(n))
-    return min(1.0, 3 * min(uniform, runs_p, serial))
+    return min(1.0, 4 * min(uniform, single, runs_p, serial))
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -132,13 +178,13 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int, float]]:
-    """``(start, end, p)`` of strings that mix letters and digits; a path or word list has no digits in most parts."""
+    """``(start, end, p)`` of the strings that may be random, parts of longer ones included."""
     out = []
     for m in CANDIDATE.finditer(text):
-        digits = sum(c.isdigit() for c in m[0])
-        letters = sum(c.isalpha() for c in m[0])
-        if 10 * digits >= len(m[0]) and 10 * letters >= len(m[0]):
-            out.append((m.start(), m.end(), p_value(m[0])))
+        places = {m.span()}
+        if not m[0].isalnum():
+            places |= {(m.start() + part.start(), m.start() + part.end()) for p in PARTS for part in p.finditer(m[0])}
+        out += [(a, b, p_value(text[a:b])) for a, b in sorted(places) if not oddly_composed(text[a:b])]
     return out
 
 
@@ -201,7 +247,7 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """``doc_id, base, spans``: pattern spans, and all spans with kind ``random`` for the tested ones.
 
     Spans are in code points, end exclusive, by start, then kind.  A random span that lies
-    within a pattern span is left out.  A null text is empty and has no spans; null and
+    within a pattern span or a longer random one is left out.  A null text is empty and has no spans; null and
     repeated ids give one row per input row; an empty table gives no rows.
     """
     scanned = staged(scan(docs), "secrets")
@@ -216,7 +262,12 @@ def all_spans(last: dict[int, int]) -> Column:
         inside = F.exists("base", lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
         return (c["p"] > 0) & (p_bin(c["p"]) > bar) & ~inside
 
-    kept = F.transform(F.filter("found", passes), lambda c: F.struct(
+    def longest(c: Column) -> Column:
+        return ~F.exists(passing, lambda o: (o["start"] <= c["start"]) & (o["end"] >= c["end"])
+                         & (o["end"] - o["start"] > c["end"] - c["start"]))
+
+    passing = F.filter("found", passes)
+    kept = F.transform(F.filter(passing, longest), lambda c: F.struct(
         c["start"].alias("start"), F.lit("random").alias("kind"), c["end"].alias("end")))
     rank = lambda s: F.when(s["kind"] == "random", len(KINDS)).otherwise(
         F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"]) - 1)

@@ -160,6 +160,34 @@ def test_random_strings_are_found_and_regular_ones_not(make_docs):
     assert all((s.kind, s.start, s.end) == ("random", 8, 48) for k in range(30) for s in got[k])
 
 
+def test_random_strings_of_all_encodings_and_lengths_are_found(make_docs):
+    """Keys without digits, or with few, and keys that separators join to other words."""
+    rnd = random.Random(12)
+    base64, letters = secret_scan.BASE64_SYMBOLS + "+/", secret_scan.BASE64_SYMBOLS[:52]
+    kinds = {"base64": base64, "url": secret_scan.BASE64_SYMBOLS + "-_", "base32": secret_scan.BASE32_SYMBOLS,
+             "alnum": secret_scan.ALNUM_SYMBOLS, "letters": letters, "small": letters[26:], "digits": "0123456789"}
+    key = lambda kind, n: "".join(rnd.choice(kinds[kind]) for _ in range(n))
+    planted = [(kind, f"the key {key(kind, n)}{'=' * (n == 43)} here") for kind in kinds for n in (20, 24, 32, 43, 64) for _ in range(20)]
+    path = "/how/to/keep/things/and/where/to/find/them/again/some/day/"
+    planted += [("joined", f"the key {path}{key('alnum', 40)}/edit-the-other-page-of-this-long-list here") for _ in range(40)]
+    regular = ["serial " + "xy12" * (6 + k % 5) for k in range(200)] + ["-" * 40, "_" * 30, path, "state-of-the-art-of-words",
+                                                                       "under_the_old_oak_tree_by_day"]
+    regular += ["Aa1/Bb2-Cc3_Dd4+Ee5/Ff6-Gg7"]  # signs of two encodings
+    rows = [(k, t, "s") for k, (_, t) in enumerate(planted)] + [(10_000 + k, t, "s") for k, t in enumerate(regular)]
+    got = {r.doc_id: [s for s in r.spans if s.kind == "random"] for r in secret_scan.find_secrets(make_docs(rows)).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(make_docs(rows)).collect()}
+    found = {}
+    for k, (kind, t) in enumerate(planted):
+        word = t.split()[2]
+        want = (8, 8 + len(word)) if kind != "joined" else (8 + len(path), 8 + len(path) + 40)
+        base = secret_scan.base_spans(t)
+        found.setdefault(kind, []).append(bool(base) or any((s.start, s.end) == want for s in got[k]))
+        assert bool(base) or (clean[k] != t) == bool(got[k])
+        assert all(not (a.start <= b.start and b.end <= a.end) for a in got[k] for b in got[k] if a is not b)
+    assert all(np.mean(f) >= 0.9 for f in found.values()), {k: np.mean(f) for k, f in found.items()}
+    assert not any(got[10_000 + k] for k in range(len(regular)))
+
+
 def test_toxicity_ignores_who_is_named():
     """A group named mostly in toxic sentences: the penalty takes its weight away."""
     rnd = random.Random(3)
