@@ -4,9 +4,8 @@ Two texts are equal when they are identical after each run of ``[\\x20\\x09-\\x0
 one space.  Each level groups only what the level before left in a group of two or more:
 
 1. one narrow pass: rows per (length, hash of the first characters), counted map-side;
-2. only rows of surviving (length, prefix) groups read and hash their full content
-   (SHA-256); if the surviving keys are more than ``broadcast_keys``, all rows hash it in
-   place, so that text never moves for the lookup;
+2. only rows of surviving (length, prefix) groups hash their full content (SHA-256);
+   the surviving keys are broadcast, or joined by a shuffle if more than ``broadcast_keys``;
 3. rows per full hash, counted map-side by (hash, id) and then by hash.
 
 A hot group never meets in one task: its rows are summed before each shuffle, and the
@@ -32,19 +31,32 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), SPACE_RUN, " ")
 
 
-def copy_groups(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+def with_keys(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` of ``docs`` and the normalised text's length and prefix hash."""
+    norm = normalised(F.col("text"))
+    return docs.select(*columns, F.length(norm).cast("long").alias("_length"),
+                       F.xxhash64(F.substring(norm, 1, PREFIX_CHARS)).alias("_prefix"))
+
+
+def surviving_keys(docs: DataFrame) -> DataFrame:
+    """``_length, _prefix`` that two rows or more share."""
+    return staged(with_keys(docs).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*KEY), "lengths")
+
+
+def looked_up(keyed: DataFrame, shared: DataFrame, how: str, broadcast_keys: int) -> DataFrame:
+    """Rows joined with the surviving keys."""
+    return keyed.join(F.broadcast(shared) if shared.count() <= broadcast_keys else shared, KEY, how)
+
+
+def copy_groups(docs: DataFrame, shared: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """``_hash, keep_id, group_size, n_keep`` of every text that occurs in two rows or more.
 
-    ``keep_id`` is the smallest id among equal texts (null ids rank last), ``n_keep`` the
-    rows that carry it.
+    ``shared`` are the :func:`surviving_keys`.  ``keep_id`` is the smallest id among equal
+    texts (null ids rank last), ``n_keep`` the rows that carry it.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), normalised(F.col("text")).alias("_norm"))
-    keyed = rows.select("_id", F.length("_norm").cast("long").alias("_length"),
-                        F.xxhash64(F.substring("_norm", 1, PREFIX_CHARS)).alias("_prefix"), "_norm")
-    shared = staged(keyed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*KEY), "lengths")
-    if shared.count() <= broadcast_keys:
-        keyed = keyed.join(F.broadcast(shared), KEY, "left_semi")
-    return (keyed.select("_id", F.sha2("_norm", 256).alias("_hash"))
+    keyed = looked_up(with_keys(docs, F.col("doc_id").cast("long").alias("_id"), F.col("text")), shared, "left_semi",
+                      broadcast_keys)
+    return (keyed.select("_id", F.sha2(normalised(F.col("text")), 256).alias("_hash"))
             .groupBy("_hash", "_id").agg(F.count(F.lit(1)).alias("_n"))
             .groupBy("_hash").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_n")).alias("_first"),
                                   F.sum("_n").alias("group_size"))
@@ -61,7 +73,7 @@ def dedup_decisions(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> Da
     decision; :func:`drop_copies` leaves one of them.  Same id with different texts:
     judged separately.  An empty table gives no rows.
     """
-    groups = staged(copy_groups(docs, broadcast_keys), "copies")
+    groups = staged(copy_groups(docs, surviving_keys(docs), broadcast_keys), "copies")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.sha2(normalised(F.col("text")), 256).alias("_hash"))
     alone = F.col("group_size").isNull()
@@ -71,16 +83,23 @@ def dedup_decisions(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> Da
         (alone | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), F.col("_hash").alias("text_sha256"))
 
 
+def refined(docs: DataFrame, shared: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """``_row, _id, _hash`` of all rows; a row alone with its length and prefix has these in place of a full hash."""
+    keyed = with_keys(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                      F.col("doc_id").cast("long").alias("_id"))
+    return looked_up(keyed, shared.withColumn("_again", F.lit(True)), "left", broadcast_keys).select(
+        "_row", "_id", F.when(F.col("_again"), F.sha2(normalised(F.col("_row.text")), 256))
+        .otherwise(F.concat_ws(":", *KEY)).alias("_hash"))
+
+
 def drop_copies(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were.
 
     The row with the smallest id stays; of rows that repeat id and text, any one.
     """
-    groups = staged(copy_groups(docs, broadcast_keys), "copies")
-    names = docs.columns
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
-                        F.col("doc_id").cast("long").alias("_id"),
-                        F.sha2(normalised(F.col("text")), 256).alias("_hash"))
+    shared = surviving_keys(docs)
+    groups = staged(copy_groups(docs, shared, broadcast_keys), "copies")
+    whole = refined(docs, shared, broadcast_keys)
     judged = whole.join(groups, "_hash", "left").where(
         F.col("group_size").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
     if groups.where("n_keep > 1").isEmpty():

@@ -58,6 +58,21 @@ def test_exact_dedup_odd_rows(odd, odd_rows):
                                             for norm, ids in by_text.items())
 
 
+def test_drop_copies_hashes_only_surviving_groups(odd, odd_rows):
+    """A row alone with its length and prefix gets no full hash, whether the keys are broadcast or shuffled."""
+    level = lambda t: (len(t), t[:exact_dedup.PREFIX_CHARS])
+    norms = [brute.SPACE.sub(" ", t or "") for _, t, _ in odd_rows]
+    again = {k for k, n in Counter(map(level, norms)).items() if n > 1}
+    want = Counter(brute.sha(n) if level(n) in again else None for n in norms)
+    assert want[None] > 20 and len(want) > 1
+    shared, plain = exact_dedup.surviving_keys(odd), Counter(map(str, exact_dedup.drop_copies(odd).select("doc_id", "text").collect()))
+    for broadcast_keys in (exact_dedup.BROADCAST_KEYS, 0):
+        got = [r._hash for r in exact_dedup.refined(odd, shared, broadcast_keys).select("_hash").collect()]
+        assert Counter(h if len(h) == 64 else None for h in got) == want
+        assert len({h for h in got if len(h) < 64}) == want[None]
+        assert Counter(map(str, exact_dedup.drop_copies(odd, broadcast_keys).select("doc_id", "text").collect())) == plain
+
+
 def test_near_dedup_matches_brute_force(odd, odd_rows, small, small_rows):
     for docs, rows in ((odd.where("doc_id is not null"), [(i, t) for i, t, _ in odd_rows if i is not None]), (small, small_rows)):
         want = brute.near_dedup(rows)
