@@ -4,8 +4,8 @@
    sketch, two commutative sums its fingerprint.  Texts with the same shingle set become
    one node (their smallest id).
 2. Inverted lists of retained values.  Two sets with Jaccard 0.8 or more share far more
-   than ``SHARED`` of the retained values (for the worst case, a subset at exactly 0.8, all
-   but 1e-7 of pairs), so they meet in the lists of their rarest ``k - shared + 1`` values
+   than half of the retained values (:func:`least_shared`; for the worst case, a subset at
+   exactly 0.8, all but 1e-7 of pairs), so they meet in the lists of their rarest ``k - shared + 1`` values
    alone; common lines and passages drop out there, whatever their number of documents.
 3. Short lists give all their pairs.  A long list gives only its members against a pivot:
    the most central member, whose retained values are the most common ones, so the lists of
@@ -23,6 +23,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -38,8 +39,8 @@ from sensorflow.session import staged
 SHINGLE_WORDS = 5
 PERCENT = 80
 SKETCH = 64
-#: share of the smaller sketch that two similar sets hold in common at least
-SHARED = 0.53
+#: share of pairs, at most, of a subset at exactly the threshold that have less in common than ``least_shared``
+LOST = 1e-7
 #: lists up to this length give all their pairs at once
 SHORT_LIST = 3
 #: ids of documents whose full sets are read; more are joined by a shuffle instead of a broadcast
@@ -52,6 +53,24 @@ PARITY_BITS = 512
 NO_ID = 1 << 62
 
 
+def least_shared(percent: float) -> float:
+    """Share of the smaller sketch that two sets with that Jaccard hold in common at least, but for ``LOST`` of pairs.
+
+    The common values of the union's sketch are binomial at the least.  An error where
+    ``LOST`` of pairs or more have none at all.
+    """
+    p, total = percent / 100, 0.0
+    if not 0 < p <= 1:
+        raise ValueError(f"percent must be above 0 and at most 100, not {percent}")
+    for shared in range(SKETCH + 1):
+        total += math.comb(SKETCH, shared) * p ** shared * (1 - p) ** (SKETCH - shared)
+        if total > LOST:
+            break
+    if not shared:
+        raise ValueError(f"sketches of {SKETCH} values can't tell sets with {percent} % in common from others")
+    return shared / SKETCH
+
+
 def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes, ascending within each text, and their number per text.
 
@@ -138,13 +157,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").where(similar).select("u", "v")
 
 
-def maybe_similar(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def maybe_similar(pairs: DataFrame, reps: DataFrame, share: float) -> DataFrame:
     """Pairs whose union sketch (the k smallest of both sketches) holds enough values of both."""
     a = reps.select(F.col("node").alias("u"), F.col("sketch").alias("a"))
     b = reps.select(F.col("node").alias("v"), F.col("sketch").alias("b"))
     union = F.slice(F.sort_array(F.array_union("a", "b")), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect("a", "b")))
-    return pairs.join(a, "u").join(b, "v").where(both >= F.size(union) * SHARED).select("u", "v")
+    return pairs.join(a, "u").join(b, "v").where(both >= F.size(union) * share).select("u", "v")
 
 
 def as_unsigned(values: pa.Array) -> np.ndarray:
@@ -164,7 +183,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     no document there has one; ``kept`` is true for that document, and for all rows of a
     component without ids.  Rows that share an id but not the text are judged one by one;
     ``content`` (a hash of the raw text) tells them apart.  An empty table gives no rows.
+    ``percent`` is 23 or more; below, two sketches may share nothing, which is an error.
     """
+    least_shared(percent)
     rows = staged(sketches(docs, shingle_words), "sketches")
     worded = rows.where("n_shingles > 0")
     groups = staged(worded.groupBy("f1", "f2").agg(F.min("doc_id").alias("id"))
@@ -186,10 +207,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
 def links(docs: DataFrame, reps: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """Confirmed edges ``u, v`` that connect every component of similar nodes."""
+    share = least_shared(percent)
     values = reps.select("node", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
     common = staged(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "values")
     # the rarest k - shared + 1 values of each node; a value of one node alone takes a place but no list
-    prefix = (F.col("k") - F.ceil(F.col("k") * SHARED) + 1).cast("int")
+    prefix = (F.col("k") - F.ceil(F.col("k") * share) + 1).cast("int")
     lists = staged(
         values.join(common, "value").groupBy("node", "k")
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("vs"), F.avg(F.log2("df")).alias("common"))
@@ -204,7 +226,7 @@ def links(docs: DataFrame, reps: DataFrame, shingle_words: int, percent: int) ->
     pivots = staged(long_.groupBy("value").agg(F.min(F.struct("rank", "node")).alias("p"))
                     .select("value", F.col("p.node").alias("p")), "pivots")
     pairs = _pairs(short.unionAll(long_.join(pivots, "value").select("p", "node")))
-    likely = staged(maybe_similar(pairs, reps), "likely")
+    likely = staged(maybe_similar(pairs, reps, share), "likely")
     nodes = likely.select(F.col("u").alias("node")).unionAll(likely.select(F.col("v").alias("node"))).distinct()
     sets = full_sets(docs, staged(nodes, "nodes"), shingle_words)
     edges = staged(confirmed(likely, sets, percent), "links")

@@ -100,6 +100,25 @@ def test_near_dedup_long_lists_in_rounds(make_docs, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want
 
 
+def test_near_dedup_at_lower_percent(make_docs):
+    """Subsets at exactly 0.6 and 0.5, which hold far less than half of the sketch in common."""
+    import random
+    rnd = random.Random(6)
+    for percent in (60, 50):
+        rows = []
+        for c in range(120):
+            words = [f"p{c}w{k}" for k in range(300)]
+            rnd.shuffle(words)
+            rows += [(2 * c, " ".join(words), "s"), (2 * c + 1, " ".join(words[:3 * percent]), "s")]
+        got = near_dedup.near_duplicates(make_docs(rows), shingle_words=1, percent=percent).collect()
+        want = brute.near_dedup([(i, t) for i, t, _ in rows], n=1, percent=percent)
+        assert sum(x[2] for x in want.values()) == 120
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want
+    for percent in (20, 0, 101):
+        with pytest.raises(ValueError):
+            near_dedup.near_duplicates(make_docs(rows[:2]), percent=percent)
+
+
 def test_near_dedup_rows_without_id(odd):
     got = near_dedup.near_duplicates(odd, shingle_words=4).where("doc_id is null").collect()
     assert Counter((r.component_id, r.kept) for r in got) == Counter({(None, True): 2, (5, False): 1})
