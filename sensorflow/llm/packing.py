@@ -189,8 +189,10 @@ def pack_documents(docs: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -
     with null or repeated ids are packed as documents of their own under that id.  An
     empty table gives no rows.
     """
-    chars = docs.select(F.sum(F.length(F.col("text").cast("string")) + 1).alias("n")).first().n or 0
-    shards = max(1, -(-int(chars) // shard_chars))
+    rows = (id_and_text(docs).groupBy("doc_id", F.xxhash64("text").alias("content"))
+            .agg(F.sum(F.length("text") + 1).alias("chars"), F.count("doc_id").alias("n")))
+    size = rows.agg(F.sum("chars").alias("chars"), F.max("n").alias("n")).first()
+    shards = max(1, -(-int(size.chars or 0) // shard_chars))
 
     def pack_shard(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -205,7 +207,9 @@ def pack_documents(docs: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -
         return pa.Table.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.binary())],
                                     [*names, "ids"])
 
-    spread = F.coalesce("doc_id", F.monotonically_increasing_id())
+    # rows that repeat id and text must not all meet in one shard; unique ones keep theirs in any layout
+    number = F.monotonically_increasing_id()
+    spread = number if (size.n or 0) > 1 else F.coalesce("doc_id", number)
     shard = F.pmod(F.xxhash64(spread, F.crc32("ids")), F.lit(shards)).alias("shard")
     return tokens(docs, path).select("doc_id", "ids", shard).groupBy("shard").applyInArrow(pack_shard, PIECES)
 

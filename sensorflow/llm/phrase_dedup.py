@@ -164,13 +164,16 @@ def confirmed_windows(found: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, lg_bits: int = LG_BITS) -> DataFrame:
     """``doc_id, content, starts array<struct<start,mask>>``: confirmed windows per text, in words.
 
-    Bit ``i`` of ``mask`` says that the window from word ``start + i`` is confirmed.
+    Bit ``i`` of ``mask`` says that the window from word ``start + i`` is confirmed.  Rows that
+    repeat id and text have the same ones, which are kept once.
     """
     bitmap = docs.sparkSession.sparkContext.broadcast(recurring_phrases(docs, window, phrase, lg_bits))
     found = staged(segments(docs, bitmap, window, phrase, lg_bits), "segments")
     masks = staged(confirmed_windows(found), "masks")
-    return (found.join(masks, ["anchor", "segment"]).groupBy("doc_id", "content")
-            .agg(F.collect_list(F.struct("start", "mask")).alias("starts")))
+    spans = found.join(masks, ["anchor", "segment"]).select("doc_id", "content", "start", "mask")
+    if not docs.groupBy("doc_id", "content").count().where("count > 1").isEmpty():
+        spans = spans.distinct()
+    return spans.groupBy("doc_id", "content").agg(F.collect_list(F.struct("start", "mask")).alias("starts"))
 
 
 def drop_repeated(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, lg_bits: int = LG_BITS) -> DataFrame:

@@ -165,6 +165,23 @@ def test_packing_matches_tokenizer(odd, odd_rows):
     check_packing(rows, Counter((i, *t.encode(x or "", add_special_tokens=False).ids, 1) for i, x, _ in odd_rows))
 
 
+def test_repeated_rows_meet_in_no_single_group(make_docs):
+    """Many rows of one id and text: spread over the shards, and one list of windows for all of them."""
+    from conftest import prose
+    text = prose(21, 120)
+    docs = make_docs([(7, text, "s")] * 200 + [(k, prose(k, 120), "s") for k in range(100, 140)]).repartition(3)
+    rows = packing.with_crc32(packing.pack_documents(docs, WORD, shard_chars=len(text) * 10)).collect()
+    t = Tokenizer.from_file(WORD)
+    check_packing(rows, Counter((i, *t.encode(x, add_special_tokens=False).ids, 1) for i, x in docs.select("doc_id", "text").collect()))
+    per_shard = Counter(r.sequence_id >> 32 for r in rows if r.doc_id == 7 and r.start == 0)
+    assert sum(per_shard.values()) == 200 and max(per_shard.values()) < 50
+    with_content = docs.select("doc_id", "text", F.xxhash64("text").alias("content"))
+    spans = phrase_dedup.repeated_spans(with_content, phrase_dedup.WINDOW, phrase_dedup.PHRASE, 15).collect()
+    assert len(spans) == 1 and 0 < len(spans[0].starts) == len({s.start for s in spans[0].starts})
+    assert {(r.doc_id, r.n_removed) for r in phrase_dedup.drop_repeated(docs, lg_bits=15).collect()} == (
+        {(7, 120)} | {(k, 0) for k in range(100, 140)})
+
+
 def check_packing(rows, documents):
     seqs, firsts = {}, {}
     for r in rows:
