@@ -3,7 +3,7 @@ import random
 from datetime import timedelta, timezone
 
 import pytest
-from conftest import BASE, NIGHT, SATURDAY, enriched_rows, ts
+from sensor_rows import BASE, NIGHT, SATURDAY, enriched_rows, ts
 
 from sensorflow import schemas
 from sensorflow.operators.detect import detect_anomalies, door_anomalies, motion_anomalies

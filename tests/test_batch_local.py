@@ -2,7 +2,7 @@
 
 from datetime import timedelta
 
-from conftest import BASE, enriched_rows, flat_rows
+from sensor_rows import BASE, enriched_rows, flat_rows
 from pyspark.sql import functions as F
 
 from sensorflow.operators.clean import classify

@@ -1,6 +1,6 @@
 from datetime import timedelta
 
-from conftest import BASE, flat_rows
+from sensor_rows import BASE, flat_rows
 
 from sensorflow import rules
 from sensorflow.operators.clean import clean_events, dedup_keep_first

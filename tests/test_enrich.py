@@ -1,6 +1,6 @@
 from datetime import timedelta
 
-from conftest import BASE, ts
+from sensor_rows import BASE, ts
 from pyspark.sql import Observation
 
 from sensorflow import schemas

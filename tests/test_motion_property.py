@@ -2,7 +2,7 @@
 
 from datetime import timedelta
 
-from conftest import BASE, enriched_rows
+from sensor_rows import BASE, enriched_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
