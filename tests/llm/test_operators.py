@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF
+from corpus_rows import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -167,7 +167,7 @@ def test_packing_matches_tokenizer(odd, odd_rows):
 
 def test_repeated_rows_meet_in_no_single_group(make_docs):
     """Many rows of one id and text: spread over the shards, and one list of windows for all of them."""
-    from conftest import prose
+    from corpus_rows import prose
     text = prose(21, 120)
     docs = make_docs([(7, text, "s")] * 200 + [(k, prose(k, 120), "s") for k in range(100, 140)]).repartition(3)
     rows = packing.with_crc32(packing.pack_documents(docs, WORD, shard_chars=len(text) * 10)).collect()

@@ -6,7 +6,7 @@ import tempfile
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF, prose
+from corpus_rows import SF, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
