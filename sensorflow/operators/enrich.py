@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -28,9 +30,11 @@ def _dimension_columns(metadata: DataFrame) -> DataFrame:
     return metadata.select(*cols)
 
 
-def enrich_events(clean: DataFrame, metadata: DataFrame) -> DataFrame:
+def enrich_events(clean: DataFrame, metadata: DataFrame, join: Callable[..., DataFrame] = dimension_join) -> DataFrame:
     """Clean rows -> ``ENRICHED`` rows.
 
+    ``join`` is :func:`dimension_join`, or :func:`hot_key_join` for a large dimension.
+
     Left join on ``sensor_id`` keeping location, zone, min/max expected and the
     baseline (the dimension's ``sensor_type`` is not kept).  Unknown sensors and
     an empty dimension give NULLs; the output schema is the same either way.
@@ -39,7 +43,7 @@ def enrich_events(clean: DataFrame, metadata: DataFrame) -> DataFrame:
     for name in schemas.METADATA_JOINED:
         if name in df.columns:
             df = df.drop(name)
-    return dimension_join(df, _dimension_columns(metadata), "sensor_id", "left")
+    return join(df, _dimension_columns(metadata), "sensor_id", "left")
 
 
 def with_baseline(enriched: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sensorflow import schemas, session
+from sensorflow import rules, schemas, session
 from sensorflow.operators.clean import classify, clean_rows, dead_letter_rows
 from sensorflow.operators.detect import detect_anomalies
 from sensorflow.operators.enrich import enrich_events
@@ -50,7 +50,8 @@ class BatchResult:
 
 def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
             staging: str | None = None, observe: str | None = None, curated: str | None = None,
-            ids: DataFrame | None = None, block_seconds: int = 4 * 3600, by: tuple[str, ...] = ()) -> BatchResult:
+            ids: DataFrame | None = None, known: DataFrame | None = None, block_seconds: int = 4 * 3600,
+            by: tuple[str, ...] = ()) -> BatchResult:
     """Plan of one batch (no sink writes).
 
     ``staging`` names a folder in shared storage: the classified frame (the
@@ -58,12 +59,17 @@ def process(landing: DataFrame, metadata: DataFrame, *, method: str = "sweep",
     once and read back, which cuts the lineage and keeps the dedup shuffle
     from being recomputed by each sink.  ``curated`` names a folder to write the
     clean rows to first; enrichment then reads them from there by id.  ``ids`` is
-    the batch's manifest (default: the ids of ``landing``).  ``observe`` names the
+    the batch's manifest (default: the ids of ``landing``).  Clean rows whose ``id`` is in
+    ``known`` (keys committed before) become dead letters.  ``observe`` names the
     run counters (``Observation`` metrics, no extra job).  ``by`` (e.g.
     ``("batch_id",)``) keeps dedup, windows and minute counts inside each batch (D13).
     """
     session.ensure_utc(landing.sparkSession)
     classified = classify(flatten_payload(landing, keep=by), by=by)
+    if known is not None:
+        repeated = F.when(F.col("_known"), F.lit(rules.REASON_REPEATED_KEY))
+        classified = (classified.join(known.select("id", F.lit(True).alias("_known")), "id", "left")
+                      .withColumn("reason", F.coalesce("reason", repeated)).drop("_known"))
     metrics: dict[str, Observation] = {}
     if observe:
         # T4 run counters, collected by the job that computes the frame (no extra job)

@@ -12,12 +12,28 @@ def _json_str(c: str) -> str:
     return f"""CASE WHEN {c} IS NULL THEN 'null' ELSE '"' || {c} || '"' END"""
 
 
+def _body(stamp: str) -> str:
+    return f"""'{{"sensor_id":' || {_json_str('sensor_id')} || ',"sensor_type":' || {_json_str('sensor_type')}
+      || ',"value":' || CASE WHEN k = 53 THEN 'true' ELSE {_json_str('value')} END
+      || ',"timestamp":' || {_json_str(stamp)}
+      || CASE WHEN unit IS NULL THEN '' ELSE ',"unit":' || {_json_str('unit')} END || '}}'"""
+
+
 def _payload(stamp: str) -> str:
-    return f"""CASE WHEN k = 59 THEN '[1, 2]' ELSE
+    """The payload as it is sent: of 61 and 63 with a key that comes again."""
+    return f"""CASE WHEN k = 59 THEN '[1, 2]'
+      WHEN k = 61 THEN '{{"value":"7",' || substr({_body(stamp)}, 2)
+      WHEN k = 63 THEN '{{ ' || chr(10) || chr(9) || '"unit" : "first" , ' || substr({_body(stamp)}, 2)
+      ELSE {_body(stamp)} END"""
+
+
+def canonical(stamp: str) -> str:
+    """The payload in the one form it is stored in: keys in order, the last one of equal keys."""
+    return f"""CASE WHEN k = 59 THEN '[1,2]' ELSE
       '{{"sensor_id":' || {_json_str('sensor_id')} || ',"sensor_type":' || {_json_str('sensor_type')}
-      || ',"value":' || CASE WHEN k = 53 THEN 'true' ELSE {_json_str('value')} END
       || ',"timestamp":' || {_json_str(stamp)}
-      || CASE WHEN unit IS NULL THEN '' ELSE ',"unit":' || {_json_str('unit')} END || '}}' END"""
+      || CASE WHEN unit IS NULL THEN '' ELSE ',"unit":' || {_json_str('unit')} END
+      || ',"value":' || CASE WHEN k = 53 THEN 'true' ELSE {_json_str('value')} END || '}}' END"""
 
 
 _TS_FMT = "'%Y-%m-%dT%H:%M:%S'"
@@ -66,21 +82,22 @@ ev AS (
   FROM f1 WHERE e % 25 = 4
 ), feed AS (
   SELECT id, CASE WHEN k = 43 THEN '' ELSE sensor_id END AS sensor_id, sensor_type, value, unit, "timestamp",
-    make_timestamp((t + 1 + late) * 1000000) AS received_at, {_payload('"timestamp"')} AS payload, processed
+    make_timestamp((t + 1 + late) * 1000000) AS received_at, {_payload('"timestamp"')} AS payload,
+    {canonical('"timestamp"')} AS canon, processed
   FROM f2
 ), landing AS (
-  SELECT id, sensor_id, sensor_type, payload, received_at, processed FROM feed
+  SELECT id, sensor_id, sensor_type, payload, canon, received_at, processed FROM feed
 )"""
 
 FLAT_CTE = """
 flat AS (
   SELECT id,
-    coalesce(nullif(sensor_id, ''), json_extract_string(payload, '$.sensor_id')) AS sensor_id,
-    coalesce(nullif(sensor_type, ''), json_extract_string(payload, '$.sensor_type')) AS sensor_type,
-    json_extract_string(payload, '$.value') AS value,
-    json_extract_string(payload, '$.unit') AS unit,
-    json_extract_string(payload, '$.timestamp') AS "timestamp",
-    received_at, CASE WHEN json_type(payload) = 'OBJECT' THEN payload ELSE '{}' END AS payload
+    coalesce(nullif(sensor_id, ''), json_extract_string(canon, '$.sensor_id')) AS sensor_id,
+    coalesce(nullif(sensor_type, ''), json_extract_string(canon, '$.sensor_type')) AS sensor_type,
+    json_extract_string(canon, '$.value') AS value,
+    json_extract_string(canon, '$.unit') AS unit,
+    json_extract_string(canon, '$.timestamp') AS "timestamp",
+    received_at, CASE WHEN json_type(canon) = 'OBJECT' THEN canon ELSE '{}' END AS payload
   FROM landing
 )"""
 
@@ -197,6 +214,7 @@ def with_ctes(*ctes: str) -> str:
 
 
 def oracle_queries() -> dict[str, str]:
+    from sensorflow.plans.flow_oracle import flow_queries
     base = [FEED_CTE, FLAT_CTE]
     cl = base + [CLEAN_CTE]
     en = cl + [ENRICHED_CTE]
@@ -207,7 +225,7 @@ WHERE NOT processed ORDER BY received_at, id LIMIT 5000"""
     q["flatten_payload"] = with_ctes(*base) + "SELECT * FROM flat"
     q["intake_identity"] = with_ctes(FEED_CTE) + """
 , msg AS (
-  SELECT 2 * e AS id, make_timestamp((t + 1) * 1000000) AS received_at,
+  SELECT 2 * e AS id, k, e, value, make_timestamp((t + 1) * 1000000) AS received_at,
     CASE WHEN k = 87 THEN 'sensors/door/other' ELSE 'sensors/' || sensor_type || '/' || device END AS topic,
     CASE WHEN k = 83 THEN '{"sensor_id":"bad-' || chr(65533) || '","value":"1"}'
          WHEN e % 200 = 11 THEN '{"sensor_id": "' || device || '", broken'
@@ -231,7 +249,8 @@ SELECT id, topic,
   coalesce(CASE WHEN obj THEN json_extract_string(CASE WHEN obj THEN body END, '$.sensor_type') END,
            CASE WHEN len(parts) >= 3 THEN parts[2] END) AS sensor_type,
   CASE WHEN ok THEN NULL ELSE body END AS raw_text,
-  CASE WHEN obj THEN json_extract_string(CASE WHEN obj THEN body END, '$.value') END AS payload_value,
+  CASE WHEN k = 61 AND e % 200 NOT IN (11, 13) THEN value
+       WHEN obj THEN json_extract_string(CASE WHEN obj THEN body END, '$.value') END AS payload_value,
   received_at
 FROM parsed"""
     q["dedup_keep_first"] = with_ctes(*base) + """
@@ -311,4 +330,5 @@ SELECT raw_event_id, sensor_id, sensor_type, value, unit, event_ts, hour_of_day,
 FROM enriched
 WHERE sensor_id IS NOT NULL AND sensor_type IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
   AND event_ts IS NOT NULL"""
-    return q
+    q["enrich_hot_sensors"] = q["enrich_readings"]
+    return q | flow_queries()

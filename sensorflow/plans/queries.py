@@ -19,21 +19,24 @@ from sensorflow import session
 from sensorflow.operators import clean as C
 from sensorflow.operators import detect as A
 from sensorflow.operators.enrich import enrich_events, time_features
+from sensorflow.operators.joins import hot_key_join
+from sensorflow.plans import flows
 from sensorflow.sinks.tables import insert_if_absent, reading_rows
 from sensorflow.sources import derived, intake, landing as L
+from sensorflow.store import read_dimension, read_table
 
 
 def _ntz(c: str) -> F.Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
-_PLANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+_PLANS: dict[tuple, tuple] = {}
 
 
-def _shared(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _shared(name: str, spark: SparkSession, sf_dir: str, build: Callable):
     """Reuse a lazy base plan across queries of one live session (no data is
     cached: every query still reads and computes from the files; only the
-    driver-side plan building is shared)."""
+    driver-side plan building is shared), or the stored tables of a flow."""
     session.ensure_utc(spark)
     key = (name, sf_dir)
     hit = _PLANS.get(key)
@@ -244,6 +247,73 @@ def q_dimension_after_registration(spark, sf_dir):
         "sensor_id", "n_rows", F.coalesce("duplicate_key", F.lit(False)).alias("duplicate_key"))
 
 
+def q_enrich_hot_sensors(spark, sf_dir):
+    """A dimension that grows with the tables (a row per customer besides the seed), not broadcast."""
+    seed = L.seed_metadata(spark)
+    keys = L.read_table(spark, os.path.join(sf_dir, "customer.parquet"), columns=("c_custkey",))
+    other = keys.select(*[F.concat(F.lit("customer-"), F.col("c_custkey").cast("string")).alias("sensor_id")
+                          if f.name == "sensor_id" else F.lit(None).cast(f.dataType).alias(f.name) for f in seed.schema.fields])
+    rows = session.staged(clean(spark, sf_dir), "clean_events")
+    return _enriched_out(enrich_events(rows, seed.unionByName(other), join=hot_key_join))
+
+
+def _flow(spark: SparkSession, sf_dir: str):
+    """The scheduled flow, run once per session and input folder; its tables are read by several queries."""
+    return _shared("scheduled flow", spark, sf_dir, lambda: flows.scheduled_flow(spark, _events(spark, sf_dir)))
+
+
+_READING = ["batch_id", "raw_event_id", "sensor_id", "sensor_type", "value", "unit", "event_ts", "hour_of_day", "day_of_week",
+            "zone", "location", "is_business_hours"]
+
+
+def _readings_out(df: DataFrame) -> DataFrame:
+    return df.select(*[_ntz(c) if c == "event_ts" else F.col(c) for c in _READING])
+
+
+def q_store_landing(spark, sf_dir):
+    rows = _flow(spark, sf_dir)[1].all_rows()
+    return rows.select("id", "sensor_id", "sensor_type", "payload", _ntz("received_at"))
+
+
+def q_store_pending(spark, sf_dir):
+    log, landed = _flow(spark, sf_dir)
+    return landed.pending(log.latest()).select("id", _ntz("received_at"))
+
+
+def q_store_readings(spark, sf_dir):
+    return _readings_out(read_table(_flow(spark, sf_dir)[0], "sensor_readings"))
+
+
+def q_store_readings_of_day(spark, sf_dir):
+    return _readings_out(read_table(_flow(spark, sf_dir)[0], "sensor_readings", dates=["2024-06-03"]))
+
+
+def q_store_clean_events(spark, sf_dir):
+    return read_table(_flow(spark, sf_dir)[0], "clean_events").select(
+        "batch_id", "raw_event_id", "sensor_id", "sensor_type", *_number("value"), "unit", _ntz("event_ts"))
+
+
+def q_store_dead_letters(spark, sf_dir):
+    return read_table(_flow(spark, sf_dir)[0], "dead_letter_events").select("batch_id", "raw_event_id", "payload", "reason")
+
+
+def q_store_anomalies(spark, sf_dir):
+    return read_table(_flow(spark, sf_dir)[0], "anomalies").select(
+        "batch_id", "sensor_id", "sensor_type", _ntz("event_ts"), F.round("value", 6).alias("value"), "anomaly_type", "score", "reason")
+
+
+def q_store_run_metrics(spark, sf_dir):
+    return read_table(_flow(spark, sf_dir)[0], "run_metrics").drop("attempt")
+
+
+def q_store_dimension(spark, sf_dir):
+    return read_dimension(_flow(spark, sf_dir)[0])
+
+
+def q_stream_restart_readings(spark, sf_dir):
+    return _readings_out(read_table(flows.restarted_stream(spark, landing(spark, sf_dir)), "sensor_readings"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "unprocessed_batch": q_unprocessed_batch,
@@ -273,4 +343,15 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dead_letter_sink": q_dead_letter_sink,
         "motion_minute_counts": q_motion_minute_counts,
         "dimension_after_registration": q_dimension_after_registration,
+        "enrich_hot_sensors": q_enrich_hot_sensors,
+        "store_landing": q_store_landing,
+        "store_pending": q_store_pending,
+        "store_readings": q_store_readings,
+        "store_readings_of_day": q_store_readings_of_day,
+        "store_clean_events": q_store_clean_events,
+        "store_dead_letters": q_store_dead_letters,
+        "store_anomalies": q_store_anomalies,
+        "store_run_metrics": q_store_run_metrics,
+        "store_dimension": q_store_dimension,
+        "stream_restart_readings": q_stream_restart_readings,
     }

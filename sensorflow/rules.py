@@ -49,6 +49,7 @@ REASON_NON_NUMERIC = "non-numeric value"
 REASON_OUT_OF_RANGE = "value out of valid range for sensor_type"
 REASON_NULL_SENSOR_ID = "null sensor_id"
 REASON_NULL_SENSOR_TYPE = "null sensor_type"
+REASON_REPEATED_KEY = "raw_event_id already committed"
 
 ANOMALY_TEMPERATURE = "temperature_zscore"
 ANOMALY_MOTION = "motion_burst"

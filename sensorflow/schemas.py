@@ -46,3 +46,7 @@ ANOMALY = _struct(("sensor_id", S), ("sensor_type", S), ("event_ts", TS), ("valu
 READING = _struct(("raw_event_id", L), ("sensor_id", S), ("sensor_type", S), ("value", D),
                   ("unit", S), ("event_ts", TS), ("hour_of_day", I), ("day_of_week", I),
                   ("zone", S), ("location", S), ("is_business_hours", B))
+
+# Counters of one run, stored with its tables.
+RUN_METRICS = _struct(("deduped_rows", L), ("clean_rows", L), ("dead_letter_rows", L), ("rows", L),
+                      ("rows_without_zone", L), ("rejected_rows", L))

@@ -18,6 +18,13 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ensure_last_key_wins(spark: SparkSession) -> SparkSession:
+    """JSON objects that repeat a key are valid and its last value counts, as in a JSONB column."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return spark
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "sensorflow") -> SparkSession:
     """Session for tests, benchmarks and local runs.

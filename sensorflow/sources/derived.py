@@ -86,7 +86,10 @@ def _payload_sql(stamp: str) -> str:
             + ", ',\"value\":', " + value
             + ", ',\"timestamp\":', " + _json_str_sql(stamp)
             + ", CASE WHEN unit IS NULL THEN '' ELSE concat(',\"unit\":', " + _json_str_sql("unit") + ") END, '}')")
-    return f"CASE WHEN k = 59 THEN '[1, 2]' ELSE {body} END"
+    # k = 61, 63: a key that comes again later, the second with odd white space
+    return f"""CASE WHEN k = 59 THEN '[1, 2]'
+                    WHEN k = 61 THEN concat('{{"value":"7",', substring({body}, 2))
+                    WHEN k = 63 THEN concat('{{ \n\t"unit" : "first" , ', substring({body}, 2)) ELSE {body} END"""
 
 
 def derive_feed(events: DataFrame) -> DataFrame:
@@ -123,3 +126,28 @@ def derive_messages(events: DataFrame) -> DataFrame:
         f"""CASE WHEN k = 83 THEN concat(encode('{{"sensor_id":"bad-', 'UTF-8'), X'FF', encode('","value":"1"}}', 'UTF-8'))
                  ELSE encode({text}, 'UTF-8') END AS value""",
         "timestamp_seconds(t + 1) AS received_at")
+
+
+#: parts in which the messages arrive, one after the other
+PARTS = 4
+
+
+def derive_deliveries(events: DataFrame) -> DataFrame:
+    """events -> messages as an at-least-once source delivers them: ``(part, id, topic, value, received_at)``.
+
+    Message ``e`` of N belongs to part ``4 e div N``.  ``e mod 50 = 21`` comes a part late; ``e mod 40 = 7`` comes
+    again a part later, with a later time of arrival unless it is the last part's.  Part 4 holds messages of the
+    first part (``e mod 80 = 19``) that come again when nobody remembers them.
+    """
+    total = (events.agg({"event_id": "max"}).first()[0] or 0) + 1
+    return derive_messages(events).selectExpr(
+        "*", "id div 2 AS e").selectExpr(
+        "*", f"least({PARTS - 1}, {PARTS} * e div {total}) AS quarter").selectExpr(
+        "*", f"least({PARTS - 1}, quarter + if(e % 50 = 21, 1, 0)) AS first").selectExpr(
+        "*", f"""explode(concat(
+            array(struct(first AS part, received_at AS at)),
+            if(e % 40 = 7, array(struct(least({PARTS - 1}, first + 1) AS part,
+                                        received_at + make_interval(0, 0, 0, 0, 0, 0, if(first < {PARTS - 1}, 60, 0)) AS at)),
+               array()),
+            if(e % 80 = 19 AND quarter = 0, array(struct({PARTS} AS part, received_at AS at)), array()))) AS d""").selectExpr(
+        "CAST(d.part AS INT) AS part", "id", "topic", "value", "d.at AS received_at")

@@ -76,3 +76,15 @@ def messages_to_landing(messages: DataFrame, id_col: str | None = None, keep: Se
         F.lit(False).alias("processed"),
         *[F.col(c) for c in keep],
     )
+
+
+def drop_redelivered(landing: DataFrame, window: str = "1 hour") -> DataFrame:
+    """A stream of landing rows without those whose ``id`` came within ``window`` before.
+
+    An at-least-once source delivers messages again.  Ids are remembered for ``window`` after
+    the intake saw them (its own clock, so no row is late and none is dropped for its age); the
+    state holds the ids of that time only.  Of copies in one micro-batch one stays.  Copies that
+    come later than ``window`` land again and meet the key check of the tables.
+    """
+    return (landing.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", window)
+            .dropDuplicatesWithinWatermark(["id"]).drop("_seen"))

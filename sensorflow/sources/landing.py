@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow import rules, schemas
-
-_PAYLOAD_FIELDS = ("sensor_id string, sensor_type string, value string, unit string, timestamp string, "
-                   "_corrupt_record string")
-
+from sensorflow.session import ensure_last_key_wins
 
 def unprocessed_batch(landing: DataFrame, limit: int | None = rules.BATCH_LIMIT,
                       processed_ids: DataFrame | None = None) -> DataFrame:
@@ -35,22 +32,21 @@ def unprocessed_batch(landing: DataFrame, limit: int | None = rules.BATCH_LIMIT,
 def flatten_payload(landing: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Landing row -> ``FLAT`` row.
 
-    ``value``, ``unit`` and ``timestamp`` come from the JSON payload (duplicate
-    keys: last wins).  A payload that is not a JSON object counts as ``{}`` and
-    is re-serialised as ``{}``.  ``sensor_id`` / ``sensor_type`` fall back to the
-    payload when the column is NULL or empty.
+    ``value``, ``unit`` and ``timestamp`` come from the JSON payload, read as a variant:
+    of duplicate keys the last one wins.  The payload is written again in one form, without
+    white space between tokens and with its keys in order, so equal objects have equal text.
+    A payload that is not a JSON object counts as ``{}``.  ``sensor_id`` / ``sensor_type``
+    fall back to the payload when the column is NULL or empty.
     """
-    # One parse per row: the struct is materialised as a column (an expensive
+    ensure_last_key_wins(landing.sparkSession)
+    # One parse per row: the variant is materialised as a column (an expensive
     # producer referenced several times is not inlined by the optimizer).
-    # Malformed text and non-object JSON land in ``_corrupt_record``.
-    parsed = landing.withColumn("_p", F.from_json(F.col("payload"), _PAYLOAD_FIELDS,
-                                                  {"mode": "PERMISSIVE",
-                                                   "columnNameOfCorruptRecord": "_corrupt_record"}))
-    is_object = F.col("payload").isNotNull() & F.col("_p._corrupt_record").isNull()
-    body = F.when(is_object, F.col("payload")).otherwise(F.lit("{}"))
+    parsed = landing.withColumn("_p", F.when(F.ltrim(F.col("payload"), F.lit(" \t\r\n")).startswith("{"),
+                                             F.try_parse_json("payload")))
+    body = F.coalesce(F.to_json("_p"), F.lit("{}"))
 
     def field(name: str):
-        return F.when(is_object, F.col(f"_p.{name}"))
+        return F.try_variant_get(F.col("_p"), f"$.{name}", "string")
 
     def ident(name: str):
         return F.coalesce(F.nullif(F.col(name), F.lit("")), field(name))

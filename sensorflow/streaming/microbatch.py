@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sensorflow import schemas, session
 from sensorflow.plans.batch import manifest, process, staging_folder, write_outputs
 from sensorflow.sinks.tables import landing_append
-from sensorflow.sources.intake import messages_to_landing, subscribe
+from sensorflow.sources.intake import drop_redelivered, messages_to_landing, subscribe
+from sensorflow.store import CommitLog, Landing
+from sensorflow.store.runs import BeforeCommit, stream_writer
 
 
 def landing_stream(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -63,6 +65,22 @@ def start_intake(messages: DataFrame, landing_path: str, checkpoint: str, *, pre
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start())
 
 
+def start_deduplicated_intake(messages: DataFrame, landing: Landing, checkpoint: str, *, source: str = "stream",
+                              prefix: str = "sensors", id_col: str | None = None, window: str = "1 hour",
+                              trigger: dict | None = None):
+    """T1 + K1, at-least-once source: messages -> landing rows, each id once per ``window``, an intake per micro-batch."""
+    rows = drop_redelivered(message_stream_to_landing(messages, prefix, id_col), window)
+    return (rows.writeStream.foreachBatch(lambda batch, batch_id: landing.append(batch, batch_id, source))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start())
+
+
+def start_committed(stream: DataFrame, log: CommitLog, checkpoint: str, *, trigger: dict | None = None,
+                    method: str = "sweep", before_commit: BeforeCommit | None = None):
+    """Micro-batches of landing rows through all tables of ``log``, one commit each."""
+    return (stream.writeStream.foreachBatch(stream_writer(log, method, before_commit))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 minutes"})).start())
+
+
 def start(stream: DataFrame, metadata: DataFrame, out_root: str, checkpoint: str, *,
           trigger: dict | None = None, method: str = "sweep",
           on_metrics: Callable[[int, dict], None] | None = None):
