@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sensorflow.llm import (bpe, exact_dedup, line_dedup, near_dedup, packing, phrase_dedup, quality, repetition,
-                            secret_scan, toxicity)
+from sensorflow.llm import (alignment, bpe, exact_dedup, line_dedup, multi_index, near_dedup, packing, phrase_dedup, prefix_trie,
+                            quality, repetition, secret_scan, toxicity)
 from sensorflow.llm.common import read_documents, read_labels
 
 
@@ -63,12 +63,27 @@ def op10_site_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return multi_index.neighbours(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.link_counts(read_documents(spark, sf_dir), a, b)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_bpe_transducer, op2_ordinal_quality, op3_suffix_repetition, op4_progressive_dedup,
            op5_counterfactual_toxicity, op6_randomness_secrets, op7_cost_packing, op8_phrase_automata,
-           op9_bottom_k_near_dedup, op10_site_spread_lines)
+           op9_bottom_k_near_dedup, op10_site_spread_lines, op11_inverted_multi_index, op12_tokenizer_alignment, op13_prefix_trie)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_progressive_dedup": exact_dedup.ORACLE, "op10_site_spread_lines": line_dedup.ORACLE}
+    return {"op4_progressive_dedup": exact_dedup.ORACLE, "op10_site_spread_lines": line_dedup.ORACLE,
+            "op13_prefix_trie": prefix_trie.ORACLE}
