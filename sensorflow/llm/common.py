@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,10 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 2 << 20
 
 
+#: a broadcast of ids or keys has at most this many (about 16 bytes each); more are joined by a shuffle
+BROADCAST_IDS = 500_000
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -32,6 +37,23 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def content(text: Column) -> Column:
+    """Hash of the raw text; equal hashes of one id count as equal texts.  Null has a hash of its own."""
+    return F.xxhash64(text.cast("string"))
+
+
+def joined_rows(docs: DataFrame, keys: DataFrame, how: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """Rows of ``docs`` whose id and raw text are (``left_semi``) or aren't (``left_anti``) in ``keys`` (``id, raw``).
+
+    A null id equals a null id.  Whatever the columns of ``docs`` are called, none clashes.
+    """
+    a, b = f"_{uuid.uuid4().hex}", f"_{uuid.uuid4().hex}"
+    wanted = keys.select(F.col("id").alias(a), F.col("raw").alias(b)).distinct()
+    if wanted.count() <= broadcast_ids:
+        wanted = F.broadcast(wanted)
+    return docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(wanted[a]) & (content(docs["text"]) == wanted[b]), how)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` (text, bytes or longs) holds about ``max_bytes`` per piece, one row at least.
@@ -52,6 +74,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             stop = max(start + 1, int(np.searchsorted(ends, done + max_bytes, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return what this process no longer uses to the system."""
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)

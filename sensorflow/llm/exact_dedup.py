@@ -17,12 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import SPACE_RUN
+from sensorflow.llm.common import BROADCAST_IDS as BROADCAST_KEYS
+from sensorflow.llm.common import SPACE_RUN, content, joined_rows
 from sensorflow.session import staged
 
 PREFIX_CHARS = 64
-#: a broadcast of surviving keys has at most this many (about 16 bytes each)
-BROADCAST_KEYS = 500_000
 
 KEY = ["_length", "_prefix"]
 
@@ -84,29 +83,44 @@ def dedup_decisions(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> Da
 
 
 def refined(docs: DataFrame, shared: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
-    """``_row, _id, _hash`` of all rows; a row alone with its length and prefix has these in place of a full hash."""
-    keyed = with_keys(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                      F.col("doc_id").cast("long").alias("_id"))
+    """``_id, _raw, _again, _hash`` of all rows: id, hash of the raw text, whether the row shares its length and
+    prefix, and then the full hash; a row alone with these has them in place of a full hash."""
+    keyed = with_keys(docs, F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
     return looked_up(keyed, shared.withColumn("_again", F.lit(True)), "left", broadcast_keys).select(
-        "_row", "_id", F.when(F.col("_again"), F.sha2(normalised(F.col("_row.text")), 256))
-        .otherwise(F.concat_ws(":", *KEY)).alias("_hash"))
+        "_id", content(F.col("_text")).alias("_raw"), F.coalesce("_again", F.lit(False)).alias("_again"),
+        F.when(F.col("_again"), F.sha2(normalised(F.col("_text")), 256)).otherwise(F.concat_ws(":", *KEY)).alias("_hash"))
+
+
+def copies(docs: DataFrame, shared: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """``id, raw, n, kept`` of every id and raw text (by its hash) that occurs in two rows or more once normalised.
+
+    One is kept per text: the smallest id (null ids last), then the smallest hash; ``n`` rows have both.
+    """
+    rows = staged(refined(docs, shared, broadcast_keys).where("_again").groupBy("_hash", "_id", "_raw").agg(F.count(F.lit(1)).alias("n"))
+                  .select("_hash", F.col("_id").alias("id"), F.col("_raw").alias("raw"), "n"), "again")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "raw")
+    first = staged(rows.groupBy("_hash").agg(F.min(rank).alias("_first"), F.sum("n").alias("_all")).where("_all > 1")
+                   .select("_hash", "_first"), "first")
+    return rows.join(first, "_hash").select("id", "raw", "n", (rank == F.col("_first")).alias("kept"))
 
 
 def drop_copies(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were.
 
-    The row with the smallest id stays; of rows that repeat id and text, any one.
+    The row with the smallest id stays; of rows that repeat id and text, any one.  Null texts
+    count as empty, and empty texts are equal to each other; a null id stays only where no equal
+    text has an id.  An empty table gives an empty one.  Decisions are made on ids and hashes; texts
+    stay where they are unless more than ``broadcast_keys`` rows go.
     """
-    shared = surviving_keys(docs)
-    groups = staged(copy_groups(docs, shared, broadcast_keys), "copies")
-    whole = refined(docs, shared, broadcast_keys)
-    judged = whole.join(groups, "_hash", "left").where(
-        F.col("group_size").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
-    if groups.where("n_keep > 1").isEmpty():
-        return judged.select("_row.*")
-    repeated = F.coalesce(F.col("n_keep"), F.lit(1)) > 1
-    once = judged.where(~repeated).select("_row")
-    return once.unionAll(judged.where(repeated).dropDuplicates(["_hash"]).select("_row")).select("_row.*")
+    judged = staged(copies(docs, surviving_keys(docs), broadcast_keys), "judged")
+    left = joined_rows(docs, judged.where("not kept"), "left_anti", broadcast_keys)
+    repeated = staged(judged.where("kept and n > 1"), "repeated")
+    if repeated.isEmpty():
+        return left
+    again = joined_rows(left, repeated, "left_semi", broadcast_keys).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+        content(F.col("text")).alias("raw"))
+    return joined_rows(left, repeated, "left_anti", broadcast_keys).unionAll(again.dropDuplicates(["id", "raw"]).select("row.*"))
 
 
 ORACLE = r"""

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import (as_bytes, bitmap_of, dealt_anew, gram_hashes, id_and_text, in_bitmap, long_array, mix64,
-                                   slices, word_hashes)
+from sensorflow.llm.common import (BROADCAST_IDS, as_bytes, bitmap_of, content, dealt_anew, gram_hashes, id_and_text, in_bitmap,
+                                   joined_rows, long_array, mix64, slices, word_hashes)
 from sensorflow.llm.components import components
 from sensorflow.session import staged
 
@@ -43,8 +43,6 @@ SKETCH = 64
 LOST = 1e-7
 #: lists up to this length give all their pairs at once
 SHORT_LIST = 3
-#: ids of documents whose full sets are read; more are joined by a shuffle instead of a broadcast
-BROADCAST_IDS = 500_000
 #: bits of the bitmap of elements that several sets hold (16 MB)
 LG_BITS = 27
 #: classes of the elements whose parities are compared before full sets are
@@ -117,7 +115,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
                                           long_array(h[at]))],
                 ["doc_id", "content", "n_shingles", "f1", "f2", "sketch"])
 
-    return id_and_text(docs).withColumn("content", F.xxhash64("text")).mapInArrow(
+    return id_and_text(docs).withColumn("content", content(F.col("text"))).mapInArrow(
         make, "doc_id long, content long, n_shingles long, f1 long, f2 long, sketch array<long>")
 
 
@@ -302,8 +300,12 @@ def similar_sizes(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; all columns as they were."""
+    """``docs`` with one document of each component, the one with the smallest id; all columns as they were.
+
+    Texts without words (null, empty, blank) all stay.  Rows with a null id go if their component has a
+    document with one, else all of them stay.  Rows that repeat id and text share one decision.
+    An empty table gives an empty one.
+    """
     gone = staged(near_duplicates(docs, shingle_words, percent).where("not kept")
-                  .select(F.col("doc_id").alias("_gone_id"), F.col("content").alias("_gone_content")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id"))
-                     & (F.xxhash64(F.col("text").cast("string")) == F.col("_gone_content")), "left_anti")
+                  .select(F.col("doc_id").alias("id"), F.col("content").alias("raw")).distinct(), "gone")
+    return joined_rows(docs, gone, "left_anti")

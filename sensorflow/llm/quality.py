@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import as_texts, id_and_text, slices
+from sensorflow.llm.common import as_texts, give_back_memory, id_and_text, slices
 from sensorflow.llm.hashed_text import Sparse, bucket, collect_features, held_out, sigmoid, training_sample
 
 #: bound of the training sample, in labelled rows
@@ -129,7 +129,9 @@ def fit(rows, columns, values, grades, n_rows, n_grades: int = GRADES, l2: float
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS, **settings) -> Model:
     """Fit on a bounded sample of the graded rows that aren't held out."""
     sample = training_sample(docs, labels, grade(F.col("quality"), F.col("toxic")), max_rows)
-    return fit(*collect_features(sample, features, max_rows), **settings)
+    model = fit(*collect_features(sample, features, max_rows), **settings)
+    give_back_memory()
+    return model
 
 
 def expected_grades(batches, weights: np.ndarray, thresholds: np.ndarray):

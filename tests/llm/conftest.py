@@ -3,10 +3,12 @@ import random
 import pytest
 from corpus_rows import ODD, prose
 
+
 @pytest.fixture(scope="session")
 def make_docs(spark):
     def make(rows):
-        full = [(i, t, "en", s, None if t is None else len(t), "k", "n", "h", "c", "w", "g", "i") for i, t, s in rows]
+        full = [(i, t, "en", s, None if t is None else len(t), "k", "n", "h", "c", "w", "g", "i", "a", "b", "d", "r", "t")
+                for i, t, s in rows]
         return spark.createDataFrame(full, ODD)
     return make
 

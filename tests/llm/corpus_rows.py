@@ -12,6 +12,8 @@ ODD = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("kept", T.StringType()),
     T.StructField("node", T.StringType()), T.StructField("_hash", T.StringType()), T.StructField("content", T.StringType()),
     T.StructField("n_words", T.StringType()), T.StructField("_gone", T.StringType()), T.StructField("ids", T.StringType()),
+    T.StructField("_gone_id", T.StringType()), T.StructField("_gone_content", T.StringType()), T.StructField("id", T.StringType()),
+    T.StructField("raw", T.StringType()), T.StructField("_text", T.StringType()),
 ])
 
 
