@@ -35,6 +35,9 @@ PART_ROWS = 1 << 16
 #: products of a block of queries with a part are made this many at once
 PRODUCTS = 1 << 22
 
+#: squares of larger components may leave the double range
+LARGE = 1e150
+
 #: the vectors of the query and the entry sides, in one form
 ROW = "part int, salt int, kind int, code binary, vector binary, ids array<long>"
 
@@ -53,7 +56,8 @@ class Index:
 
 
 def squares(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Squared distances of rows to centroids."""
+    """Squared distances of rows to centroids, components beyond LARGE taken as that: they choose cells only."""
+    x = np.clip(x, -LARGE, LARGE)
     return (x * x).sum(1)[:, None] - 2 * x @ centroids.T + (centroids * centroids).sum(1)[None, :]
 
 
@@ -64,6 +68,7 @@ def cells(index: Index, x: np.ndarray) -> np.ndarray:
 
 def codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = ROUNDS) -> np.ndarray:
     """Centroids by Lloyd's iterations from distinct rows."""
+    x = np.clip(x, -LARGE, LARGE)
     distinct = np.unique(x, axis=0)
     centroids = distinct[rng.choice(len(distinct), min(k, len(distinct)), replace=False)].copy()
     for _ in range(rounds):
@@ -101,12 +106,14 @@ def walk(left: np.ndarray, right: np.ndarray, counts: np.ndarray, target: int) -
 
 
 def fit(sample: np.ndarray, k: int, target: float = TARGET, centroids: int = CENTROIDS, seed: int = 7) -> Index:
-    """Codebooks of a sample, and the least share with which its probes find ``target`` of their ``k`` nearest."""
+    """Codebooks of a sample, and the least share with which its probes find ``target`` of their ``k`` nearest.
+
+    With a target of 1 queries visit all entries, and results are exact."""
     rng, half = np.random.default_rng(seed), sample.shape[1] // 2
     index = Index(codebook(sample[:, :half], centroids, rng), codebook(sample[:, half:], centroids, rng), 1.0)
     probes = rng.choice(len(sample), min(PROBES, len(sample)), replace=False)
     k = min(k, len(sample) - 1)
-    if k < 1:
+    if k < 1 or target >= 1:
         return index
     at = cells(index, sample)
     counts = np.bincount(at, minlength=len(index.left) * len(index.right))
@@ -262,7 +269,8 @@ class Part:
         self.code = np.frombuffer(b"".join(c for c, _ in self.found.values()), np.int16)
         self.ids = [ids for _, ids in self.found.values()]
         self.found = {}
-        self.norm = (self.x * self.x).sum(1)
+        with np.errstate(over="ignore"):
+            self.norm = (self.x * self.x).sum(1)
 
     def nearest(self, batch: pa.RecordBatch):
         """``query_id, vec_id, score`` of each query's ``k`` best here, itself left out."""

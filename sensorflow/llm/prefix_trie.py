@@ -157,7 +157,8 @@ def rolled_up(walked: DataFrame, nodes: DataFrame, values: list[str], deepest: i
     for unit, paths, total in reversed(levels[:-1]):
         # band roots' completed sums go to the band above; their own places have them already
         band = unit * BAND
-        before = F.filter("above", lambda a, band=band: a["depth"] >= F.col("depth") - band)
+        lowest = F.col("depth") - band
+        before = F.filter("above", lambda a: a["depth"] >= lowest)  # noqa: B023
         roots = done.where("depth > 0").join(paths.where(F.col("depth") % band == 0), KEY)
         done = staged(sums(total.unionAll(added(roots, before))), "sums")
     return done

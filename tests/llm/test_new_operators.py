@@ -56,7 +56,7 @@ def test_neighbours_of_whole_table_are_exact_if_all_cells_are_visited(spark, mon
     df = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], "vec_id long, embedding array<double>, label int, vector string").repartition(3)
     for part_rows in (1 << 16, 20):
         monkeypatch.setattr(multi_index, "PART_ROWS", part_rows)
-        got = found(multi_index.neighbours(df, F.col("vec_id") % 10 == 0, 10, target=1.1, centroids=7))
+        got = found(multi_index.neighbours(df, F.col("vec_id") % 10 == 0, 10, target=1, centroids=7))
         want = exact_neighbours(rows, 10, lambda i: i % 10 == 0)
         assert got.keys() == want.keys()
         for q in want:
