@@ -16,6 +16,10 @@ classes share the rate in proportion to nothing but their own candidates, so tha
 short strings, for which the tests have little power, don't set the bar for long ones.
 Candidates that are not rejected are secrets, if they are long enough that text in their
 alphabet would have been (``MIN_CHARS``) and every test had symbols to work on.
+
+That control bounds noise taken for text.  The other side, words taken for noise, concerns strings of
+letters only, for which the three tests have little power: such a string is none if the letter pairs
+of the corpus's own words make it likelier than uniform draws do.
 """
 
 from __future__ import annotations
@@ -165,6 +169,42 @@ def p_value(s: str) -> float:
     return min(1.0, 4 * min(uniform, single, runs_p, serial))
 
 
+def letter_pairs(docs: DataFrame) -> np.ndarray:
+    """``log(26 * P(b | a))`` of letters a, b (case ignored) in words shorter than a candidate, over all texts.
+
+    One pass that counts by task; ``26 * 26`` numbers reach the driver.  0 for letters that never occur.
+    """
+
+    def count(batches):
+        total = np.zeros(26 * 26, np.int64)
+        for piece in slices(batches):
+            raw = np.frombuffer(" ".join(as_texts(piece.column("text"))).lower().encode("ascii", "replace") + b" ", np.uint8)
+            letter = (raw >= 97) & (raw <= 122)
+            edge = np.flatnonzero(np.diff(letter.astype(np.int8), prepend=0, append=0))
+            first, size = edge[::2], edge[1::2] - edge[::2]
+            short = np.zeros(len(raw) + 1, np.int8)
+            ok = size < MIN_CHARS
+            np.add.at(short, first[ok], 1)
+            np.add.at(short, first[ok] + size[ok] - 1, -1)  # the last letter begins no pair
+            at = np.flatnonzero(np.cumsum(short[:-1]))
+            total += np.bincount((raw[at].astype(np.int64) - 97) * 26 + raw[at + 1] - 97, minlength=26 * 26)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(26 * 26)), pa.array(total)], ["pair", "n"])
+
+    n = np.zeros(26 * 26)
+    for r in id_and_text(docs).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        n[r["pair"]] = r["n"]
+    n = n.reshape(26, 26)
+    return np.log(26 * (n + 1) / (n.sum(1, keepdims=True) + 26))
+
+
+def reads_like_words(s: str, pairs: np.ndarray) -> bool:
+    """Whether a string of letters is likelier by the corpus's letter pairs than by uniform draws."""
+    if not s.isalpha():
+        return False
+    x = np.frombuffer(s.lower().encode(), np.uint8).astype(np.int64) - 97
+    return float(pairs[x[:-1], x[1:]].sum()) > 0
+
+
 def base_spans(text: str) -> list[tuple[int, str, int]]:
     """``(start, kind, end)`` of the fixed patterns, leftmost and non-overlapping per kind."""
     spans = []
@@ -177,14 +217,15 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[1])))
 
 
-def candidates(text: str) -> list[tuple[int, int, float]]:
-    """``(start, end, p)`` of the strings that may be random, parts of longer ones included."""
+def candidates(text: str, pairs: np.ndarray) -> list[tuple[int, int, float]]:
+    """``(start, end, p)`` of the strings that may be random, parts of longer ones included; ``pairs``: :func:`letter_pairs`."""
     out = []
     for m in CANDIDATE.finditer(text):
         places = {m.span()}
         if not m[0].isalnum():
             places |= {(m.start() + part.start(), m.start() + part.end()) for p in PARTS for part in p.finditer(m[0])}
-        out += [(a, b, p_value(text[a:b])) for a, b in sorted(places) if not oddly_composed(text[a:b])]
+        out += [(a, b, p_value(text[a:b])) for a, b in sorted(places)
+                if not oddly_composed(text[a:b]) and not reads_like_words(text[a:b], pairs)]
     return out
 
 
@@ -192,14 +233,14 @@ SPANS = "array<struct<start:long,kind:string,end:long>>"
 SCANNED = f"doc_id long, base {SPANS}, found array<struct<start:long,end:long,p:double>>"
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, pairs: np.ndarray) -> DataFrame:
     """``doc_id, base, found``: pattern spans and tested candidates of every whole text, in code points."""
 
     def find(batches):
         for piece in slices(batches):
             texts = as_texts(piece.column("text"))
             base = [[{"start": a, "kind": k, "end": b} for a, k, b in base_spans(t)] for t in texts]
-            found = [[{"start": a, "end": b, "p": p} for a, b, p in candidates(t)] for t in texts]
+            found = [[{"start": a, "end": b, "p": p} for a, b, p in candidates(t, pairs)] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"),
                  pa.array(base, pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))),
@@ -250,30 +291,41 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     within a pattern span or a longer random one is left out.  A null text is empty and has no spans; null and
     repeated ids give one row per input row; an empty table gives no rows.
     """
-    scanned = staged(scan(docs), "secrets")
-    return scanned.select("doc_id", "base", all_spans(rejected_bins(scanned, fdr)).alias("spans"))
+    scanned = staged(scan(docs, letter_pairs(docs)), "secrets")
+    last = rejected_bins(scanned, fdr)
+
+    def finish(batches):
+        for piece in slices(batches, "found"):
+            base, found = piece.column("base").to_pylist(), piece.column("found").to_pylist()
+            spans = [merged([(s["start"], s["kind"], s["end"]) for s in bs], [(c["start"], c["end"], c["p"]) for c in cs], last)
+                     for bs, cs in zip(base, found)]
+            rows = [[{"start": a, "kind": k, "end": b} for a, k, b in ss] for ss in spans]
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("base"), pa.array(rows, piece.schema.field("base").type)],
+                                             ["doc_id", "base", "spans"])
+
+    return scanned.mapInArrow(finish, f"doc_id long, base {SPANS}, spans {SPANS}")
 
 
-def all_spans(last: dict[int, int]) -> Column:
-    def passes(c: Column) -> Column:
-        cls, bar = length_class(c["end"] - c["start"]), F.lit(-1)
-        for k, v in last.items():
-            bar = F.when(cls == k, v).otherwise(bar)
-        inside = F.exists("base", lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
-        return (c["p"] > 0) & (p_bin(c["p"]) > bar) & ~inside
+def bin_of(p: float) -> int:
+    """:func:`p_bin` of one value."""
+    return min(P_BINS, math.floor((math.log10(max(p, 10.0 ** -P_DECADES)) / P_DECADES + 1) * P_BINS))
 
-    def longest(c: Column) -> Column:
-        return ~F.exists(passing, lambda o: (o["start"] <= c["start"]) & (o["end"] >= c["end"])
-                         & (o["end"] - o["start"] > c["end"] - c["start"]))
 
-    passing = F.filter("found", passes)
-    kept = F.transform(F.filter(passing, longest), lambda c: F.struct(
-        c["start"].alias("start"), F.lit("random").alias("kind"), c["end"].alias("end")))
-    rank = lambda s: F.when(s["kind"] == "random", len(KINDS)).otherwise(
-        F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"]) - 1)
-    return F.array_sort(F.concat("base", kept), lambda a, b: F.when(
-        a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1)).otherwise(
-        (rank(a) - rank(b)).cast("int")))
+def passes(start: int, end: int, p: float, last: dict[int, int]) -> bool:
+    return p > 0 and bin_of(p) > last[sum(end - start >= x for x in LENGTH_CLASSES) - 1]
+
+
+def merged(base: list[tuple[int, str, int]], found: list[tuple[int, int, float]], last: dict[int, int]) -> list[tuple[int, str, int]]:
+    """Base spans and the candidates that pass, without those inside a base span or a longer one: one sorted sweep."""
+    events = [(a, -b, 0, k) for a, k, b in base] + [(a, -b, 1, "random") for a, b, p in found if passes(a, b, p, last)]
+    out, reach = [], -1
+    for a, b, is_random, kind in sorted(events):
+        # what came before starts at or before this one, and reaches as far as this one's end or not
+        if not is_random or reach < -b:
+            out.append((a, kind, -b))
+            reach = max(reach, -b)
+    rank = {k: i for i, k in enumerate((*KINDS, "random"))}
+    return sorted(out, key=lambda s: (s[0], rank[s[1]]))
 
 
 def span_text(spans: str) -> Column:
@@ -292,21 +344,19 @@ def with_digests(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, fdr: float = FDR, mark: str = "<SECRET>") -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; other columns, and null texts, as they were.
 
-    Overlapping spans are replaced as one.  The false-discovery bars come from one pass
-    over all texts, a second pass applies them in place: no text is shuffled.
+    Overlapping spans are replaced as one.  The letter pairs and the false-discovery bars come from a
+    pass each over all texts, another pass applies them in place: no text is shuffled.  Rows with null or
+    repeated ids are rows like others; an empty table gives an empty one.
     """
-    last = rejected_bins(staged(scan(docs), "secrets"), fdr)
+    pairs = letter_pairs(docs)
+    last = rejected_bins(staged(scan(docs, pairs), "secrets"), fdr)
     schema = docs.schema
 
-    def bin_of(p: float) -> int:
-        return min(P_BINS, math.floor((math.log10(max(p, 10.0 ** -P_DECADES)) / P_DECADES + 1) * P_BINS))
-
     def clean(text: str | None) -> str | None:
         if text is None:
             return None
         spans = [(a, b) for a, _, b in base_spans(text)]
-        spans += [(a, b) for a, b, p in candidates(text)
-                  if p > 0 and bin_of(p) > last[sum(b - a >= x for x in LENGTH_CLASSES) - 1]]
+        spans += [(a, b) for a, b, p in candidates(text, pairs) if passes(a, b, p, last)]
         out, at = [], 0
         for a, b in sorted(spans):
             if a >= at:

@@ -287,3 +287,27 @@ def test_pipeline_against_brute_force(spark):
     for r in pieces:
         tokens[r.doc_id] = tokens.get(r.doc_id, 0) + r.length
     assert tokens == {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in kept.items()}
+
+
+def test_words_in_letters_only_are_no_secrets(spark):
+    """Of the given documents no ordinary word is reported; random letters put among them are, of 20 letters already."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rnd = random.Random(7)
+    keys = ["".join(rnd.choice(secret_scan.LETTER_SYMBOLS[26:]) for _ in range(n)) for n in (20, 24, 32, 40) for _ in range(50)]
+    planted = spark.createDataFrame([(10**6 + i, f"the word {k} of it") for i, k in enumerate(keys)], "doc_id long, text string")
+    found = secret_scan.find_secrets(docs.select("doc_id", "text").unionAll(planted))
+    hits = [r.doc_id for r in found.where("exists(spans, s -> s.kind = 'random')").collect()]
+    assert sum(i >= 10**6 for i in hits) >= 0.9 * len(keys)
+    spans = (found.where("doc_id < 1000000").join(docs.select("doc_id", "text"), "doc_id")
+             .selectExpr("inline(transform(filter(spans, s -> s.kind = 'random'), s -> named_struct('x', substring(text, int(s.start + 1), "
+                         "int(s.end - s.start)))))").collect())
+    assert [r.x for r in spans if r.x.isalpha()] == []
+
+
+def test_spans_are_merged_in_one_sweep():
+    last = dict.fromkeys(range(len(secret_scan.LENGTH_CLASSES)), -1)
+    found = [(0, 60, 0.5), (0, 30, 0.5), (35, 60, 0.5), (40, 70, 0.5), (100, 130, 0.0), (200, 230, 0.9), (201, 230, 0.9)]
+    assert secret_scan.merged([(195, "hex", 229), (0, "assign", 25)], found, last) == [
+        (0, "assign", 25), (0, "random", 60), (40, "random", 70), (195, "hex", 229), (200, "random", 230)]
+    many = [(30 * i, 30 * i + 25, 0.5) for i in range(200_000)]
+    assert len(secret_scan.merged([], many, last)) == 200_000
