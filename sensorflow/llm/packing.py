@@ -1,7 +1,7 @@
 """Cost-balanced packing of token sequences.
 
-Documents are dealt to shards of about ``shard_chars`` characters by a hash of id and
-length; a shard is packed by one task:
+Documents are dealt to shards of about ``shard_chars`` characters by a hash of their row
+number; a shard is packed by one task:
 
 * a document of a full sequence or more gives whole sequences and a rest;
 * rests and short documents, in descending length, go to the sequence of lowest estimated
@@ -13,96 +13,107 @@ length; a shard is packed by one task:
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sensorflow.llm.common import as_texts, id_and_text, slices
+from sensorflow.llm.bpe import byte_alphabet
+from sensorflow.llm.common import id_and_text, slices
+from sensorflow.llm.ragged import WHITE_BYTES, Merges, any_in, column, distinct, flat, take, word_offsets
 
 CAPACITY = 2048
 END_ID = 1
 #: cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n (per layer, model width 1024)
 LINEAR, QUADRATIC = 12 * 1024.0, 1.0
 SHARD_CHARS = 8_000_000
-#: words whose ids a worker remembers
-CACHED_WORDS = 100_000
+#: text bytes that a task cuts into words at once
+WORD_BYTES = 4 << 20
 
 
 class WordEncoder:
-    r"""Ids of whole texts by the tokenizers library, asked once for each distinct word.
+    r"""Ids of whole texts as the tokenizers library gives them, merged once for each distinct word of a slice.
 
     The word vocabulary drops white space and cuts words by the pattern below before any
-    merge, so a word's ids don't depend on its neighbours.  That holds as it stands for
-    texts within Latin-1 without the separators \x1c-\x1f (white space to Python alone) and
-    without a marker of added tokens; others go to the library whole.
+    merge, so a word's ids don't depend on its neighbours.  Texts within Latin-1 without the
+    separators \x1c-\x1f (white space to Python alone) and without a marker of added tokens
+    are cut and merged here; others go to the library whole.
     """
 
     # fixed values: the pre-token pattern of the public word vocabulary
-    #   's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
-    # its classes within lower-case Latin-1, for Python's faster engine
-    LETTERS, NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
-    WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+").findall
-
-    SEPARATOR = re.compile("[\x1c-\x1f]").search
+    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+    END = "</w>"
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        ids, pairs = model["vocab"], [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
+        self.merges = Merges([(ids[a], ids[b]) for a, b in pairs], [ids[a + b] for a, b in pairs])
+        self.inner, self.last = np.zeros(256, np.uint32), np.zeros(256, np.uint32)
+        for c, b in byte_alphabet().items():
+            self.inner[b], self.last[b] = ids[c], ids[c + self.END]
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of each word: all in one text, cut after each token that ends a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
-
-    def recall(self, strings: set[str]) -> list[str]:
-        """Take what the older generation of the memory holds into the newer; returns the rest."""
-        new = strings - self.known.keys()
-        again = new & self.old.keys()
-        self.known.update((c, self.old[c]) for c in again)
-        return list(new - again)
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.old = {}, self.known
-        new = self.recall(chunks)
-        cut = [(c,) if c.isalpha() else self.WORDS(c) for c in new]
-        unknown = self.recall({w for ws in cut for w in ws})
-        known = self.known
-        known.update(zip(unknown, self.word_ids(unknown)))
-        known.update([(c, b"".join([known[w] for w in ws])) for c, ws in zip(new, cut)])
-
-    def plain(self, text: str) -> bool:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return False
-        return not self.SEPARATOR(text) and not any(t in text for t in self.added)
+    def plain(self, column: pa.Array) -> np.ndarray:
+        data, offsets = flat(column)
+        odd = any_in((data >= 0xC4) | (data >= 0x1C) & (data <= 0x1F), offsets)
+        for marker in self.added:
+            odd |= pc.match_substring(column, marker).to_numpy(zero_copy_only=False)
+        return ~odd
+
+    def plain_ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and offsets of plain texts."""
+        data, offsets = flat(pc.utf8_lower(column))
+        white = WHITE_BYTES[data]
+        wide = np.flatnonzero(data[:-1] == 0xC2)  # the two white characters of two bytes
+        wide = wide[(data[wide + 1] == 0x85) | (data[wide + 1] == 0xA0)]
+        white[wide] = white[wide + 1] = True
+        solid = np.append(~white, False)
+        first, last = solid.copy(), solid.copy()
+        first[1:] &= ~solid[:-1]
+        first[offsets] = solid[offsets]
+        last[:-1] &= ~solid[1:]
+        inner = offsets[(offsets > 0)] - 1
+        last[inner] = solid[inner]
+        starts = np.flatnonzero(first)
+        sizes = np.flatnonzero(last) + 1 - starts
+        chunk, chunk_data, chunk_at = distinct(data[solid[:-1]], np.concatenate([[0], np.cumsum(sizes)]))
+        word_at, chunk_words = word_offsets(chunk_data, chunk_at, self.WORDS, single_numbers=True)
+        word, word_data, word_at = distinct(chunk_data, word_at)
+        symbols = self.inner[word_data]
+        symbols[word_at[1:] - 1] = self.last[word_data[word_at[1:] - 1]]
+        ids, id_at = self.merges(symbols, word_at)
+        at, ends = take(id_at, word)  # ids of each word of the chunks, in order
+        ids, id_at = ids[at], ends[chunk_words]
+        at, ends = take(id_at, chunk)
+        return ids[at], ends[np.searchsorted(starts, offsets)]
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """Little-endian unsigned 32-bit ids of each text; null as empty."""
+        texts = pc.fill_null(texts, "")
+        plain = self.plain(texts)
+        if plain.all():
+            return column(*self.plain_ids(texts))
+        mask = pa.array(plain)
+        ours = iter(column(*self.plain_ids(texts.filter(mask))).to_pylist())
+        rest = iter(self.library(texts.filter(pc.invert(mask)).to_pylist()))
+        return pa.array([next(ours) if p else next(rest) for p in plain.tolist()], pa.binary())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.plain(t) for t in texts]
-        cut = [t.lower().split() if p else () for t, p in zip(texts, plain)]
-        self.learn(set().union(*cut))
-        ids = self.known.__getitem__
-        rest = iter(self.library([t for t, p in zip(texts, plain) if not p]))
-        return [b"".join(map(ids, doc)) if p else next(rest) for doc, p in zip(cut, plain)]
+        return self.encode_column(pa.array(texts, pa.string())).to_pylist()
 
 
 @lru_cache(maxsize=2)
@@ -116,9 +127,10 @@ def tokens(docs: DataFrame, path: str) -> DataFrame:
 
     def encode(batches):
         encoder = word_encoder(path)
-        for piece in slices(batches):
-            ids = [x + end for x in encoder.encode(as_texts(piece.column("text")))]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        for piece in slices(batches, max_bytes=WORD_BYTES):
+            ids = encoder.encode_column(piece.column("text"))
+            ids = pc.binary_join_element_wise(ids, pa.scalar(end, ids.type), pa.scalar(b"", ids.type))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), ids.cast(pa.binary())], ["doc_id", "ids"])
 
     return id_and_text(docs).mapInArrow(encode, "doc_id long, ids binary")
 
@@ -189,10 +201,8 @@ def pack_documents(docs: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -
     with null or repeated ids are packed as documents of their own under that id.  An
     empty table gives no rows.
     """
-    rows = (id_and_text(docs).groupBy("doc_id", F.xxhash64("text").alias("content"))
-            .agg(F.sum(F.length("text") + 1).alias("chars"), F.count("doc_id").alias("n")))
-    size = rows.agg(F.sum("chars").alias("chars"), F.max("n").alias("n")).first()
-    shards = max(1, -(-int(size.chars or 0) // shard_chars))
+    chars = id_and_text(docs).agg(F.sum(F.length("text") + 1)).first()[0]
+    shards = max(1, -(-int(chars or 0) // shard_chars))
 
     def pack_shard(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -207,10 +217,8 @@ def pack_documents(docs: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -
         return pa.Table.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.binary())],
                                     [*names, "ids"])
 
-    # rows that repeat id and text must not all meet in one shard; unique ones keep theirs in any layout
-    number = F.monotonically_increasing_id()
-    spread = number if (size.n or 0) > 1 else F.coalesce("doc_id", number)
-    shard = F.pmod(F.xxhash64(spread, F.crc32("ids")), F.lit(shards)).alias("shard")
+    # by a number per row: rows that repeat id and text must not all meet in one shard
+    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard")
     return tokens(docs, path).select("doc_id", "ids", shard).groupBy("shard").applyInArrow(pack_shard, PIECES)
 
 
