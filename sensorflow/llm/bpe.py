@@ -7,46 +7,45 @@
    along a word is the word's place in a table of id sequences.  The flat arrays go to
    one file, which Spark ships to every executor and the workers memory-map.
 3. Workers look up all distinct words of a slice at once in the automaton and merge the
-   others exactly, pair by pair in rank order.
+   others exactly, pair by pair in rank order, all of them side by side.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import os
 import re
 import tempfile
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import as_texts, id_and_text, slices
+from sensorflow.llm.common import id_and_text, slices
+from sensorflow.llm.ragged import WHITE_BYTES, Merges, column, distinct, flat, take, word_offsets
 from sensorflow.session import staged
 
 # fixed values: the pre-token pattern of the public byte-level vocabularies
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 # Unicode white space, as \s above has it (Python's re adds four control characters)
-WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WIDE_WHITE = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE = rf"\t-\r {WIDE_WHITE}"
 #: the same cut at white space only: each chunk holds whole pre-tokens and can be cut by itself
 CHUNK_PATTERN = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
 LEXICON_WORDS = 1 << 17
 #: longer words are never in the lexicon
 LEXICON_BYTES = 48
-#: distinct words a counting task holds before it passes them on
-COUNTED_WORDS = 150_000
-#: words whose ids a worker remembers
-CACHED_WORDS = 120_000
+#: text bytes that a task cuts into words at once
+WORD_BYTES = 4 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -65,20 +64,17 @@ class Vocabulary:
         byte = byte_alphabet()
         ids = spec["model"]["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.token_bytes = [b""] * (max([*ids.values(), *self.added.values()]) + 1)
+        token_bytes = [b""] * (max([*ids.values(), *self.added.values()]) + 1)
         for token, i in ids.items():
-            self.token_bytes[i] = bytes(byte[c] for c in token)
+            token_bytes[i] = bytes(byte[c] for c in token)
         for token, i in self.added.items():
-            self.token_bytes[i] = token.encode()
-        self.byte_ids = [0] * 256
+            token_bytes[i] = token.encode()
+        self.token_data, self.token_at = flat(pa.array(token_bytes, pa.binary()))
+        self.byte_ids = np.zeros(256, np.int32)
         for c, b in byte.items():
             self.byte_ids[b] = ids[c]
-        self.rank_of: dict[tuple[int, int], int] = {}
-        self.merged: list[int] = []
-        for rank, pair in enumerate(spec["model"]["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.rank_of[ids[a], ids[b]] = rank
-            self.merged.append(ids[a + b])
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
+        self.merges = Merges([(ids[a], ids[b]) for a, b in pairs], [ids[a + b] for a, b in pairs])
         self.split_added = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)))
         self.words = regex.compile(WORD_PATTERN).findall
         self.chunks = re.compile(CHUNK_PATTERN).findall
@@ -94,44 +90,9 @@ class Vocabulary:
         if at < len(text):
             yield text[at:]
 
-    def merge(self, word: bytes) -> list[int]:
-        """Exact BPE of one pre-token: the pair of lowest rank first, leftmost among equals."""
-        ids = [self.byte_ids[b] for b in word]
-        return self._merge_long(ids) if len(ids) > 64 else self._merge_short(ids)
-
-    def _merge_short(self, ids: list[int]) -> list[int]:
-        rank_of, merged = self.rank_of.get, self.merged
-        none = len(merged)
-        ranks = [rank_of(p, none) for p in zip(ids, ids[1:])]
-        while ranks and (rank := min(ranks)) < none:
-            i = ranks.index(rank)
-            new = ids[i] = merged[rank]
-            del ids[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = rank_of((ids[i - 1], new), none)
-            if i < len(ranks):
-                ranks[i] = rank_of((new, ids[i + 1]), none)
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """Same result with a heap of pairs over a linked list: n log n for very long words."""
-        n, rank_of = len(ids), self.rank_of.get
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := rank_of((a, b))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, a, b = heapq.heappop(heap)
-            j = right[i]
-            if ids[i] != a or j < 0 or ids[j] != b:
-                continue
-            ids[i], ids[j] = self.merged[rank], -1
-            right[i] = right[j]
-            if right[i] >= 0:
-                left[right[i]] = i
-            for x in (left[i], i):
-                if x >= 0 and right[x] >= 0 and (r := rank_of((ids[x], ids[right[x]]))) is not None:
-                    heapq.heappush(heap, (r, x, ids[x], ids[right[x]]))
-        return [x for x in ids if x >= 0]
+    def merged(self, words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact BPE of pre-tokens (bytes and offsets): the pair of lowest rank first, leftmost among equals."""
+        return self.merges(self.byte_ids[words], offsets)
 
 
 @lru_cache(maxsize=2)
@@ -221,12 +182,14 @@ class Lexicon:
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Number of each word in the lexicon, -1 if absent."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        text = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-        start = np.cumsum(size) - size
-        state, place = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        return self.find(*flat(pa.array(words, pa.binary())))
+
+    def find(self, text: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The same for words given by their bytes and offsets."""
+        start, size = offsets[:-1], np.diff(offsets)
+        state, place = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
         live = np.flatnonzero((size > 0) & (size <= LEXICON_BYTES)) if len(self.keys) else np.empty(0, np.int64)
-        found = np.full(len(words), -1, np.int64)
+        found = np.full(len(size), -1, np.int64)
         depth = 0
         while len(live):
             key = state[live] << 8 | text[start[live] + depth]
@@ -247,77 +210,144 @@ class Lexicon:
         return self.ids[self.offsets[place]:self.offsets[place + 1]].tobytes()
 
 
-class Encoder:
-    """Encodes texts of one worker; remembers the ids of a bounded number of words and chunks.
+def chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cut texts without wide white space by ``CHUNK_PATTERN``: bytes, offsets of the chunks, first chunk of each text."""
+    data, offsets = flat(texts)
+    white = np.append(WHITE_BYTES[data], False)
+    ends_text = np.zeros(len(data) + 1, bool)
+    ends_text[offsets[1:][offsets[1:] > 0] - 1] = True
+    starts = np.zeros(len(data) + 1, bool)
+    # a run of white space, its last character before a word, and a word after anything but a blank
+    starts[1:] = white[1:] & ~white[:-1] | ~white[1:] & white[:-1] & (data != 0x20)
+    starts[:-1] |= white[:-1] & ~white[1:] & ~ends_text[:-1]
+    starts[offsets] = True
+    starts[-1] = False
+    at = np.append(np.flatnonzero(starts), len(data)) if len(data) else np.zeros(1, np.int64)
+    return data, at, np.searchsorted(at, offsets)
 
-    The memory has two generations: what is still in use when it is full moves on.
-    """
 
-    # chunks of one pre-token, which most are (letters of Latin-1)
-    ONE_WORD = re.compile(" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+").fullmatch
+class Words:
+    """Distinct words of chunks, and how the chunks consist of them."""
+
+    def __init__(self, vocab: Vocabulary, data: np.ndarray, offsets: np.ndarray):
+        self.chunk, chunk_data, chunk_at = distinct(data, offsets)
+        word_at, self.first = word_offsets(chunk_data, chunk_at, vocab.words, single_numbers=False)
+        self.word, self.data, self.offsets = distinct(chunk_data, word_at)
+
+    def counts(self) -> np.ndarray:
+        """How often each distinct word occurs."""
+        per_chunk = np.bincount(self.chunk, minlength=len(self.first) - 1)
+        return np.bincount(self.word, np.repeat(per_chunk, np.diff(self.first)), len(self.offsets) - 1).astype(np.int64)
+
+    def spread(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in order from those of the distinct words, with offsets."""
+        at, ends = take(offsets, self.word)
+        ids, offsets = ids[at], ends[self.first]
+        at, ends = take(offsets, self.chunk)
+        return ids[at], ends
+
+
+class Encoder:
+    """Encodes texts a slice at a time; each distinct word is looked up or merged once in it."""
 
     def __init__(self, path: str, lexicon: Lexicon | None):
         self.vocab, self.lexicon = vocabulary(path), lexicon
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def recall(self, strings: set[str]) -> list[str]:
-        """Take what the older generation of the memory holds into the newer; returns the rest."""
-        new = strings - self.known.keys()
-        again = new & self.old.keys()
-        self.known.update((c, self.old[c]) for c in again)
-        return list(new - again)
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.old = {}, self.known
-        new, known = self.recall(chunks), self.known
-        cut = [(c,) if self.ONE_WORD(c) else self.vocab.words(c) for c in new]
-        words = self.recall({w for ws in cut for w in ws})
-        raw = [w.encode() for w in words]
-        places = self.lexicon.places(raw).tolist() if self.lexicon else [-1] * len(raw)
-        for w, b, p in zip(words, raw, places):
-            known[w] = np.array(self.vocab.merge(b), "<u4").tobytes() if p < 0 else self.lexicon.ids_of(p)
-        known.update([(c, b"".join([known[w] for w in ws])) for c, ws in zip(new, cut)])
+
+    def word_ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words: from the lexicon, or merged."""
+        if self.lexicon is None:
+            return self.vocab.merged(data, offsets)
+        place = self.lexicon.find(data, offsets)
+        seen, unseen = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+        known_at, known_ends = take(self.lexicon.offsets, place[seen])
+        at, ends = take(offsets, unseen)
+        merged, merged_ends = self.vocab.merged(data[at], ends)
+        size = np.empty(len(place), np.int64)
+        size[seen], size[unseen] = np.diff(known_ends), np.diff(merged_ends)
+        out_at = np.concatenate([[0], np.cumsum(size)])
+        ids = np.empty(out_at[-1], np.uint32)
+        ids[take(out_at, seen)[0]] = self.lexicon.ids[known_at]
+        ids[take(out_at, unseen)[0]] = merged
+        return ids, out_at
+
+    def regular(self, texts: pa.Array) -> np.ndarray:
+        """Texts without added tokens and without white space of several bytes."""
+        odd = pc.match_substring_regex(texts, f"[{WIDE_WHITE}]")
+        for marker in self.vocab.added:
+            odd = pc.or_(odd, pc.match_substring(texts, marker))
+        return ~odd.to_numpy(zero_copy_only=False)
+
+    def regular_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, at, first = chunks(texts)
+        words = Words(self.vocab, data, at)
+        ids, ends = words.spread(*self.word_ids(words.data, words.offsets))
+        return ids, ends[first]
+
+    def odd_ids(self, text: str) -> np.ndarray:
+        """Ids of one text of any kind."""
+        parts = [np.empty(0, np.uint32)]
+        for p in self.vocab.pieces(text):
+            if isinstance(p, int):
+                parts.append(np.array([p], np.uint32))
+            else:
+                words = Words(self.vocab, *flat(pa.array(self.vocab.chunks(p), pa.string())))
+                parts.append(words.spread(*self.word_ids(words.data, words.offsets))[0])
+        return np.concatenate(parts)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and their offsets; null as empty."""
+        texts = pc.fill_null(texts, "")
+        regular = self.regular(texts)
+        if regular.all():
+            return self.regular_ids(texts)
+        mask = pa.array(regular)
+        ids, offsets = self.regular_ids(texts.filter(mask))
+        ours = iter(np.split(ids, offsets[1:-1]))
+        rest = map(self.odd_ids, texts.filter(pc.invert(mask)).to_pylist())
+        parts = [next(ours) if r else next(rest) for r in regular.tolist()]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [[p if isinstance(p, int) else self.vocab.chunks(p) for p in self.vocab.pieces(t)] for t in texts]
-        self.learn(set().union(*(p for doc in cut for p in doc if not isinstance(p, int))))
-        ids = self.known.__getitem__
-        return [b"".join(np.array(p, "<u4").tobytes() if isinstance(p, int) else b"".join(map(ids, p)) for p in doc)
-                for doc in cut]
+        return column(*self.encode_column(pa.array(texts, pa.string()))).to_pylist()
+
+    def word_counts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Distinct words of at most ``LEXICON_BYTES`` bytes and how often they occur, per kind of text."""
+        texts = pc.fill_null(texts, "")
+        regular = pa.array(self.regular(texts))
+        data, at, _ = chunks(texts.filter(regular))
+        odd = [c for t in texts.filter(pc.invert(regular)).to_pylist() for p in self.vocab.pieces(t)
+               if not isinstance(p, int) for c in self.vocab.chunks(p)]
+        more, more_at = flat(pa.array(odd, pa.string()))
+        words = Words(self.vocab, np.concatenate([data, more]), np.concatenate([at, at[-1] + more_at[1:]]))
+        short = np.diff(words.offsets) <= LEXICON_BYTES
+        return column(words.data, words.offsets).filter(pa.array(short)), words.counts()[short]
+
+
+def decode_column(path: str, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Texts of token ids: their bytes joined, malformed UTF-8 replaced."""
+    vocab = vocabulary(path)
+    at, ends = take(vocab.token_at, ids.astype(np.int64))
+    joined = column(vocab.token_data[at], ends[offsets])
+    try:
+        return joined.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([b.decode("utf-8", "replace") for b in joined.to_pylist()], pa.string())
 
 
 def decode(path: str, ids: list[int]) -> str:
-    """Text of token ids: their bytes joined, malformed UTF-8 replaced."""
-    return b"".join(map(vocabulary(path).token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+    """Text of one list of token ids."""
+    return decode_column(path, np.array(ids, np.uint32), np.array([0, len(ids)]))[0].as_py()
 
 
 def frequent_words(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> list[bytes]:
     """The most frequent pre-tokens of all documents: all above a frequency that ``lexicon_words`` or fewer reach."""
 
     def count(batches):
-        vocab, seen = vocabulary(path), Counter()
-
-        def out():
-            words = Counter()
-            for chunk, n in seen.items():
-                for w in vocab.words(chunk):
-                    words[w] += n
-            short = [w for w in words if len(w) <= LEXICON_BYTES]
-            return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in short], pa.binary()),
-                                               pa.array([words[w] for w in short], pa.int64())], ["word", "n"])
-
-        for piece in slices(batches):
-            for text in as_texts(piece.column("text")):
-                for p in vocab.pieces(text):
-                    if not isinstance(p, int):
-                        seen.update(vocab.chunks(p))
-            if len(seen) > COUNTED_WORDS:
-                yield out()
-                seen.clear()
-        yield out()
+        encoder = Encoder(path, None)
+        for piece in slices(batches, max_bytes=WORD_BYTES):
+            words, n = encoder.word_counts(piece.column("text"))
+            yield pa.RecordBatch.from_arrays([words, pa.array(n)], ["word", "n"])
 
     counted = staged(docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word")
                      .agg(F.sum("n").alias("n")).where("n > 1"), "words")
@@ -338,7 +368,9 @@ def frequent_words(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORD
 def ship_lexicon(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> str:
     """Build the lexicon of ``docs`` and send its file to every executor; returns the file's name there."""
     vocab = vocabulary(path)
-    block = compile_lexicon({w: vocab.merge(w) for w in frequent_words(docs, path, lexicon_words)})
+    words = frequent_words(docs, path, lexicon_words)
+    ids, offsets = vocab.merged(*flat(pa.array(words, pa.binary())))
+    block = compile_lexicon({w: x.tolist() for w, x in zip(words, np.split(ids, offsets[1:-1]))})
     name = f"lexicon-{hashlib.sha256(block).hexdigest()[:32]}.bin"
     context = docs.sparkSession.sparkContext
     if any(f.endswith(name) for f in context.listFiles):
@@ -364,11 +396,10 @@ def bpe_round_trip(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORD
 
     def encode(batches):
         encoder = Encoder(path, Lexicon(SparkFiles.get(name)))
-        for piece in slices(batches):
-            ids = encoder.encode(as_texts(piece.column("text")))
-            texts = [decode(path, np.frombuffer(x, "<u4").tolist()) for x in ids]
+        for piece in slices(batches, max_bytes=WORD_BYTES):
+            ids, offsets = encoder.encode_column(piece.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
+                [piece.column("doc_id"), column(ids, offsets), decode_column(path, ids, offsets)],
                 ["doc_id", "ids", "decoded"])
 
     return docs.mapInArrow(encode, "doc_id long, ids binary, decoded string")
