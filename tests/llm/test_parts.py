@@ -5,13 +5,14 @@ import tempfile
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from corpus_rows import SF, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from sensorflow.llm import bpe, hashed_text, packing, phrase_dedup, quality, repetition, secret_scan, toxicity
+from sensorflow.llm import bpe, hashed_text, packing, phrase_dedup, quality, ragged, repetition, secret_scan, toxicity
 from sensorflow.llm.components import components
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -40,6 +41,41 @@ def test_encoders_equal_the_library_on_every_character():
         assert encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in want]
 
 
+def test_encoders_equal_the_library_on_long_texts():
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abdeghilnorstu'é1.", k=rnd.randint(1, 14))) for _ in range(40_000)]
+    texts = ["x" * 20_000, " ".join(words), "", " " * 5000, "don't  it's\n\n 's ''ll", "中文" * 500 + "\u3000x", "a\xa0b"]
+    for path, encode in ((BYTE, bpe.Encoder(BYTE, None).encode), (WORD, packing.word_encoder(WORD).encode)):
+        want = LIBRARY[path].encode_batch(texts, add_special_tokens=False)
+        assert encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in want]
+
+
+def test_encoders_take_nulls_and_slices_of_columns():
+    column = pa.array(["before", "ab cd", None, "", "don't", "after"]).slice(1, 4)
+    texts = ["ab cd", "", "", "don't"]
+    assert packing.word_encoder(WORD).encode_column(column).to_pylist() == packing.word_encoder(WORD).encode(texts)
+    coded = bpe.Encoder(BYTE, None).encode_column(column)
+    assert bpe.decode_column(BYTE, *coded).to_pylist() == texts
+    # a token that ends within a character
+    half = np.array([bpe.vocabulary(BYTE).byte_ids[0xC3]], np.uint32)
+    assert bpe.decode_column(BYTE, half, np.array([0, 1])).to_pylist() == ["\ufffd"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abc", min_size=1, max_size=80), max_size=30))
+def test_merges_take_the_lowest_rank_leftmost(words):
+    # "a", "b", "c" are 0 to 2; equal neighbours and overlapping pairs
+    pairs, merged = [(0, 0), (0, 1), (3, 3), (4, 2), (1, 1), (2, 5)], [3, 4, 5, 6, 7, 8]
+    data, offsets = ragged.flat(pa.array(words, pa.string()))
+    ids, ends = ragged.Merges(pairs, merged)(data.astype(np.int64) - ord("a"), offsets)
+    for word, a, b in zip(words, ends, ends[1:]):
+        want = [ord(c) - ord("a") for c in word]
+        while ranks := [(pairs.index(p), i) for i, p in enumerate(zip(want, want[1:])) if p in pairs]:
+            rank, i = min(ranks)
+            want[i:i + 2] = [merged[rank]]
+        assert ids[a:b].tolist() == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.binary(min_size=1, max_size=6), st.lists(st.integers(0, 9), min_size=1, max_size=3), max_size=40),
        st.lists(st.binary(max_size=6), max_size=10))
