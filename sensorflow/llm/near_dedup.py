@@ -309,3 +309,22 @@ def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percen
     gone = staged(near_duplicates(docs, shingle_words, percent).where("not kept")
                   .select(F.col("doc_id").alias("id"), F.col("content").alias("raw")).distinct(), "gone")
     return joined_rows(docs, gone, "left_anti")
+
+
+#: the query's contract: four-word shingles, 80 percent
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s FROM i),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+          UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN n USING (doc_id)
+"""

@@ -210,3 +210,18 @@ def drop_repeated(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, l
 
     return (rows.join(spans, rows.doc_id.eqNullSafe(spans._id) & (rows.content == spans._content), "left")
             .select("doc_id", "text", "starts").mapInArrow(cut, "doc_id long, n_words long, n_removed long, text string"))
+
+
+ORACLE = rf"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - {WINDOW - 2})) AS i, ws FROM w WHERE len(ws) >= {WINDOW}),
+k AS MATERIALIZED (SELECT doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS win FROM win),
+again AS (SELECT win FROM k GROUP BY win HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM k JOIN again USING (win)),
+x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+j AS (SELECT x.doc_id, count(gone.p) AS n_gone, string_agg(word, ' ' ORDER BY x.p) FILTER (WHERE gone.p IS NULL) AS rest
+      FROM x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.p = x.p GROUP BY x.doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_gone, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM w LEFT JOIN j USING (doc_id)
+"""

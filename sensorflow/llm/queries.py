@@ -85,5 +85,6 @@ def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_progressive_dedup": exact_dedup.ORACLE, "op10_site_spread_lines": line_dedup.ORACLE,
-            "op13_prefix_trie": prefix_trie.ORACLE}
+    return {"op3_suffix_repetition": repetition.ORACLE, "op4_progressive_dedup": exact_dedup.ORACLE,
+            "op8_phrase_automata": phrase_dedup.ORACLE, "op9_bottom_k_near_dedup": near_dedup.ORACLE,
+            "op10_site_spread_lines": line_dedup.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}

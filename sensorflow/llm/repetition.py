@@ -147,3 +147,48 @@ def with_verdict(measured: DataFrame, max_covered: float = MAX_COVERED, max_long
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > BASE_PERCENT * F.col("n_words"))
     ok = (F.col("covered_chars") <= max_covered * F.col("word_chars")) & (F.col("longest_repeat") <= max_longest)
     return measured.withColumns({"base_failed": failed, "kept": ~failed & ok})
+
+
+def _oracle(levels: int = 17) -> str:
+    """DuckDB twin, for texts of fewer than ``2**levels`` words.
+
+    ``d<k>`` numbers the runs of ``2**k`` words that a text holds twice or more; ``c<k>`` has the places of
+    the longest repeat found so far, which longer runs extend from the largest power down.
+    """
+    parts = [r"""w AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS MATERIALIZED (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+d0 AS MATERIALIZED (SELECT doc_id, p, dense_rank() OVER (PARTITION BY doc_id ORDER BY word) AS r FROM x
+  QUALIFY count(*) OVER (PARTITION BY doc_id, word) > 1)"""]
+    parts += [f"""d{k} AS MATERIALIZED (SELECT a.doc_id, a.p, dense_rank() OVER (PARTITION BY a.doc_id ORDER BY a.r, b.r) AS r
+  FROM d{k - 1} a JOIN d{k - 1} b ON a.doc_id = b.doc_id AND b.p = a.p + {1 << k - 1}
+  QUALIFY count(*) OVER (PARTITION BY a.doc_id, a.r, b.r) > 1)""" for k in range(1, levels)]
+    parts.append(f"c{levels} AS (SELECT doc_id, p, 0 AS n, 0 AS r FROM x)")
+    parts += [f"""e{k} AS MATERIALIZED (
+  SELECT c.doc_id, c.p, c.n + {1 << k} AS n, dense_rank() OVER (PARTITION BY c.doc_id ORDER BY c.r, d.r) AS r
+  FROM c{k + 1} c JOIN d{k} d ON d.doc_id = c.doc_id AND d.p = c.p + c.n QUALIFY count(*) OVER (PARTITION BY c.doc_id, c.r, d.r) > 1),
+c{k} AS MATERIALIZED (FROM e{k} UNION ALL FROM c{k + 1} WHERE doc_id NOT IN (SELECT doc_id FROM e{k}))"""
+              for k in reversed(range(levels))]
+    failed = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {BASE_PERCENT} * n_words)"
+    parts.append(rf"""b AS (SELECT DISTINCT doc_id, unnest(range(p, p + {BASE_WINDOW})) AS p FROM d{BASE_WINDOW.bit_length() - 1}),
+m AS (SELECT DISTINCT doc_id, unnest(range(p, p + {MIN_REPEAT})) AS p FROM d{MIN_REPEAT.bit_length() - 1}),
+chars AS (SELECT x.doc_id, sum(length(word)) AS n, sum(length(word)) FILTER (WHERE m.p IS NOT NULL) AS covered
+          FROM x LEFT JOIN m ON m.doc_id = x.doc_id AND m.p = x.p GROUP BY x.doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n
+          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+many AS (SELECT doc_id, count(*) AS n FROM b GROUP BY doc_id),
+longest AS (SELECT doc_id, max(n) AS n FROM c0 GROUP BY doc_id),
+a AS (SELECT doc_id, len(ws) AS n_words, coalesce(chars.n, 0)::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines,
+             coalesce(many.n, 0) AS n_repeat_words, coalesce(longest.n, 0)::BIGINT AS longest_repeat,
+             coalesce(covered, 0)::BIGINT AS covered_chars
+      FROM w LEFT JOIN chars USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN many USING (doc_id) LEFT JOIN longest USING (doc_id))
+SELECT *, {failed} AS base_failed,
+       NOT {failed} AND covered_chars <= {MAX_COVERED}::DOUBLE * word_chars AND longest_repeat <= {MAX_LONGEST} AS kept
+FROM a""")
+    return "WITH " + ",\n".join(parts)
+
+
+#: the base window and the least repeat are powers of two
+ORACLE = _oracle()

@@ -246,3 +246,18 @@ def test_classifiers_on_odd_rows(odd, odd_rows, spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
     kept = quality.keep_good(odd, quality.train(odd, labels))
     assert kept.columns == odd.columns
+
+
+@pytest.mark.parametrize("name", ["op3_suffix_repetition", "op8_phrase_automata", "op9_bottom_k_near_dedup"])
+def test_queries_match_sql(spark, odd_rows, name, tmp_path):
+    """The query and its DuckDB twin on the small table, with odd rows of unique ids beside them."""
+    from sensorflow.llm.queries import llm_oracles, llm_registry
+    rows = [(10**6 + k, t) for k, (_, t, _) in enumerate(odd_rows)]
+    (spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+     .unionAll(spark.createDataFrame(rows, "doc_id long, text string")).write.parquet(f"{tmp_path}/documents.parquet"))
+    got = llm_registry()[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.sql(llm_oracles()[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert Counter(map(tuple, got.select(*want.columns).collect())) == Counter(want.fetchall())
