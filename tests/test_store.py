@@ -15,9 +15,10 @@ from sensorflow.operators.joins import hot_key_join
 from sensorflow.sources.landing import seed_metadata
 from sensorflow.store import (CommitConflict, CommitLog, Landing, compact, mark_done, read_dimension, read_table, replay, run_pending,
                               seed_dimension)
-from sensorflow.store.landing import NOTHING_DONE, advanced, mark_of, still_open
+from sensorflow.store.landing import FOLDERS, NOTHING_DONE, advanced, mark_of, still_open
 from sensorflow.store.log import State
 from sensorflow.store.tables import commit_batch, committed_ids, write_attempt, write_dimension
+from sensorflow.streaming.microbatch import start_deduplicated_intake
 
 START = datetime(2024, 6, 3)
 
@@ -100,6 +101,31 @@ def test_runs_read_only_open_folders_and_find_late_rows(spark, place):
     assert ids_of(read_table(log, "clean_events"), "raw_event_id") == sorted([*(100 * k + j for k in range(5) for j in range(10)), 7000, 7001])
 
 
+def test_an_intake_of_many_hours_has_few_folders_and_files(spark, place):
+    log, landing = place
+    rows = [(k, 20 * k) for k in range(300)] + [(1000 + j, 5) for j in range(200)]  # 100 hours, the first one full
+    feed = os.path.join(landing.root, "feed")
+    messages = landing_rows(spark, rows).selectExpr("id", "'sensors/temperature/temp-01' AS topic", "encode(payload, 'UTF-8') AS value",
+                                                    "received_at")
+    messages.write.parquet(feed)
+    stream = spark.readStream.schema(messages.schema).parquet(feed)
+    start_deduplicated_intake(stream, landing, os.path.join(landing.root, "checkpoint"), id_col="id",
+                              trigger={"availableNow": True}).awaitTermination()
+    assert ids_of(landing.all_rows()) == sorted(i for i, _ in rows)
+    record = landing.intakes()[0]
+    assert 16 <= len(record["hours"]) <= FOLDERS and len(landing.all_rows().inputFiles()) <= 2 * FOLDERS
+    assert landing.folder.names("_staging") == []
+    # no folder's name is before the hour of one of its rows, so none is closed too early
+    assert landing.all_rows().where(F.date_format("received_at", "yyyy-MM-dd-HH") > F.col("hour")).isEmpty()
+    done = []
+    while (state := run_pending(log, landing, limit=120)) is not None:
+        left = ids_of(landing.pending(state))
+        done.append(len(rows) - len(left))
+        assert len(state.open) <= FOLDERS * len(left) / len(rows) + 3
+    assert done == [120, 240, 360, 480, 500]
+    assert ids_of(read_table(log, "run_metrics"), "batch_id") == [0, 1, 2, 3, 4]
+
+
 def test_a_run_reads_as_much_after_many_batches_as_after_few(spark, place):
     log, landing = place
     counts, read = [], landing.folder.read
