@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sensorflow.llm.bpe import byte_alphabet
-from sensorflow.llm.common import id_and_text, slices
+from sensorflow.llm.common import give_back_memory, id_and_text, slices
 from sensorflow.llm.ragged import WHITE_BYTES, Merges, any_in, column, distinct, flat, take, word_offsets
 
 CAPACITY = 2048
@@ -35,7 +35,7 @@ END_ID = 1
 LINEAR, QUADRATIC = 12 * 1024.0, 1.0
 SHARD_CHARS = 8_000_000
 #: text bytes that a task cuts into words at once
-WORD_BYTES = 4 << 20
+WORD_BYTES = 2 << 20
 
 
 class WordEncoder:
@@ -214,8 +214,11 @@ def pack_documents(docs: DataFrame, path: str, shard_chars: int = SHARD_CHARS) -
                 ids[order[d]][4 * start:4 * (start + n)]) for d, start, n, s, offset in pack(lengths)]
         names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
         columns = list(zip(*out))
-        return pa.Table.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.binary())],
-                                    [*names, "ids"])
+        packed = pa.Table.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.binary())],
+                                      [*names, "ids"])
+        del table, doc_id, ids, out, columns
+        give_back_memory()
+        return packed
 
     # by a number per row: rows that repeat id and text must not all meet in one shard
     shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard")

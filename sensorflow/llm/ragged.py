@@ -64,8 +64,8 @@ def take(offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def any_in(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Whether each member has a marked place."""
-    sums = np.concatenate([[0], np.cumsum(mask)])
-    return sums[offsets[1:]] > sums[offsets[:-1]]
+    upto = np.searchsorted(np.flatnonzero(mask), offsets)
+    return upto[1:] > upto[:-1]
 
 
 def word_offsets(data: np.ndarray, offsets: np.ndarray, findall: Callable[[str], list[str]],

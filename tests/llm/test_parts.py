@@ -2,6 +2,7 @@
 
 import random
 import tempfile
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from sensorflow.llm import bpe, hashed_text, packing, phrase_dedup, quality, ragged, repetition, secret_scan, toxicity
+from sensorflow.llm import bpe, common, hashed_text, packing, phrase_dedup, quality, ragged, repetition, secret_scan, toxicity
 from sensorflow.llm.components import components
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -347,3 +348,28 @@ def test_spans_are_merged_in_one_sweep():
         (0, "assign", 25), (0, "random", 60), (40, "random", 70), (195, "hex", 229), (200, "random", 230)]
     many = [(30 * i, 30 * i + 25, 0.5) for i in range(200_000)]
     assert len(secret_scan.merged([], many, last)) == 200_000
+
+
+def test_a_slice_of_the_packing_encoder_takes_little_memory():
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefghij", k=rnd.randint(2, 9))) for _ in range(5000)]
+    texts = [" ".join(rnd.choices(words, k=400)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    encoder = packing.word_encoder(WORD)
+    wanted = encoder.encode(texts[:3])
+    tracemalloc.start()
+    try:
+        got = [encoder.encode_column(piece.column("text")).slice(0, 3).to_pylist()
+               for piece in common.slices(iter([batch]), max_bytes=packing.WORD_BYTES)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got[0] == wanted and len(got) > 1
+    assert peak < 50e6
+
+
+@given(st.lists(st.lists(st.booleans(), max_size=6), max_size=12))
+def test_any_in_tells_members_with_a_marked_place(members):
+    mask = np.array([x for m in members for x in m], bool)
+    offsets = np.concatenate([[0], np.cumsum([len(m) for m in members])]).astype(np.int64)
+    assert ragged.any_in(mask, offsets).tolist() == [any(m) for m in members]
