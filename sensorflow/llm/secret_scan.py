@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,9 @@ ALNUM_SYMBOLS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASE64_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 LOWER_SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyz"
 
+#: text bytes whose letter pairs a task counts at once: the arrays for it take some 40 times as much
+PAIR_BYTES = 1 << 18
+
 
 def infer_encoding(s: str) -> str:
     """Symbols, in value order, of the narrowest encoding that ``s`` fits."""
@@ -169,6 +173,28 @@ def p_value(s: str) -> float:
     return min(1.0, 4 * min(uniform, single, runs_p, serial))
 
 
+def blocks(raw: bytes, size: int = PAIR_BYTES) -> Iterator[np.ndarray]:
+    """``raw``, which ends in a space, cut after spaces into parts of about ``size`` bytes: no word is cut."""
+    at = 0
+    while at < len(raw):
+        end = raw.index(b" ", min(at + size, len(raw)) - 1) + 1
+        yield np.frombuffer(raw, np.uint8, end - at, at)
+        at = end
+
+
+def pair_counts(raw: np.ndarray) -> np.ndarray:
+    """How often each pair of small letters stands in words shorter than a candidate; the last byte is no letter."""
+    letter = (raw >= 97) & (raw <= 122)
+    edge = np.flatnonzero(np.diff(letter.astype(np.int8), prepend=0, append=0))
+    first, size = edge[::2], edge[1::2] - edge[::2]
+    short = np.zeros(len(raw) + 1, np.int8)
+    ok = size < MIN_CHARS
+    np.add.at(short, first[ok], 1)
+    np.add.at(short, first[ok] + size[ok] - 1, -1)  # the last letter begins no pair
+    at = np.flatnonzero(np.cumsum(short[:-1], dtype=np.int8))
+    return np.bincount((raw[at].astype(np.int64) - 97) * 26 + raw[at + 1] - 97, minlength=26 * 26)
+
+
 def letter_pairs(docs: DataFrame) -> np.ndarray:
     """``log(26 * P(b | a))`` of letters a, b (case ignored) in words shorter than a candidate, over all texts.
 
@@ -177,17 +203,9 @@ def letter_pairs(docs: DataFrame) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(26 * 26, np.int64)
-        for piece in slices(batches):
-            raw = np.frombuffer(" ".join(as_texts(piece.column("text"))).lower().encode("ascii", "replace") + b" ", np.uint8)
-            letter = (raw >= 97) & (raw <= 122)
-            edge = np.flatnonzero(np.diff(letter.astype(np.int8), prepend=0, append=0))
-            first, size = edge[::2], edge[1::2] - edge[::2]
-            short = np.zeros(len(raw) + 1, np.int8)
-            ok = size < MIN_CHARS
-            np.add.at(short, first[ok], 1)
-            np.add.at(short, first[ok] + size[ok] - 1, -1)  # the last letter begins no pair
-            at = np.flatnonzero(np.cumsum(short[:-1]))
-            total += np.bincount((raw[at].astype(np.int64) - 97) * 26 + raw[at + 1] - 97, minlength=26 * 26)
+        for piece in slices(batches, max_bytes=PAIR_BYTES):
+            for raw in blocks(" ".join(as_texts(piece.column("text"))).lower().encode("ascii", "replace") + b" "):
+                total += pair_counts(raw)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(26 * 26)), pa.array(total)], ["pair", "n"])
 
     n = np.zeros(26 * 26)

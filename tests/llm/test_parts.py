@@ -1,8 +1,10 @@
 """Local parts of the operators: automata, suffix ranks, packing, tests of randomness, models."""
 
 import random
+import re
 import tempfile
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -373,3 +375,22 @@ def test_any_in_tells_members_with_a_marked_place(members):
     mask = np.array([x for m in members for x in m], bool)
     offsets = np.concatenate([[0], np.cumsum([len(m) for m in members])]).astype(np.int64)
     assert ragged.any_in(mask, offsets).tolist() == [any(m) for m in members]
+
+
+def test_letter_pairs_are_counted_in_blocks_that_cut_no_word():
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcxyz-7\n", k=rng.randint(1, 30))) for _ in range(70_000)]
+    text = " ".join(words)
+    raw = text.encode() + b" "
+    assert len(raw) > 4 * secret_scan.PAIR_BYTES
+    tracemalloc.start()
+    got = sum(secret_scan.pair_counts(b) for b in secret_scan.blocks(raw))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * secret_scan.PAIR_BYTES < 15 * len(raw)
+    runs = [w for w in re.findall("[a-z]+", text) if len(w) < secret_scan.MIN_CHARS]
+    want = Counter((ord(a) - 97) * 26 + ord(b) - 97 for w in runs for a, b in zip(w, w[1:]))
+    assert {int(k): int(got[k]) for k in got.nonzero()[0]} == dict(want)
+    # a part ends at the first space at or after its size
+    assert [bytes(b) for b in secret_scan.blocks(b"ab cd efgh i ", 4)] == [b"ab cd ", b"efgh ", b"i "]
