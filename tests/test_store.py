@@ -348,3 +348,28 @@ def test_state_is_read_from_the_newest_record_of_many(spark):
     for _ in range(205):
         state = log.commit(state)
     assert log.latest().version == 205 and sorted(os.listdir(f"{log.root}/_log")) == ["000000000", "000000001", "000000002"]
+
+
+def test_remembered_ids_have_as_many_partitions_as_run_at_once(spark, place):
+    _, landing = place
+    messages = landing_rows(spark, [(k, k) for k in range(20)]).selectExpr(
+        "id", "'sensors/temperature/temp-01' AS topic", "encode(payload, 'UTF-8') AS value", "received_at")
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    for key, partitions in (("default", None), ("three", 3)):
+        feed, checkpoint = os.path.join(landing.root, f"feed-{key}"), os.path.join(landing.root, f"checkpoint-{key}")
+        messages.write.parquet(feed)
+        spark.conf.set(name, "200")
+        try:
+            query = start_deduplicated_intake(spark.readStream.schema(messages.schema).parquet(feed), landing, checkpoint, source=key,
+                                              id_col="id", trigger={"availableNow": True}, partitions=partitions)
+            assert spark.conf.get(name) == "200"
+        finally:
+            spark.conf.set(name, before)
+        query.awaitTermination()
+        kept = [d for d in os.listdir(f"{checkpoint}/state/0") if d.isdigit()]
+        assert len(kept) == (partitions or min(200, spark.sparkContext.defaultParallelism))
+    # the second source lands its own copies; an empty read needs no task
+    assert landing.all_rows().count() == 40
+    plan = landing.read([])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("LocalRelation <empty>")
